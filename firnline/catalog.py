@@ -6,6 +6,7 @@ not exact in double precision are rounded on both sides.
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import views
 from .functions import hydro, periods
@@ -34,11 +35,18 @@ QUERIES = {}
 ORACLES = {}
 
 
-def query(name, oracle=None):
+def _midnight(df):
+    """Dates as timestamps, the one form both engines hand over alike."""
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if f.dataType == T.DateType()})
+
+
+def query(name, oracle=None, dates=""):
+    """Register a query and its check; ``dates`` names the date columns of the check."""
     def add(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: _midnight(fn(spark, sf_dir))
         if oracle is not None:
-            ORACLES[name] = oracle
+            casts = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates.split())
+            ORACLES[name] = f"SELECT * REPLACE ({casts}) FROM (\n{oracle}) checked" if dates else oracle
         return fn
 
     return add
@@ -133,6 +141,14 @@ def clean_snow(spark, sf):
     return chunks.with_halo(rows, clean.clean_snow, before=clean.SNOW_REACH)
 
 
+@query("clean_snow_chunked", duck(
+    ["season_readings"], "SELECT station_id, ts, hs, lt0 AS lt FROM cleaned", _pivot("season_readings"), _clean("wide")))
+def clean_snow_chunked(spark, sf):
+    """The same cut into (station, chunk) groups, the form used for large tables."""
+    rows = wide(spark, sf, "season_readings").select("station_id", "ts", "hs", "lt")
+    return chunks.with_halo(rows, clean.clean_snow, before=clean.SNOW_REACH, chunk_days=14)
+
+
 @query("clean_temperature", duck(
     ["season_readings"], "SELECT station_id, ts, lt FROM cleaned", _pivot("season_readings"), _clean("wide")))
 def clean_temperature(spark, sf):
@@ -158,7 +174,13 @@ sclean AS (SELECT site, ts, wt, CASE WHEN slt <= 50 THEN NULL ELSE slt END AS sl
 @query("clean_conductivity", duck(["spring"], "SELECT * FROM sclean", SPRING_CLEAN))
 def clean_conductivity(spark, sf):
     rows = views.load(spark, sf, "spring").select("site", "ts", "wt", "slt")
-    return chunks.with_halo(rows, clean.clean_conductivity, keys=("site",), before=clean.CONDUCTIVITY_REACH, chunk_days=7)
+    return chunks.with_halo(rows, clean.clean_conductivity, keys=("site",), before=clean.CONDUCTIVITY_REACH)
+
+
+@query("clean_conductivity_chunked", duck(["spring"], "SELECT * FROM sclean", SPRING_CLEAN))
+def clean_conductivity_chunked(spark, sf):
+    rows = views.load(spark, sf, "spring").select("site", "ts", "wt", "slt")
+    return chunks.with_halo(rows, clean.clean_conductivity, keys=("site",), before=clean.CONDUCTIVITY_REACH, chunk_days=3)
 
 
 @query("quality_status", duck(["historic"], """SELECT file_name, status, count(*) AS lines, count(good) AS good FROM (
@@ -287,7 +309,7 @@ def td_longterm(spark, sf):
 
 
 @query("td_year", duck(["daily", "monthly"], """SELECT d.station_id, d.date, y.td FROM daily d
-LEFT JOIN years y ON y.station_id = d.station_id AND y.year = year(d.date) - 1""", TD_SQL))
+LEFT JOIN years y ON y.station_id = d.station_id AND y.year = year(d.date) - 1""", TD_SQL), dates="date")
 def td_year(spark, sf):
     dates = views.load(spark, sf, "daily").select("station_id", "date")
     return climate.temperature_range_before(views.load(spark, sf, "monthly"), dates)
@@ -299,7 +321,7 @@ def pptwt_longterm(spark, sf):
 
 
 @query("pptwt_year", duck(["daily", "monthly"], """SELECT d.station_id, d.date, coalesce(w.pptwt, 0) AS pptwt FROM daily d
-LEFT JOIN source s ON s.station_id = d.station_id LEFT JOIN wint w ON w.station_id = s.source_id AND w.winter = year(d.date) - 1""", WINTER_SQL))
+LEFT JOIN source s ON s.station_id = d.station_id LEFT JOIN wint w ON w.station_id = s.source_id AND w.winter = year(d.date) - 1""", WINTER_SQL), dates="date")
 def pptwt_year(spark, sf):
     dates = views.load(spark, sf, "daily").select("station_id", "date")
     return climate.winter_precipitation_before(views.load(spark, sf, "monthly"), dates, 4)
@@ -307,23 +329,31 @@ def pptwt_year(spark, sf):
 
 # --- moving averages -------------------------------------------------------------------
 
-@query("moving_avg_trailing", duck(["season_readings"], """SELECT station_id, ts, CASE WHEN count(hs) OVER w >= 30 THEN avg(hs) OVER w END AS hs FROM cleaned
-WINDOW w AS (PARTITION BY station_id ORDER BY ts ROWS BETWEEN 41 PRECEDING AND CURRENT ROW)""", _pivot("season_readings"),
-    _clean("wide").replace("hs > 250", "hs > 250")))
+TRAILING = duck(["season_readings"], """SELECT station_id, ts, CASE WHEN count(hs) OVER w >= 30 THEN avg(hs) OVER w END AS hs FROM cleaned
+WINDOW w AS (PARTITION BY station_id ORDER BY ts ROWS BETWEEN 41 PRECEDING AND CURRENT ROW)""", _pivot("season_readings"), _clean("wide"))
+
+
+@query("moving_avg_trailing", TRAILING)
 def moving_avg_trailing(spark, sf):
     """Mean of the last 42 cleaned snow heights, 30 of them measured."""
-    return update.moving_average(wide(spark, sf, "season_readings"), chunk_days=60)
+    return update.moving_average(wide(spark, sf, "season_readings"))
+
+
+@query("moving_avg_trailing_chunked", TRAILING)
+def moving_avg_trailing_chunked(spark, sf):
+    return update.moving_average(wide(spark, sf, "season_readings"), chunk_days=20)
 
 
 CENTRED = """SELECT station_id, ts, CASE WHEN count(lf) OVER w >= {} THEN avg(lf) OVER w END AS lf_rol FROM wide
 WINDOW w AS (PARTITION BY station_id ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)"""
 
 
-def _centred(spark, sf, least):
+def _centred(spark, sf, least, chunk_days=None):
     before, after = moving.centre_reach(24)
     rows = wide(spark, sf).select("station_id", "ts", "lf")
     return chunks.with_halo(
-        rows, lambda d, w: moving.centred_mean(d, "lf", w, "lf_rol", 24, least), before=before, after=after
+        rows, lambda d, w: moving.centred_mean(d, "lf", w, "lf_rol", 24, least),
+        before=before, after=after, chunk_days=chunk_days,
     ).drop("lf")
 
 
@@ -332,6 +362,11 @@ def moving_avg_centered(spark, sf):
     return _centred(spark, sf, None)
 
 
+@query("moving_avg_centered_chunked", duck(["readings"], CENTRED.format(24), _pivot("readings")))
+def moving_avg_centered_chunked(spark, sf):
+    return _centred(spark, sf, None, 2)
+
+
 @query("moving_avg_centered_min", duck(["readings"], CENTRED.format(10), _pivot("readings")))
 def moving_avg_centered_min(spark, sf):
     return _centred(spark, sf, 10)
@@ -349,7 +384,7 @@ def _accumulated(spark, sf):
     return season.accumulate(season.in_season(views.load(spark, sf, "daily").select("station_id", "date", "hs")), "hs")
 
 
-@query("season_accumulation", duck(["daily"], "SELECT * FROM cums", SEASON_SQL))
+@query("season_accumulation", duck(["daily"], "SELECT * FROM cums", SEASON_SQL), dates="date")
 def season_accumulation(spark, sf):
     return _accumulated(spark, sf)
 
@@ -363,12 +398,12 @@ MELT = """SELECT station_id, date, hs, CASE WHEN lead(1) OVER w IS NULL THEN NUL
 FROM daily WINDOW w AS (PARTITION BY station_id ORDER BY date)"""
 
 
-@query("snowmelt_zero", duck(["daily"], MELT.format("0")))
+@query("snowmelt_zero", duck(["daily"], MELT.format("0")), dates="date")
 def snowmelt_zero(spark, sf):
     return season.melt(views.load(spark, sf, "daily").select("station_id", "date", "hs"), "hs", "melt")
 
 
-@query("snowmelt_null", duck(["daily"], MELT.format("NULL")))
+@query("snowmelt_null", duck(["daily"], MELT.format("NULL")), dates="date")
 def snowmelt_null(spark, sf):
     return season.melt(views.load(spark, sf, "daily").select("station_id", "date", "hs"), "hs", "melt", otherwise=None)
 
@@ -388,12 +423,12 @@ def _lake_log(spark, sf):
     return season.storage_change(rows)
 
 
-@query("depth_to_volume", duck(["lake_depth"], f"SELECT lake, date, wd, {VOLUME_SQL} AS volume FROM lake_depth"))
+@query("depth_to_volume", duck(["lake_depth"], f"SELECT lake, date, wd, {VOLUME_SQL} AS volume FROM lake_depth"), dates="date")
 def depth_to_volume(spark, sf):
     return views.load(spark, sf, "lake_depth").withColumn("volume", hydro.lake_volume("lake", "wd"))
 
 
-@query("depth_to_area", duck(["lake_calc"], f"SELECT lake, date, coalesce(area_glatt, {AREA_SQL}) AS area FROM lake_calc"))
+@query("depth_to_area", duck(["lake_calc"], f"SELECT lake, date, coalesce(area_glatt, {AREA_SQL}) AS area FROM lake_calc"), dates="date")
 def depth_to_area(spark, sf):
     return views.load(spark, sf, "lake_calc").select(
         "lake", "date", F.coalesce("area_glatt", hydro.lake_area("lake", "wd")).alias("area")
@@ -412,7 +447,7 @@ def poly_eval(spark, sf):
     )
 
 
-@query("storage_change", duck(["lake_depth"], "SELECT lake, date, wd, volume, w_change FROM lake_log", LAKE_LOG))
+@query("storage_change", duck(["lake_depth"], "SELECT lake, date, wd, volume, w_change FROM lake_log", LAKE_LOG), dates="date")
 def storage_change(spark, sf):
     return _lake_log(spark, sf)
 
@@ -436,7 +471,7 @@ def _swe(spark, sf, **kw):
     return swe.swe_period(views.load(spark, sf, "daily"), views.load(spark, sf, "monthly"), **kw)
 
 
-@query("swe_period", duck(["daily", "monthly"], "SELECT station_id, date, hs, lt, round(swe, 5) AS swe FROM swe", TD_SQL, WINTER_SQL, SWE_SQL))
+@query("swe_period", duck(["daily", "monthly"], "SELECT station_id, date, hs, lt, round(swe, 5) AS swe FROM swe", TD_SQL, WINTER_SQL, SWE_SQL), dates="date")
 def swe_period(spark, sf):
     return rounded(_swe(spark, sf), 5, "swe")
 
@@ -444,13 +479,13 @@ def swe_period(spark, sf):
 @query("swe_period_station", duck(
     ["daily", "monthly"], "SELECT station_id, date, hs, lt, round(swe, 5) AS swe FROM swe WHERE date BETWEEN DATE '1996-10-01' AND DATE '1999-06-30'",
     TD_SQL, WINTER_SQL.replace("SELECT source.station_id, own.pptwt FROM source LEFT JOIN own ON own.station_id = source.source_id",
-                               "SELECT source.station_id, own.pptwt FROM source LEFT JOIN own ON own.station_id = 5"), SWE_SQL))
+                               "SELECT source.station_id, own.pptwt FROM source LEFT JOIN own ON own.station_id = 5"), SWE_SQL), dates="date")
 def swe_period_station(spark, sf):
     """Precipitation of one given station for all."""
     return rounded(_swe(spark, sf, start="1996-10-01", end="1999-06-30", precipitation_station=5), 5, "swe")
 
 
-@query("swe_point", duck(["daily", "monthly"], "SELECT station_id, date, hs, lt, round(swe, 5) AS swe FROM swe WHERE date = DATE '1998-02-14'", TD_SQL, WINTER_SQL, SWE_SQL))
+@query("swe_point", duck(["daily", "monthly"], "SELECT station_id, date, hs, lt, round(swe, 5) AS swe FROM swe WHERE date = DATE '1998-02-14'", TD_SQL, WINTER_SQL, SWE_SQL), dates="date")
 def swe_point(spark, sf):
     return rounded(swe.swe_at(views.load(spark, sf, "daily"), views.load(spark, sf, "monthly"), "1998-02-14"), 5, "swe")
 
@@ -459,7 +494,7 @@ def swe_point(spark, sf):
   SELECT d.station_id, d.date, d.hs, y.td, coalesce(w.pptwt, 0) AS pptwt FROM daily d
   LEFT JOIN years y ON y.station_id = d.station_id AND y.year = year(d.date) - 1
   LEFT JOIN source s ON s.station_id = d.station_id
-  LEFT JOIN wint w ON w.station_id = s.source_id AND w.winter = year(d.date) - 1) t""", TD_SQL, WINTER_SQL))
+  LEFT JOIN wint w ON w.station_id = s.source_id AND w.winter = year(d.date) - 1) t""", TD_SQL, WINTER_SQL), dates="date")
 def swe_specific(spark, sf):
     return rounded(swe.swe_specific(views.load(spark, sf, "daily"), views.load(spark, sf, "monthly")), 5, "swe")
 
@@ -473,7 +508,7 @@ PENMAN_SQL = f"""penman AS (SELECT date, gs, lt, lf, dl AS daylight_hours, ra,
         WHERE g.gs IS NOT NULL AND a.lt IS NOT NULL AND a.lf IS NOT NULL) t)"""
 
 
-@query("penman_daily", duck(["daily"], "SELECT date, gs, lt, lf, round(daylight_hours, 7) AS daylight_hours, round(ra, 7) AS ra, round(epen, 7) AS epen FROM penman", PENMAN_SQL))
+@query("penman_daily", duck(["daily"], "SELECT date, gs, lt, lf, round(daylight_hours, 7) AS daylight_hours, round(ra, 7) AS ra, round(epen, 7) AS epen FROM penman", PENMAN_SQL), dates="date")
 def penman_daily(spark, sf):
     return rounded(lakes.penman_daily(views.load(spark, sf, "daily")), 7, "daylight_hours", "ra", "epen")
 
@@ -481,7 +516,7 @@ def penman_daily(spark, sf):
 @query("lake_evaporation", duck(["daily", "lake_calc"], f"""SELECT lake, date, wd, area_glatt, round(epen, 7) AS epen,
   CASE WHEN month(date) BETWEEN 6 AND 10 THEN round(area_glatt * epen, 4) END AS epen_area, round(-(area_glatt * epen / {SHED_SQL}), 7) AS epen_shed
 FROM (SELECT lake, date, wd, coalesce(area_glatt, {AREA_SQL}) AS area_glatt, epen FROM lake_calc LEFT JOIN penman USING (date)
-      WHERE wd IS NOT NULL AND NOT (lake = 'Limo' AND wd = 11)) t""", PENMAN_SQL))
+      WHERE wd IS NOT NULL AND NOT (lake = 'Limo' AND wd = 11)) t""", PENMAN_SQL), dates="date")
 def lake_evaporation(spark, sf):
     daily = views.load(spark, sf, "daily")
     rows = lakes.lake_evaporation(views.load(spark, sf, "lake_calc"), lakes.penman_daily(daily))
@@ -495,7 +530,7 @@ FROM (SELECT lake, date, w_change * 1000 / {SHED_SQL} AS mm FROM lake_log) l
 LEFT JOIN (SELECT date, n - n * 0.12e0 AS n FROM daily WHERE station_id = 4) n USING (date)
 LEFT JOIN (SELECT date, CASE WHEN lead(1) OVER w IS NULL THEN NULL WHEN swe > lead(swe) OVER w THEN swe - lead(swe) OVER w ELSE 0 END AS snowmelt
            FROM swe WHERE station_id = 2 AND date BETWEEN (SELECT min(date) FROM lake_log) AND (SELECT max(date) FROM lake_log)
-           WINDOW w AS (ORDER BY date)) m USING (date)""", TD_SQL, WINTER_SQL, SWE_SQL, LAKE_LOG))
+           WINDOW w AS (ORDER BY date)) m USING (date)""", TD_SQL, WINTER_SQL, SWE_SQL, LAKE_LOG), dates="date")
 def water_balance(spark, sf):
     out = lakes.water_balance(_lake_log(spark, sf), views.load(spark, sf, "daily"), _swe(spark, sf))
     return rounded(out, 5, "ssgw", "snowmelt")
@@ -505,7 +540,7 @@ def water_balance(spark, sf):
 FROM (SELECT date, w_change * 1000 / {SHED_SQL} AS w_change_shed FROM lake_log WHERE lake = 'Limo' AND date BETWEEN DATE '1996-08-13' AND DATE '1999-12-04') l
 FULL OUTER JOIN (SELECT date, n, n - n * 0.12e0 AS n_effective FROM daily WHERE station_id = 4 AND date BETWEEN
   (SELECT min(date) FROM lake_log WHERE lake = 'Limo' AND date BETWEEN DATE '1996-08-13' AND DATE '1999-12-04') AND
-  (SELECT max(date) FROM lake_log WHERE lake = 'Limo' AND date BETWEEN DATE '1996-08-13' AND DATE '1999-12-04')) n USING (date)""", LAKE_LOG))
+  (SELECT max(date) FROM lake_log WHERE lake = 'Limo' AND date BETWEEN DATE '1996-08-13' AND DATE '1999-12-04')) n USING (date)""", LAKE_LOG), dates="date")
 def baseflow(spark, sf):
     return lakes.baseflow(_lake_log(spark, sf), views.load(spark, sf, "daily"), "Limo", "1996-08-13", "1999-12-04")
 
@@ -517,7 +552,7 @@ FULL OUTER JOIN (SELECT date, n FROM daily WHERE station_id = 4 AND date BETWEEN
 FULL OUTER JOIN (SELECT date, CASE WHEN swe > lead(swe) OVER (ORDER BY date) THEN swe - lead(swe) OVER (ORDER BY date) END AS snowmelt
   FROM swe WHERE station_id = 2 AND date BETWEEN (SELECT min(date) FROM lake_log WHERE lake = 'Limo')
   AND (SELECT max(date) FROM lake_log WHERE lake = 'Limo')) m USING (date)""", TD_SQL,
-    WINTER_SQL.replace("ON own.station_id = source.source_id", "ON own.station_id = 5"), SWE_SQL, LAKE_LOG))
+    WINTER_SQL.replace("ON own.station_id = source.source_id", "ON own.station_id = 5"), SWE_SQL, LAKE_LOG), dates="date")
 def inflow_outflow(spark, sf):
     out = lakes.inflow_outflow(_lake_log(spark, sf), views.load(spark, sf, "daily"), _swe(spark, sf, precipitation_station=5))
     return rounded(out, 5, "snowmelt")
@@ -527,7 +562,7 @@ def inflow_outflow(spark, sf):
   ((high_volume - low_volume) + (seepage_ls / 1000) * dt) / dt * 1000 AS inflow
 FROM (SELECT lake, date AS high_date, volume AS high_volume, lead(date, 10) OVER w AS low_date, lead(volume, 10) OVER w AS low_volume,
         5 + wd AS seepage_ls, date_diff('day', date, lead(date, 10) OVER w) * 86400e0 AS dt
-      FROM lake_log WINDOW w AS (PARTITION BY lake ORDER BY date)) t WHERE low_date IS NOT NULL""", LAKE_LOG))
+      FROM lake_log WINDOW w AS (PARTITION BY lake ORDER BY date)) t WHERE low_date IS NOT NULL""", LAKE_LOG), dates="high_date low_date")
 def seepage_inflow(spark, sf):
     w = clean.series_window("lake", "date")
     stands = _lake_log(spark, sf).select(
@@ -573,17 +608,17 @@ def volume_swe_regression(spark, sf):
     return _regression(panels.volume_snow_regression(views.load(spark, sf, "lake_calc"), _swe(spark, sf), "Limo", "swe"))
 
 
-@query("volume_with_accumulation", duck(["daily", "monthly", "lake_calc"], """SELECT date, v.volume, v.vol_calc, n.n, s.season, round(s.cum, 5) AS cum
+@query("volume_with_accumulation", duck(["daily", "monthly", "lake_calc"], """SELECT date, v.volume, v.vol_calc, n.n, round(s.cum, 5) AS cum
 FROM (SELECT date, volume, vol_calc FROM lake_calc WHERE lake = 'Limo') v
 FULL OUTER JOIN (SELECT date, n FROM daily WHERE station_id = 4 AND date BETWEEN DATE '1995-10-01' AND DATE '2001-06-01') n USING (date)
 FULL OUTER JOIN (SELECT date, season, cum FROM cums WHERE station_id = 2) s USING (date)""",
-    TD_SQL, WINTER_SQL, SWE_SQL, SWE_SEASON.replace("AS hs FROM swe)", "AS hs FROM swe WHERE date BETWEEN DATE '1995-10-01' AND DATE '2001-06-01')")))
+    TD_SQL, WINTER_SQL, SWE_SQL, SWE_SEASON.replace("AS hs FROM swe)", "AS hs FROM swe WHERE date BETWEEN DATE '1995-10-01' AND DATE '2001-06-01')")), dates="date")
 def volume_with_accumulation(spark, sf):
     out = panels.volume_with_accumulation(
         views.load(spark, sf, "lake_calc"), views.load(spark, sf, "daily"), _swe(spark, sf), "Limo", "swe",
         first="1995-10-01", last="2001-06-01",
     )
-    return rounded(out, 5, "cum")
+    return rounded(out.drop("season"), 5, "cum")
 
 
 # --- fits and distributions -----------------------------------------------------------------
@@ -849,12 +884,12 @@ def _historic(spark, sf):
     return historic.parse_historic(views.load(spark, sf, "historic"), "2000-08-01")
 
 
-@query("historic_parse", duck(["historic"], "SELECT * FROM parsed", HISTORIC_SQL))
+@query("historic_parse", duck(["historic"], "SELECT * FROM parsed", HISTORIC_SQL), dates="date")
 def historic_parse(spark, sf):
     return _historic(spark, sf)
 
 
-@query("historic_wide", duck(["historic"], "SELECT * FROM hwide", HISTORIC_SQL, HISTORIC_WIDE))
+@query("historic_wide", duck(["historic"], "SELECT * FROM hwide", HISTORIC_SQL, HISTORIC_WIDE), dates="date")
 def historic_wide(spark, sf):
     return historic.historic_wide(_historic(spark, sf)).drop("lf", "sd", "gs")
 
@@ -903,7 +938,7 @@ FROM (SELECT *, unnest(generate_series(1, parts)) AS part FROM (
       SELECT station_id, unnest(sensors) AS sensor, greatest(latest_date, DATE '2014-08-01') AS start FROM (
         SELECT o_custkey AS station_id, CAST(max(o_orderdate) AS DATE) + 6575 AS latest_date,
           list_distinct(list(CASE o_orderstatus WHEN 'F' THEN 'LT' WHEN 'O' THEN 'N' ELSE 'HS' END)) AS sensors
-        FROM orders GROUP BY 1) a WHERE latest_date <> DATE '2020-05-07') b) c) d) e""", "one AS (SELECT 1)"))
+        FROM orders GROUP BY 1) a WHERE latest_date <> DATE '2020-05-07') b) c) d) e""", "one AS (SELECT 1)"), dates="date_from date_to")
 def request_plan(spark, sf):
     """Every customer as a station, last seen on the day of its latest order (18 years on)."""
     sensor = F.when(F.col("o_orderstatus") == "F", "LT").when(F.col("o_orderstatus") == "O", "N").otherwise("HS")
@@ -922,7 +957,7 @@ def logger_normalise(spark, sf):
     return tables.normalise_logger(sheet, [0, 2, 4])
 
 
-@query("read_lake_csv", duck(["lake_depth"], "SELECT lake, date, wd, volume, w_change FROM lake_log WHERE lake = 'Limo'", LAKE_LOG))
+@query("read_lake_csv", duck(["lake_depth"], "SELECT lake, date, wd, volume, w_change FROM lake_log WHERE lake = 'Limo'", LAKE_LOG), dates="date")
 def read_lake_csv(spark, sf):
     """Lake log exported to CSV and read back."""
     path = scratch_dir(spark, "lake-csv")
@@ -932,7 +967,7 @@ def read_lake_csv(spark, sf):
     return tables.read_lake_log(spark, path, "Limo")
 
 
-@query("read_isotope_csv", duck(["isotopes"], "SELECT site, date, CAST(sample AS VARCHAR) AS sample, d18o, d18o_sd, d2h, d2h_sd FROM isotopes"))
+@query("read_isotope_csv", duck(["isotopes"], "SELECT site, date, CAST(sample AS VARCHAR) AS sample, d18o, d18o_sd, d2h, d2h_sd FROM isotopes"), dates="date")
 def read_isotope_csv(spark, sf):
     path = scratch_dir(spark, "isotope-csv")
     rows = views.load(spark, sf, "isotopes")
@@ -1008,7 +1043,7 @@ def stream_merge(spark, sf):
 # --- isotopes, panels, filters -----------------------------------------------------------------------------
 
 @query("isotope_line", duck(["isotopes"], """SELECT date, d18o, d2h, d18o - d18o_sd AS d18o_lo, d18o + d18o_sd AS d18o_hi, d2h - d2h_sd AS d2h_lo, d2h + d2h_sd AS d2h_hi,
-  8 * d18o + 10 AS line, 8 * d18o + 2 AS line_lo, 8 * d18o + 18 AS line_hi FROM isotopes WHERE site = 'LimoseeNord'"""))
+  8 * d18o + 10 AS line, 8 * d18o + 2 AS line_lo, 8 * d18o + 18 AS line_hi FROM isotopes WHERE site = 'LimoseeNord'"""), dates="date")
 def isotope_line(spark, sf):
     return panels.isotope_view(views.load(spark, sf, "isotopes"), "LimoseeNord")
 
@@ -1023,12 +1058,12 @@ def isotope_line_grid(spark, sf):
     return rounded(out, 7, "x", "line", "line_lo", "line_hi")
 
 
-@query("isotope_by_date", duck(["isotopes"], "SELECT site, date, d18o, d18o - d18o_sd AS d18o_lo, d18o + d18o_sd AS d18o_hi FROM isotopes"))
+@query("isotope_by_date", duck(["isotopes"], "SELECT site, date, d18o, d18o - d18o_sd AS d18o_lo, d18o + d18o_sd AS d18o_hi FROM isotopes"), dates="date")
 def isotope_by_date(spark, sf):
     return panels.isotopes_by_date(views.load(spark, sf, "isotopes"))
 
 
-@query("isotope_by_date_without", duck(["isotopes"], "SELECT site, date, d18o, d18o - d18o_sd AS d18o_lo, d18o + d18o_sd AS d18o_hi FROM isotopes WHERE site <> 'LimoseeSüd'"))
+@query("isotope_by_date_without", duck(["isotopes"], "SELECT site, date, d18o, d18o - d18o_sd AS d18o_lo, d18o + d18o_sd AS d18o_hi FROM isotopes WHERE site <> 'LimoseeSüd'"), dates="date")
 def isotope_by_date_without(spark, sf):
     return panels.isotopes_by_date(views.load(spark, sf, "isotopes"), "LimoseeSüd")
 
@@ -1049,14 +1084,14 @@ def _panels(spark, sf, rule, overrides=None):
     return panels.winter_panels(views.load(spark, sf, "processed"), rule, overrides, first=1995, last=2000, skip=(1997,))
 
 
-@query("winter_panel_monthly", duck(["processed"], f"SELECT *, {WINTER_LABEL} FROM p", f"p AS ({WINTER_PANEL.format('monthly')})"))
+@query("winter_panel_monthly", duck(["processed"], f"SELECT *, {WINTER_LABEL} FROM p", f"p AS ({WINTER_PANEL.format('monthly')})"), dates="date")
 def winter_panel_monthly(spark, sf):
     return _panels(spark, sf, "monthly")
 
 
 @query("winter_panel_daily", duck(["processed"], f"""SELECT station_id, date, CASE WHEN station_id = 1 AND date BETWEEN DATE '1996-10-17' AND DATE '1996-11-03' THEN 0 ELSE hs END AS hs,
   season, {WINTER_LABEL} FROM p SEMI JOIN (SELECT station_id, season FROM p GROUP BY 1, 2 HAVING max(abs(hs)) > 0) s USING (station_id, season)""",
-    f"p AS ({WINTER_PANEL.format('daily')})"))
+    f"p AS ({WINTER_PANEL.format('daily')})"), dates="date")
 def winter_panel_daily(spark, sf):
     """Daily winters with the zero period of one station."""
     zero = spark.sql(f"SELECT 1 AS station_id, DATE '{OVERRIDES[0]}' AS from_date, DATE '{OVERRIDES[1]}' AS to_date")
@@ -1093,7 +1128,7 @@ def day_slice(spark, sf):
 
 @query("season_slice", duck(["daily"], """SELECT station_id, date, hs, CAST(year(date) - CASE WHEN month(date) < 10 THEN 1 ELSE 0 END AS INTEGER) AS season FROM daily
 WHERE month(date) NOT IN (7, 8, 9) AND year(date) - CASE WHEN month(date) < 10 THEN 1 ELSE 0 END BETWEEN 1996 AND 2000
-  AND year(date) - CASE WHEN month(date) < 10 THEN 1 ELSE 0 END <> 1998"""))
+  AND year(date) - CASE WHEN month(date) < 10 THEN 1 ELSE 0 END <> 1998"""), dates="date")
 def season_slice(spark, sf):
     return filters.seasons(views.load(spark, sf, "daily").select("station_id", "date", "hs"), first=1996, last=2000, skip=(1998,))
 
@@ -1148,16 +1183,17 @@ def _roll(c, least):
     return f"CASE WHEN count({c}) OVER w >= {least} THEN avg({c}) OVER w END AS {c}_rol"
 
 
-@query("spring_panel_hourly", duck(["spring", "readings"], f"""SELECT site, period, l.wt, l.slt, l.slt_rol, l.wt_rol, r.n FROM (
+@query("spring_panel_hourly", duck(["spring", "readings"], f"""SELECT site, period, l.wt, l.slt, round(l.slt_rol, 9) AS slt_rol, round(l.wt_rol, 9) AS wt_rol, r.n FROM (
   SELECT * FROM (SELECT *, {_roll('slt', 24)}, {_roll('wt', 24)} FROM logger WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP}) l
 FULL OUTER JOIN (SELECT period, n FROM now WHERE rule = 'hourly' AND station_id = 4 AND {IN_SPAN} AND {CLIP}) r USING (period)""",
     _pivot("readings"), PROCESSED_NOW, _logger_sql("hour", "'spring'", ["wt", "slt"])))
 def spring_panel_hourly(spark, sf):
     spring = views.load(spark, sf, "spring").where("site = 'spring'")
-    return panels.spring_panel(spring, _processed_now(spark, sf), "Hourly")
+    return rounded(panels.spring_panel(spring, _processed_now(spark, sf), "Hourly"), 9, "slt_rol", "wt_rol")
 
 
-@query("spring_snow_panel", duck(["spring", "readings"], f"""SELECT site, period, l.wt, l.slt, l.slt_rol, l.wt_rol, r.n, s.hs, s.lt, s.hs_rol, s.lt_rol FROM (
+@query("spring_snow_panel", duck(["spring", "readings"], f"""SELECT site, period, l.wt, l.slt, round(l.slt_rol, 9) AS slt_rol, round(l.wt_rol, 9) AS wt_rol, r.n,
+  s.hs, s.lt, round(s.hs_rol, 9) AS hs_rol, round(s.lt_rol, 9) AS lt_rol FROM (
   SELECT * FROM (SELECT *, {_roll('slt', 16)}, {_roll('wt', 16)} FROM (SELECT site, ts AS period, wt, slt FROM sclean) c
     WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP}) l
 FULL OUTER JOIN (SELECT period, n FROM now WHERE rule = 'hourly' AND station_id = 4 AND {IN_SPAN} AND {CLIP}) r USING (period)
@@ -1167,7 +1203,8 @@ FULL OUTER JOIN (SELECT period, hs, lt, hs_rol, lt_rol FROM (SELECT *, {_roll('h
     SPRING_CLEAN.replace("FROM spring WINDOW", "FROM (SELECT site, period AS ts, wt, slt FROM logger) lg WINDOW")))
 def spring_snow_panel(spark, sf):
     spring = views.load(spark, sf, "spring").where("site = 'spring'")
-    return panels.spring_snow_panel(spring, _processed_now(spark, sf), "Hourly", clean=True)
+    out = panels.spring_snow_panel(spring, _processed_now(spark, sf), "Hourly", clean=True)
+    return rounded(out, 9, "slt_rol", "wt_rol", "hs_rol", "lt_rol")
 
 
 CLIP_LOW = CLIP.replace("FROM logger", "FROM logger WHERE site = 'lower'")

@@ -8,12 +8,24 @@ counts per (station, day): a table with at most one row per calendar day, built
 a map-side combined count. Days are copied until the required number of rows is
 surely there, also across gaps and across chunks shorter than the reach, so the
 result equals the plain window exactly.
+
+Input files small enough for one task skip all this and use the plain window.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 CHUNK_DAYS = 30
+PLAIN_BYTES = 32 << 20
+
+
+def input_bytes(df):
+    """Bytes the optimizer expects to read for ``df``: the sum over its scans after pruning.
+
+    Sources of unknown size count as huge, as they do for the optimizer itself.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def _targets(rows, keys, day, before, after):
@@ -36,13 +48,18 @@ def _targets(rows, keys, day, before, after):
     return days.select(*keys, day, chunks.alias("_chunks")).where(F.size("_chunks") > 0)
 
 
-def with_halo(df, apply, *, keys=("station_id",), ts="ts", before=0, after=0, chunk_days=CHUNK_DAYS):
+def with_halo(df, apply, *, keys=("station_id",), ts="ts", before=0, after=0, chunk_days=None):
     """Run ``apply(df, window)`` as if ``window`` were the whole series of each key.
 
     ``apply`` must look at most ``before`` rows back and ``after`` rows forward.
     One shuffle of the data on (keys, chunk); the copies are a few days per chunk.
+    Without ``chunk_days`` the size of the input decides whether to cut at all.
     """
     keys = list(keys)
+    if chunk_days is None:
+        if input_bytes(df) <= PLAIN_BYTES:
+            return apply(df, Window.partitionBy(*keys).orderBy(ts))
+        chunk_days = CHUNK_DAYS
     rows = df.withColumn("_day", F.to_date(ts)).withColumn(
         "_chunk", F.floor(F.datediff("_day", F.lit("1970-01-01").cast("date")) / chunk_days)
     )

@@ -6,6 +6,7 @@ k weights, means and deviations of each restart.
 """
 
 import math
+import sys
 
 import numpy as np
 from pyspark import StorageLevel
@@ -45,45 +46,44 @@ def _starts(df, column, k, n_init, seed):
     )
     if spread is None:
         raise ValueError(f"no values in {column}")
-    sd = max(spread / k, math.sqrt(VARIANCE_FLOOR))
+    sd = max(float(spread) / k, math.sqrt(VARIANCE_FLOOR))
     # equal start means could never part again
     return [
         [(1.0 / k, means[r * k + j] + 1e-3 * sd * j, sd) for j in range(k)] for r in range(n_init)
     ]
 
 
+def _params_sql(states):
+    def fields(comps):
+        return ", ".join(f"'w{j}', {math.log(w)!r}D, 'm{j}', {m!r}D, 's{j}', {s!r}D" for j, (w, m, s) in enumerate(comps))
+
+    return "array(" + ", ".join(f"named_struct('r', {r}, {fields(c)})" for r, c in states.items()) + ")"
+
+
 def _expectation(hist, states, k):
-    """One pass: per restart the responsibilities' sums and the log-likelihood."""
-    params = F.array(*[
-        F.struct(F.lit(r).alias("r"), *[
-            f for j, (w, m, s) in enumerate(comps)
-            for f in (F.lit(math.log(w)).alias(f"w{j}"), F.lit(m).alias(f"m{j}"), F.lit(s).alias(f"s{j}"))
-        ]) for r, comps in states.items()
-    ])
-    rows = hist.select("value", "cnt", F.explode(params).alias("p")).select("value", "cnt", "p.*")
-
-    def log_density(j):
-        z = (F.col("value") - F.col(f"m{j}")) / F.col(f"s{j}")
-        return F.col(f"w{j}") - F.log(F.col(f"s{j}")) - 0.5 * math.log(2 * math.pi) - 0.5 * z * z
-
-    rows = rows.select("*", *[log_density(j).alias(f"l{j}") for j in range(k)])
-    top = F.greatest(*[F.col(f"l{j}") for j in range(k)]) if k > 1 else F.col("l0")
-    rows = rows.withColumn("top", top)
-    rows = rows.select("*", *[F.exp(F.col(f"l{j}") - F.col("top")).alias(f"e{j}") for j in range(k)])
-    total = sum((F.col(f"e{j}") for j in range(1, k)), F.col("e0"))
-    rows = rows.withColumn("tot", total)
-    sums = [F.sum(F.col("cnt") * (F.col("top") + F.log("tot"))).alias("ll"), F.sum("cnt").alias("total")]
-    for j in range(k):
-        resp = F.col("cnt") * F.col(f"e{j}") / F.col("tot")
-        off = F.col("value") - F.col(f"m{j}")
-        sums += [F.sum(resp).alias(f"n{j}"), F.sum(resp * off).alias(f"d{j}"), F.sum(resp * off * off).alias(f"q{j}")]
-    return {row["r"]: row for row in rows.groupBy("r").agg(*sums).collect()}
+    """One pass over the histogram: per restart the responsibilities' sums and the log-likelihood."""
+    comps = range(k)
+    half_log_2pi = 0.5 * math.log(2 * math.pi)
+    rows = (
+        hist.selectExpr("value", "cnt", f"inline({_params_sql(states)})")
+        .selectExpr("*", *[
+            f"w{j} - ln(s{j}) - {half_log_2pi!r}D - 0.5D * ((value - m{j}) / s{j}) * ((value - m{j}) / s{j}) AS l{j}" for j in comps
+        ])
+        .selectExpr("*", ("greatest(" + ", ".join(f"l{j}" for j in comps) + ")" if k > 1 else "l0") + " AS top")
+        .selectExpr("*", *[f"exp(l{j} - top) AS e{j}" for j in comps])
+        .selectExpr("*", " + ".join(f"e{j}" for j in comps) + " AS tot")
+    )
+    sums = ["sum(cnt) AS total", "sum(cnt * (top + ln(tot))) AS ll"]
+    for j in comps:
+        resp = f"cnt * e{j} / tot"
+        sums += [f"sum({resp}) AS n{j}", f"sum({resp} * (value - m{j})) AS d{j}", f"sum({resp} * (value - m{j}) * (value - m{j})) AS q{j}"]
+    return {row["r"]: row for row in rows.groupBy("r").agg(*map(F.expr, sums)).collect()}
 
 
 def _maximise(row, comps):
     out = []
     for j, (_, mean, _) in enumerate(comps):
-        n = max(row[f"n{j}"], 10 * np.finfo(float).eps)
+        n = max(row[f"n{j}"], 10 * sys.float_info.epsilon)
         shift = row[f"d{j}"] / n
         var = max(row[f"q{j}"] / n - shift * shift, 0.0) + VARIANCE_FLOOR
         out.append((n / row["total"], mean + shift, math.sqrt(var)))

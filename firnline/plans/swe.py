@@ -3,13 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.hydro import hydro_day, snow_water_equivalent
-from ..operators.climate import (
-    temperature_range,
-    temperature_range_before,
-    winter_precipitation,
-    winter_precipitation_before,
-    winter_precipitation_of,
-)
+from ..operators.climate import station_climate, temperature_range_before, winter_precipitation_before
 from ..schema import STATION_ID
 
 
@@ -20,13 +14,15 @@ def _swe(df):
 def climate(monthly, precipitation_station=None, fallback_id=STATION_ID["Wolkenstein"]):
     """Temperature range and winter precipitation of every station (one row each).
 
-    With ``precipitation_station`` all stations take that station's precipitation.
+    With ``precipitation_station`` all stations take that station's precipitation;
+    otherwise each has its own, or the fallback's where it measured none.
     """
-    td = temperature_range(monthly)
+    own = station_climate(monthly)
+    other = fallback_id if precipitation_station is None else precipitation_station
+    borrowed = station_climate(monthly.where(F.col("station_id") == other)).select("pptwt").scalar()
     if precipitation_station is None:
-        return td.join(winter_precipitation_of(monthly, fallback_id), "station_id", "left")
-    one = winter_precipitation(monthly.where(F.col("station_id") == precipitation_station))
-    return td.withColumn("pptwt", one.select("pptwt").scalar())
+        borrowed = F.when(F.col("total") == 0, borrowed).otherwise(F.col("pptwt"))
+    return own.select("station_id", "td", borrowed.alias("pptwt"))
 
 
 def swe_period(daily, monthly, start=None, end=None, precipitation_station=None):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import period
 from ..operators.align import align
-from ..operators.chunks import CHUNK_DAYS, with_halo
+from ..operators.chunks import with_halo
 from ..operators.clean import SNOW_REACH, clean_series, clean_snow
 from ..operators.latest import available_sensors, latest_rows, time_span
 from ..operators.merge import overlay
@@ -18,7 +18,7 @@ from ..sources.store import PROCESSED, merge_raw, read_table, write_processed
 from ..sources.tables import stations
 
 
-def processed_rows(raw, rules=PERIOD_RULES, chunk_days=CHUNK_DAYS):
+def processed_rows(raw, rules=PERIOD_RULES, chunk_days=None):
     """Cleaned complete periods of all rules from raw wide rows."""
     rolled = resample_rules(clean_series(raw, chunk_days), available_sensors(raw), rules)
     return only_complete(rolled, complete_bounds(time_span(raw), rules))
@@ -72,7 +72,7 @@ def update_all(spark, json_path, raw_path, processed_path, manifest_path):
     return len(paths)
 
 
-def moving_average(raw, chunk_days=CHUNK_DAYS):
+def moving_average(raw, chunk_days=None):
     """Trailing mean of the cleaned snow height: cleaning and mean in one pass over the chunks."""
     def run(rows, window):
         return trailing_mean(clean_snow(rows, window), "hs", window, "hs_mean")
