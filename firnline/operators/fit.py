@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hydro import poly_eval
+from .sizes import is_small, settled
 
 
 def linear_regression(df, x, y, key=None):
@@ -60,6 +61,8 @@ def poly_fit(df, key, x, y, degree, order=None):
     Power sums of the centred and scaled x are one aggregation each; only one row per
     group reaches Python, for a solve of at most 4 x 4. Groups with too few different
     x get null coefficients. ``order`` says which x is first and last (default: x).
+    For large input the per-group rows are settled between the passes, so that joining
+    them back does not shuffle the data by group.
     """
     if degree not in (1, 2, 3):
         raise ValueError("degree must be 1, 2 or 3")
@@ -71,6 +74,9 @@ def poly_fit(df, key, x, y, degree, order=None):
         F.when(F.stddev_pop("x") > 0, F.stddev_pop("x")).otherwise(F.lit(1.0)).alias("sx"),
         F.min_by("x", "o").alias("first_x"), F.max_by("x", "o").alias("last_x"),
     )
+    small = is_small(rows)
+    if not small:
+        stats = settled(stats, "fit-stats")
     t = (F.col("x") - F.col("mx")) / F.col("sx")
     u = F.col("y") - F.col("my")
 
@@ -95,6 +101,8 @@ def poly_fit(df, key, x, y, degree, order=None):
         T.StructField("last_x", T.DoubleType()),
     ])
     fits = sums.mapInPandas(_solver(degree), out)
+    if not small:
+        fits = settled(fits, "fit-coefs")
     miss = F.col("y") - poly_eval("x", "coefs")
     residuals = rows.select("key", "x", "y").join(fits.select("key", "coefs"), "key").groupBy("key").agg(F.sum(miss * miss).alias("rss"))
     return fits.join(residuals, "key").withColumnRenamed("key", key)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.periods import complete_before, period
+from ..functions.periods import complete_before, hour_start, period
 from ..schema import PERIOD_RULES, SENSOR_COLS, rule_name
 
 MEAN_ALL = {c: "mean" for c in SENSOR_COLS}
@@ -23,18 +23,27 @@ def resample(df, rule, how=PRECIPITATION_STATION, key="station_id", ts="ts"):
     return df.groupBy(key, period(ts, rule).alias("period")).agg(*aggs)
 
 
+def _sums_and_counts(columns):
+    return [F.sum(c).alias(f"s_{c}") for c in columns] + [F.count(c).alias(f"k_{c}") for c in columns]
+
+
+def _added_up(columns):
+    return [F.sum(f"{p}_{c}").alias(f"{p}_{c}") for p in ("s", "k") for c in columns]
+
+
 def resample_rules(df, precipitation_stations, rules=PERIOD_RULES, key="station_id", ts="ts"):
-    """All rules in one aggregation of the cleaned frame.
+    """All rules from one pass over the cleaned frame.
 
-    ``precipitation_stations`` has one row per station (key, has_n): stations with
-    precipitation sum n, sd and gs, the others average everything. Both forms come
-    from the same sums and counts, so the choice is made on the rolled-up rows.
+    Readings are added up to sums and counts per hour once; the rules are formed from
+    those, so every mean is still the mean over readings. ``precipitation_stations`` has
+    one row per station (key, has_n): stations with precipitation sum n, sd and gs, the
+    others average everything. Both forms come from the same sums and counts, so the
+    choice is made on the rolled-up rows.
     """
-    labels = F.array(*[F.struct(F.lit(rule_name(r)).alias("rule"), period(ts, r).alias("period")) for r in rules])
-    spread = df.select(key, *SENSOR_COLS, F.explode(labels).alias("_p")).select(key, "_p.*", *SENSOR_COLS)
-    sums = spread.groupBy(key, "rule", "period").agg(
-        *[F.sum(c).alias(f"s_{c}") for c in SENSOR_COLS], *[F.count(c).alias(f"k_{c}") for c in SENSOR_COLS]
-    )
+    hours = df.groupBy(key, hour_start(ts).alias("hour")).agg(*_sums_and_counts(SENSOR_COLS))
+    labels = F.array(*[F.struct(F.lit(rule_name(r)).alias("rule"), period("hour", r).alias("period")) for r in rules])
+    spread = hours.withColumn("_p", F.explode(labels)).select("*", "_p.rule", "_p.period")
+    sums = spread.groupBy(key, "rule", "period").agg(*_added_up(SENSOR_COLS))
 
     def value(c):
         mean = F.try_divide(F.col(f"s_{c}"), F.col(f"k_{c}"))
