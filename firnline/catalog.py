@@ -236,10 +236,10 @@ def _processed_sql(src):
         def either(c, digits):
             return (f"CASE WHEN any_value(k.n) > 0 THEN round(coalesce(sum(c.{c}), 0), {digits}) ELSE round(avg(c.{c}), {digits}) END AS {c}")
         return (f"SELECT c.station_id, '{rule}' AS rule, {P[rule].replace('ts', 'c.ts', 1)} AS period, avg(c.lt) AS lt, avg(c.lf) AS lf, avg(c.hs) AS hs, "
-                f"{either('n', 9)}, {either('sd', 9)}, {either('gs', 9)} FROM cleaned c LEFT JOIN newest k USING (station_id) JOIN latest USING (station_id) "
+                f"{either('n', 9)}, {either('sd', 9)}, {either('gs', 9)} FROM cleaned c LEFT JOIN rained k USING (station_id) JOIN latest USING (station_id) "
                 f"WHERE c.ts < {BOUND_SQL[rule]} GROUP BY 1, 2, 3")
     body = " UNION ALL ".join(one(r) for r in PERIOD_SQL).replace("cleaned cs", "cleaned c")
-    return body, (_clean(src), _newest(src), LATEST_RAW.format(src))
+    return body, (_clean(src), f"rained AS (SELECT station_id, count(n) AS n FROM {src} GROUP BY 1)", LATEST_RAW.format(src))
 
 
 _body, _ctes = _processed_sql("wide")

@@ -37,3 +37,8 @@ def available_sensors(wide, n=10, key="station_id", ts="ts"):
     counts = newest.groupBy(key).agg(*[F.count(c).alias(c) for c in SENSOR_COLS])
     names = F.array_compact(F.array(*[F.when(F.col(c) > 0, F.lit(s)) for s, c in zip(SENSORS, SENSOR_COLS)]))
     return counts.select(key, names.alias("sensors"), (F.col("n") > 0).alias("has_n"))
+
+
+def precipitation_stations(wide, key="station_id"):
+    """Which stations measured precipitation at all in these rows."""
+    return wide.groupBy(key).agg((F.count("n") > 0).alias("has_n"))

@@ -6,7 +6,7 @@ from ..functions.periods import period
 from ..operators.align import align
 from ..operators.chunks import with_halo
 from ..operators.clean import SNOW_REACH, clean_series, clean_snow
-from ..operators.latest import available_sensors, latest_rows, time_span
+from ..operators.latest import latest_rows, precipitation_stations, time_span
 from ..operators.merge import overlay
 from ..operators.moving import TRAILING_ROWS, trailing_mean
 from ..operators.resample import complete_bounds, only_complete, resample_rules
@@ -19,8 +19,12 @@ from ..sources.tables import stations
 
 
 def processed_rows(raw, rules=PERIOD_RULES, chunk_days=None):
-    """Cleaned complete periods of all rules from raw wide rows."""
-    rolled = resample_rules(clean_series(raw, chunk_days), available_sensors(raw), rules)
+    """Cleaned complete periods of all rules from raw wide rows.
+
+    A station counts as one with precipitation when any of these rows has some, so a
+    sensor that is silent for a while does not turn its sums into means.
+    """
+    rolled = resample_rules(clean_series(raw, chunk_days), precipitation_stations(raw), rules)
     return only_complete(rolled, complete_bounds(time_span(raw), rules))
 
 

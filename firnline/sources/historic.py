@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.text import date_of, decimal_comma
 from ..operators.clean import keep_good_status
 from ..schema import GOOD_STATUS, PORTAL_START, SENSORS, STATIONS
+from .portal import plain_file_name
 
 DATA_LINE = r"^\d{2}/\d{2}/\d{4}\t"
 LINE_SCHEMA = "day string, time string, value string, status string"
@@ -35,7 +36,7 @@ def parse_historic(lines, cut=PORTAL_START):
 
 
 def read_historic(spark, path, cut=PORTAL_START):
-    lines = spark.read.text(path).withColumn("file_name", F.col("_metadata.file_name"))
+    lines = spark.read.text(path).withColumn("file_name", plain_file_name())
     return parse_historic(lines, cut)
 
 

@@ -21,12 +21,17 @@ def parse_portal(records, file_name="file_name"):
     ).where((F.col("sensor") != "") & F.col("ts").isNotNull())
 
 
+def plain_file_name():
+    """Name of the file a row came from; Spark reports it URL-encoded (blanks as %20)."""
+    return F.try_url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def read_portal_json(spark, path):
     """Readings of all files under ``path`` (a path, a glob or a list of paths)."""
     files = spark.read.schema(PORTAL_JSON).option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.json"
     ).json(path)
-    return parse_portal(files.withColumn("file_name", F.col("_metadata.file_name")))
+    return parse_portal(files.withColumn("file_name", plain_file_name()))
 
 
 def with_station_id(readings, stations):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.align import drop_empty, pivot_sensors
 from ..schema import PORTAL_JSON, SENSOR_COLS, rule_name
-from ..sources.portal import parse_portal
+from ..sources.portal import parse_portal, plain_file_name
 from ..sources.store import merge_raw
 
 # fixed value: weeks run from Monday; the epoch was a Thursday
@@ -22,7 +22,7 @@ def read_portal_stream(spark, path, files_per_batch=1000):
         spark.readStream.schema(PORTAL_JSON).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_batch).json(path)
     )
-    return parse_portal(files.withColumn("file_name", F.col("_metadata.file_name")))
+    return parse_portal(files.withColumn("file_name", plain_file_name()))
 
 
 def with_event_time(readings, delay=DELAY, ts="ts"):
