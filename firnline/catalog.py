@@ -671,10 +671,23 @@ def poly_curve(spark, sf):
     return rounded(rounded(fit.poly_curve(_fit(spark, sf, 2), "l_returnflag"), 9, "x"), 3, "y")
 
 
-@query("poly_fit_cubic")
+CUBIC = """m AS (SELECT l_returnflag, avg(l_quantity) AS mx, avg(l_extendedprice) AS my, count(*) AS n FROM lineitem GROUP BY 1),
+s AS (SELECT l_returnflag, any_value(mx) AS mx, any_value(my) AS my, any_value(n) AS n, sum(t ** 2) AS s2, sum(t ** 3) AS s3, sum(t ** 4) AS s4, sum(t ** 5) AS s5,
+        sum(t ** 6) AS s6, sum(t * u) AS t1, sum(t ** 2 * u) AS t2, sum(t ** 3 * u) AS t3
+      FROM (SELECT l_returnflag, mx, my, n, l_quantity - mx AS t, l_extendedprice - my AS u FROM lineitem JOIN m USING (l_returnflag)) x GROUP BY 1),
+c AS (SELECT *, s2 AS a11, s3 AS a12, s4 AS a13, s4 - s2 * s2 / n AS a22, s5 - s2 * s3 / n AS a23, s6 - s3 * s3 / n AS a33 FROM s),
+d AS (SELECT *, a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13) AS det FROM c),
+b AS (SELECT *, (t1 * (a22 * a33 - a23 * a23) - a12 * (t2 * a33 - a23 * t3) + a13 * (t2 * a23 - a22 * t3)) / det AS b1,
+        (a11 * (t2 * a33 - a23 * t3) - t1 * (a12 * a33 - a23 * a13) + a13 * (a12 * t3 - t2 * a13)) / det AS b2,
+        (a11 * (a22 * t3 - t2 * a23) - a12 * (a12 * t3 - t2 * a13) + t1 * (a12 * a23 - a22 * a13)) / det AS b3 FROM d)"""
+
+
+@query("poly_fit_cubic", duck([], """SELECT l_returnflag, n AS pairs, round(b3, 6) AS c3, round(b2 - 3 * b3 * mx, 4) AS c2,
+  round(b1 - 2 * b2 * mx + 3 * b3 * mx ** 2, 3) AS c1, round(my - b2 * s2 / n - b3 * s3 / n - b1 * mx + b2 * mx ** 2 - b3 * mx ** 3, 2) AS c0 FROM b""", CUBIC))
 def poly_fit_cubic(spark, sf):
     c = F.col("coefs")
-    return _fit(spark, sf, 3).select("l_returnflag", *[F.round(c[i], 4).alias(f"c{3 - i}") for i in range(4)], "pairs")
+    digits = (6, 4, 3, 2)
+    return _fit(spark, sf, 3).select("l_returnflag", "pairs", *[F.round(c[i], d).alias(f"c{3 - i}") for i, d in enumerate(digits)])
 
 
 GRID_END = "gmax AS (SELECT round_even((max(slt) + 51) / 100, 0) * 100 AS hi FROM conductivity)"
@@ -717,7 +730,9 @@ def component_peaks(spark, sf):
     return rounded(density.component_peaks(_curves(spark, sf)), 9, "peak")
 
 
-@query("gaussian_mixture")
+# the two groups lie so far apart that the fit is that of each group by itself
+@query("gaussian_mixture", duck(["conductivity"], """SELECT CAST(row_number() OVER (ORDER BY count(*) DESC) AS INTEGER) AS component, round(avg(slt), 3) AS mean,
+  round(count(*) / sum(count(*)) OVER (), 3) AS weight, round(sqrt(var_pop(slt) + 1e-6), 3) AS std FROM conductivity GROUP BY slt < 250"""))
 def gaussian_mixture(spark, sf):
     out = mixture.gaussian_mixture(views.load(spark, sf, "conductivity"), "slt", 2)
     return rounded(out, 3, "mean", "weight", "std")
@@ -967,6 +982,29 @@ def read_lake_csv(spark, sf):
     return tables.read_lake_log(spark, path, "Limo")
 
 
+@query("read_lake_calc_csv", duck(["lake_calc"], "SELECT lake, date, area_glatt, vol_calc, volume, wd FROM lake_calc WHERE lake = 'Parom'"), dates="date")
+def read_lake_calc_csv(spark, sf):
+    """Sparse lake table exported to CSV and read back."""
+    path = scratch_dir(spark, "lake-calc-csv")
+    none = F.lit(None).cast("double")
+    views.load(spark, sf, "lake_calc").where("lake = 'Parom'").select(
+        F.col("date").alias("Datum"), none.alias("Area"), F.col("area_glatt").alias("Area_glatt"), F.col("vol_calc").alias("Vol_calc"),
+        F.col("volume").alias("Volume"), F.col("wd").alias("WD"), none.alias("WD_calc"), none.alias("WD_calc_smooth"),
+    ).write.csv(path, header=True)
+    return tables.read_lake_calc(spark, path, "Parom").select("lake", "date", "area_glatt", "vol_calc", "volume", "wd")
+
+
+@query("read_historic_files", duck(["historic"], "SELECT sensor, resolution, date, count(*) AS rows, sum(value) AS total FROM parsed WHERE file_name LIKE '%Rossalm_HS_Day%' GROUP BY 1, 2, 3", HISTORIC_SQL), dates="date")
+def read_historic_files(spark, sf):
+    """One historic file written as text below a folder of its name and read back."""
+    name = "73500MS_Rossalm_HS_Day.csv"
+    path = scratch_dir(spark, "historic")
+    views.load(spark, sf, "historic").where(F.col("file_name") == name).select("value").write.text(path)
+    lines = spark.read.text(path).withColumn("file_name", F.lit(name))
+    rows = historic.parse_historic(lines, "2000-08-01")
+    return rows.groupBy("sensor", "resolution", "date").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+
+
 @query("read_isotope_csv", duck(["isotopes"], "SELECT site, date, CAST(sample AS VARCHAR) AS sample, d18o, d18o_sd, d2h, d2h_sd FROM isotopes"), dates="date")
 def read_isotope_csv(spark, sf):
     path = scratch_dir(spark, "isotope-csv")
@@ -989,6 +1027,15 @@ def store_raw_merge(spark, sf):
     return store.read_table(spark, path).select("station_id", "ts", "lt", "hs")
 
 
+@query("store_append", duck(["readings"], "SELECT station_id, ts, lt, hs FROM oldr UNION ALL SELECT station_id, ts, lt, hs FROM newr", OVERLAY))
+def store_append(spark, sf):
+    """Two appends to the raw table."""
+    path = scratch_dir(spark, "raw")
+    for rows in _old_new(spark, sf):
+        store.write_raw(rows, path)
+    return store.read_table(spark, path).select("station_id", "ts", "lt", "hs")
+
+
 @query("delete_range", duck(["readings"], """SELECT * FROM readings
 WHERE NOT (station_id = 3 AND ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-09 12:00:00')"""))
 def delete_range(spark, sf):
