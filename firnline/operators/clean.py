@@ -91,7 +91,9 @@ def clean_conductivity(df, window):
 
 
 def keep_good_status(value, status, good):
-    return F.when(F.col(status) == good, F.col(value) if isinstance(value, str) else value)
+    """The value where its quality status is the good one, else null."""
+    status = F.col(status) if isinstance(status, str) else status
+    return F.when(status == good, F.col(value) if isinstance(value, str) else value)
 
 
 def zero_periods(df, overrides, column, key="station_id", date="date"):

@@ -7,9 +7,6 @@ from ..operators.clean import keep_good_status
 from ..schema import GOOD_STATUS, PORTAL_START, SENSORS, STATIONS
 from .portal import plain_file_name
 
-DATA_LINE = r"^\d{2}/\d{2}/\d{4}\t"
-LINE_SCHEMA = "day string, time string, value string, status string"
-
 
 def parse_historic(lines, cut=PORTAL_START):
     """(value = one text line, file_name) -> station file, sensor, resolution, date, value.
@@ -18,20 +15,14 @@ def parse_historic(lines, cut=PORTAL_START):
     ``cut`` on are in the portal and dropped here; monthly rows move to the month end.
     """
     name = F.col("file_name")
-    row = F.from_csv("value", LINE_SCHEMA, {"sep": "\t"})
     sensor = F.when(name.contains("HS"), "HS").when(name.contains("LT"), "LT").otherwise("N")
     resolution = F.when(name.contains("Month"), "monthly").when(name.contains("Day"), "daily")
-    parsed = lines.where(F.col("value").rlike(DATA_LINE)).select(
-        name, sensor.alias("sensor"), resolution.alias("resolution"), row.alias("r")
-    )
-    first_day = date_of("r.day", "dd/MM/yyyy")
-    return (
-        parsed.select(
-            "file_name", "sensor", "resolution", first_day.alias("date"),
-            keep_good_status(decimal_comma("r.value"), "r.status", GOOD_STATUS).alias("value"),
-        )
-        .where(F.col("date") < F.lit(cut).cast("date"))
-        .withColumn("date", F.when(F.col("resolution") == "monthly", F.last_day("date")).otherwise(F.col("date")))
+    fields = F.split("value", "\t")
+    day = date_of(F.get(fields, F.lit(0)), "dd/MM/yyyy")
+    return lines.where(day < F.lit(cut).cast("date")).select(
+        name, sensor.alias("sensor"), resolution.alias("resolution"),
+        F.when(resolution == "monthly", F.last_day(day)).otherwise(day).alias("date"),
+        keep_good_status(decimal_comma(F.get(fields, F.lit(2))), F.get(fields, F.lit(3)), GOOD_STATUS).alias("value"),
     )
 
 
