@@ -5,19 +5,35 @@ from pyspark.sql import functions as F
 from ..schema import SENSOR_COLS, SENSORS
 
 
-def pivot_sensors(readings, order=None, key="station_id", ts="ts"):
-    """One row per (station, time), one column per sensor; the earliest copy by ``order`` wins.
-
-    Conditional aggregates keep this a single, map-side combined hash aggregation, so
-    any number of copies of one reading shrinks before the shuffle.
-    """
+def _cells(order):
+    """One aggregate per sensor; the earliest copy by ``order`` wins."""
     def pick(sensor):
         hit = F.col("sensor") == sensor
         if order is None:
             return F.min(F.when(hit, F.col("value")))
         return F.min_by(F.when(hit, F.col("value")), F.when(hit & F.col("value").isNotNull(), F.col(order)))
 
-    return readings.groupBy(key, ts).agg(*[pick(s).alias(c) for s, c in zip(SENSORS, SENSOR_COLS)])
+    return [pick(s).alias(c) for s, c in zip(SENSORS, SENSOR_COLS)]
+
+
+def pivot_sensors(readings, order=None, key="station_id", ts="ts"):
+    """One row per (station, time), one column per sensor.
+
+    Conditional aggregates keep this a single, map-side combined hash aggregation, so
+    any number of copies of one reading shrinks before the shuffle.
+    """
+    return readings.groupBy(key, ts).agg(*_cells(order))
+
+
+def pivot_measured(readings, order=None, key="station_id", ts="ts"):
+    """pivot_sensors without the times at which nothing was measured.
+
+    Emptiness is decided by a count of its own, so a reader of one sensor does not make
+    Spark carry the other columns through the shuffle.
+    """
+    measured = F.count(F.when(F.col("sensor").isin(*SENSORS), F.col("value")))
+    rows = readings.groupBy(key, ts).agg(*_cells(order), measured.alias("_measured"))
+    return rows.where("_measured > 0").drop("_measured")
 
 
 def drop_empty(wide):
@@ -43,7 +59,7 @@ def align(readings, order=None, anchors=("LT", "SD"), step_seconds=300, key="sta
     Replaces a six-way join against an explicit grid: grid points without any reading
     would be dropped again, so it is enough to keep the readings that lie on the grid.
     """
-    wide = drop_empty(pivot_sensors(readings, order, key, ts))
+    wide = pivot_measured(readings, order, key, ts)
     on_grid = F.timestamp_diff("SECOND", F.col("grid_from"), F.col(ts)) % step_seconds == 0
     return (
         wide.join(anchor_span(readings, anchors, key, ts), key)

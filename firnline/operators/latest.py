@@ -39,6 +39,6 @@ def available_sensors(wide, n=10, key="station_id", ts="ts"):
     return counts.select(key, names.alias("sensors"), (F.col("n") > 0).alias("has_n"))
 
 
-def precipitation_stations(wide, key="station_id"):
-    """Which stations measured precipitation at all in these rows."""
-    return wide.groupBy(key).agg((F.count("n") > 0).alias("has_n"))
+def station_summary(wide, key="station_id", ts="ts"):
+    """Per station its newest time and whether it measured precipitation at all in these rows."""
+    return wide.groupBy(key).agg(F.max(ts).alias("latest_ts"), (F.count("n") > 0).alias("has_n"))

@@ -31,14 +31,15 @@ def _added_up(columns):
     return [F.sum(f"{p}_{c}").alias(f"{p}_{c}") for p in ("s", "k") for c in columns]
 
 
-def resample_rules(df, precipitation_stations, rules=PERIOD_RULES, key="station_id", ts="ts"):
+def resample_rules(df, stations, rules=PERIOD_RULES, key="station_id", ts="ts"):
     """All rules from one pass over the cleaned frame.
 
     Readings are added up to sums and counts per hour once; the rules are formed from
-    those, so every mean is still the mean over readings. ``precipitation_stations`` has
-    one row per station (key, has_n): stations with precipitation sum n, sd and gs, the
-    others average everything. Both forms come from the same sums and counts, so the
-    choice is made on the rolled-up rows.
+    those, so every mean is still the mean over readings. ``stations`` has one row per
+    station (key, has_n): stations with precipitation sum n, sd and gs, the others
+    average everything. Both forms come from the same sums and counts, so the choice is
+    made on the rolled-up rows. With a column latest_ts only periods that are over by
+    then are kept.
     """
     hours = df.groupBy(key, hour_start(ts).alias("hour")).agg(*_sums_and_counts(SENSOR_COLS))
     labels = F.array(*[F.struct(F.lit(rule_name(r)).alias("rule"), period("hour", r).alias("period")) for r in rules])
@@ -51,9 +52,13 @@ def resample_rules(df, precipitation_stations, rules=PERIOD_RULES, key="station_
             return mean.alias(c)
         return F.when(F.col("has_n"), F.coalesce(F.col(f"s_{c}"), F.lit(0.0))).otherwise(mean).alias(c)
 
-    return sums.join(precipitation_stations.select(key, "has_n"), key, "left").select(
-        key, "rule", "period", *[value(c) for c in SENSOR_COLS]
-    )
+    rolled = sums.join(stations, key, "left")
+    if "latest_ts" in stations.columns:
+        over = F.lit(False)
+        for r in rules:
+            over = over | ((F.col("rule") == rule_name(r)) & (F.col("period") < complete_before("latest_ts", r)))
+        rolled = rolled.where(over)
+    return rolled.select(key, "rule", "period", *[value(c) for c in SENSOR_COLS])
 
 
 def complete_bounds(latest, rules=PERIOD_RULES, key="station_id", ts="latest_ts"):

@@ -6,10 +6,10 @@ from ..functions.periods import period
 from ..operators.align import align
 from ..operators.chunks import with_halo
 from ..operators.clean import SNOW_REACH, clean_series, clean_snow
-from ..operators.latest import latest_rows, precipitation_stations, time_span
+from ..operators.latest import latest_rows, station_summary
 from ..operators.merge import overlay
 from ..operators.moving import TRAILING_ROWS, trailing_mean
-from ..operators.resample import complete_bounds, only_complete, resample_rules
+from ..operators.resample import resample_rules
 from ..schema import PERIOD_RULES, SENSOR_COLS
 from ..sources.historic import historic_wide
 from ..sources.manifest import file_changes, list_files, next_manifest, station_files
@@ -24,8 +24,7 @@ def processed_rows(raw, rules=PERIOD_RULES, chunk_days=None):
     A station counts as one with precipitation when any of these rows has some, so a
     sensor that is silent for a while does not turn its sums into means.
     """
-    rolled = resample_rules(clean_series(raw, chunk_days), precipitation_stations(raw), rules)
-    return only_complete(rolled, complete_bounds(time_span(raw), rules))
+    return resample_rules(clean_series(raw, chunk_days), station_summary(raw), rules)
 
 
 def rows_since(raw, from_year):

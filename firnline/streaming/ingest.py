@@ -6,7 +6,7 @@ UTC session) and results are cast back to TIMESTAMP_NTZ.
 
 from pyspark.sql import functions as F
 
-from ..operators.align import drop_empty, pivot_sensors
+from ..operators.align import pivot_measured
 from ..schema import PORTAL_JSON, SENSOR_COLS, rule_name
 from ..sources.portal import parse_portal, plain_file_name
 from ..sources.store import merge_raw
@@ -84,7 +84,7 @@ def run_merge(readings, raw_path, checkpoint, order=None):
     table ends up the same.
     """
     def merge(batch, _):
-        wide = drop_empty(pivot_sensors(batch, order))
+        wide = pivot_measured(batch, order)
         merge_raw(batch.sparkSession, wide.select("station_id", "ts", *SENSOR_COLS), raw_path)
 
     query = readings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
