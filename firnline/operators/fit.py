@@ -20,21 +20,19 @@ def linear_regression(df, x, y, key=None):
     return df.groupBy(*([key] if key else [])).agg(*fit)
 
 
-def _binomial_shift(scaled, centre, scale):
-    """Coefficients in (x - centre) / scale, lowest power first, to powers of x, highest first."""
-    poly = np.poly1d([0.0])
-    base = np.poly1d([1.0 / scale, -centre / scale])
-    for power, c in enumerate(scaled):
-        poly = poly + c * base**power
-    out = np.zeros(len(scaled))
-    out[len(scaled) - len(poly.coeffs):] = poly.coeffs
-    return out
-
-
 def _solver(degree):
-    """Solve the small normal equations of each row; the rows are already aggregated groups."""
+    """Solve the small normal equations of each row; the rows are already aggregated groups.
+
+    Self-contained, so executors need no copy of this package.
+    """
     size = degree + 1
 
+    def in_powers_of_x(scaled, centre, scale):
+        """Coefficients in (x - centre) / scale, lowest power first, to powers of x, highest first."""
+        base = np.poly1d([1.0 / scale, -centre / scale])
+        poly = sum((c * base**power for power, c in enumerate(scaled)), np.poly1d([0.0]))
+        return [0.0] * (size - len(poly.coeffs)) + [float(c) for c in poly.coeffs]
+
     def solve(batches):
         for pdf in batches:
             coefs = []
@@ -46,7 +44,7 @@ def _solver(degree):
                     coefs.append(None)
                     continue
                 scaled[0] += row.my
-                coefs.append(_binomial_shift(scaled, row.mx, row.sx).tolist())
+                coefs.append(in_powers_of_x(scaled, row.mx, row.sx))
             yield pd.DataFrame({
                 "key": pdf["key"], "coefs": coefs, "pairs": pdf["x0"].astype("int64"),
                 "first_x": pdf["first_x"], "last_x": pdf["last_x"],
