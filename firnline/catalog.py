@@ -590,12 +590,12 @@ def volume_snow_pairs(spark, sf):
     return panels.volume_and_snow(views.load(spark, sf, "lake_calc"), views.load(spark, sf, "daily"), "Limo", "hs")
 
 
-REGRESSION = """SELECT round(regr_slope(max_cum, max_vol), 9) AS slope, round(regr_intercept(max_cum, max_vol), 4) AS intercept,
+REGRESSION = """SELECT round(regr_slope(max_cum, max_vol), 6) AS slope, round(regr_intercept(max_cum, max_vol), 4) AS intercept,
   round(regr_r2(max_cum, max_vol), 9) AS r2, CAST(regr_count(max_cum, max_vol) AS BIGINT) AS pairs FROM pairs"""
 
 
 def _regression(df):
-    return rounded(rounded(df, 9, "slope", "r2"), 4, "intercept")
+    return rounded(rounded(rounded(df, 6, "slope"), 9, "r2"), 4, "intercept")
 
 
 @query("volume_snow_regression", duck(["daily", "lake_calc"], REGRESSION, SEASON_SQL, VOLUME_SNOW))
@@ -635,7 +635,7 @@ def _fit(spark, sf, degree):
     return fit.poly_fit(views.load(spark, sf, "lineitem"), "l_returnflag", "l_quantity", "l_extendedprice", degree)
 
 
-@query("poly_fit_line", duck([], """SELECT l_returnflag, round(a, 5) AS slope, round(b, 4) AS intercept, pairs, round(rss / pairs, 2) AS mean_square FROM (
+@query("poly_fit_line", duck([], """SELECT l_returnflag, round(a, 5) AS slope, round(b, 4) AS intercept, pairs, round(rss / pairs, 0) AS mean_square FROM (
   SELECT l_returnflag, any_value(a) AS a, any_value(b) AS b, count(*) AS pairs, sum((l_extendedprice - (a * l_quantity + b)) * (l_extendedprice - (a * l_quantity + b))) AS rss
   FROM lineitem JOIN (SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b
                       FROM lineitem GROUP BY 1) f USING (l_returnflag) GROUP BY 1) t""", "one AS (SELECT 1)"))
@@ -643,7 +643,7 @@ def poly_fit_line(spark, sf):
     out = _fit(spark, sf, 1)
     return out.select(
         "l_returnflag", F.round(F.col("coefs")[0], 5).alias("slope"), F.round(F.col("coefs")[1], 4).alias("intercept"),
-        "pairs", F.round(F.col("rss") / F.col("pairs"), 2).alias("mean_square"),
+        "pairs", F.round(F.col("rss") / F.col("pairs"), 0).alias("mean_square"),
     )
 
 

@@ -8,8 +8,11 @@ PLAIN_BYTES = 32 << 20
 def input_bytes(df):
     """Bytes the optimizer expects to read for ``df``: the sum over its scans after pruning.
 
-    Sources of unknown size count as huge, as they do for the optimizer itself.
+    Sources of unknown size count as huge, as they do for the optimizer itself; so does
+    everything in a session that does not show its plans (Spark Connect).
     """
+    if not hasattr(df, "_jdf"):
+        return float("inf")
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
