@@ -5,7 +5,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 columns of the documents.
 """
 
-from firnline.llm import minhash, toxicity
+from firnline.llm import minhash, mixing, personal, sentencepiece_scan, toxicity
 from firnline.llm.common import table
 
 
@@ -19,9 +19,28 @@ def drop_near_duplicates(spark, docs, sf_dir):
     return minhash.keep_one(docs)
 
 
+def mask_personal_data(spark, docs, sf_dir):
+    """Personal data replaced by its kind."""
+    return personal.mask(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Documents as often, or in such part, as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def encode(spark, docs, sf_dir):
+    """Token ids of every document."""
+    keep = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    return sentencepiece_scan.encode(docs, keep=keep)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("minhash_near_dedup", drop_near_duplicates),
+    ("weak_supervision_pii", mask_personal_data),
+    ("sainte_lague_mix", mix_sources),
+    ("sentencepiece_scan", encode),
 ]
 
 ORACLE_SQL = None  # learned weights and hashes are not for SQL; tests hold the stages against brute force

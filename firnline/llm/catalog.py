@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import minhash, quality, toxicity
+from . import minhash, mixing, personal, quality, sentencepiece_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -15,6 +15,16 @@ def query(name):
     return add
 
 
+@query("op2_weak_supervision_pii")
+def op2(spark, sf_dir):
+    return personal.find(table(spark, sf_dir, "documents"))
+
+
+@query("op3_sainte_lague_mix")
+def op3(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query("op4_quality_classifier")
 def op4(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -25,6 +35,11 @@ def op6(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_sentencepiece_scan")
+def op7(spark, sf_dir):
+    return sentencepiece_scan.encode(table(spark, sf_dir, "documents"))
+
+
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
