@@ -24,7 +24,7 @@ PERCENT = 85
 CHUNKS, PER_CHUNK = 6, 5
 VALUES = CHUNKS * PER_CHUNK
 FAR = 16  # signatures of a pair at the threshold differ in more values with a chance of 1e-7
-TILE = 256
+TILE = 512
 UNIT_ROWS = 4000
 BLOCK = 1 << 21
 
@@ -186,10 +186,12 @@ def _links(docs, classes, words, percent):
     links = cut(pairs.join(sets, "node").join(sets.select(F.col("node").alias("centre"), F.col("grams").alias("grams_c")), "centre").where(close)
                 .select(F.col("node").alias("a"), F.col("centre").alias("b")))
     known = cut(components(links))
-    # the buckets that are not in one piece by now, compared whole
-    grouped = cut(member.where("docs > 2").join(known, "node", "left").select("key", "node", "docs", F.coalesce("root", "node").alias("comp")))
-    open_keys = cut(grouped.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key"))
-    rows = cut(grouped.join(open_keys, "key"))
+    # what is not in one piece by now, compared whole; buckets with one centre, which are
+    # mostly the same documents under several keys, are taken together
+    grouped = cut(member.where("docs > 2").select(F.col("centre").alias("key"), "node").distinct().join(known, "node", "left")
+                  .select("key", "node", F.coalesce("root", "node").alias("comp")))
+    counted = grouped.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("docs"))
+    rows = cut(grouped.join(cut(counted.where("lo != hi").select("key", "docs")), "key"))
     stars = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
     n = rows.count()
     if not n:
