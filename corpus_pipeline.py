@@ -6,7 +6,7 @@ columns of the documents.
 """
 
 from firnline.llm import minhash, mixing, personal, sentencepiece_scan, toxicity
-from firnline.llm.common import table
+from firnline.llm.common import cut, table
 
 
 def drop_toxic(spark, docs, sf_dir):
@@ -48,6 +48,6 @@ ORACLE_SQL = None  # learned weights and hashes are not for SQL; tests hold the
 
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -37,8 +37,9 @@ NAMES = "James Mary John Patricia Robert Jennifer Michael Linda William Elizabet
 TITLES = "Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame"
 MAIL_HOSTS = "gmail hotmail yahoo outlook icloud proton gmx web mail"
 COUNTRIES = "AT BE CH CZ DE DK ES FI FR GB GR HU IE IT LU NL NO PL PT SE SK"
+FIRST = "".join(sorted({n[0] for n in f"{NAMES} {TITLES}".split()}))
 EXTRA = {
-    "name": rf"\b(?:(?:{'|'.join(TITLES.split())})\.? |(?:{'|'.join(NAMES.split())}) )[A-Z][a-zà-ÿ]{{2,20}}+(?: [A-Z][a-zà-ÿ]{{2,20}}+)?+",
+    "name": rf"(?=[{FIRST}])\b(?:(?:{'|'.join(TITLES.split())})\.? |(?:{'|'.join(NAMES.split())}) )[A-Z][a-zà-ÿ]{{2,20}}+(?: [A-Z][a-zà-ÿ]{{2,20}}+)?+",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36})(?![A-Za-z0-9])",
@@ -114,8 +115,8 @@ def _checked(kind):
 
 def _spans(docs):
     """``docs`` (text first made null-free) with an array _span_<kind> of matches per kind; only _pii_ columns are added."""
-    text = F.translate(F.coalesce(docs["text"], F.lit("")), MARK, OTHER)
-    docs = docs.withColumn("_pii_text", text)
+    text = F.coalesce(docs["text"], F.lit(""))
+    docs = docs.withColumn("_pii_text", F.when(F.contains(text, F.lit(MARK)), F.translate(text, MARK, OTHER)).otherwise(text))
     docs = docs.withColumns({f"_pii_p_{k}": _pieces(F.col("_pii_text"), k) for k in KINDS})
     docs = docs.withColumns({f"_pii_s_{k}": F.when(F.size(f"_pii_p_{k}") > 1, _starts(F.col(f"_pii_p_{k}"))) for k in KINDS})
     out = {}
