@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import minhash, mixing, personal, quality, sentencepiece_scan, toxicity
+from . import minhash, mixing, pages, personal, quality, sentencepiece_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -15,6 +15,11 @@ def query(name):
     return add
 
 
+@query("op1_html_blocks")
+def op1(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op2_weak_supervision_pii")
 def op2(spark, sf_dir):
     return personal.find(table(spark, sf_dir, "documents"))
