@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import minhash, mixing, pages, personal, quality, sentencepiece_scan, toxicity
+from . import embedding_pairs, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -35,6 +35,11 @@ def op4(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_embedding_pairs")
+def op5(spark, sf_dir):
+    return embedding_pairs.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_minhash_hamming")
 def op6(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -45,6 +50,11 @@ def op7(spark, sf_dir):
     return sentencepiece_scan.encode(table(spark, sf_dir, "documents"))
 
 
+@query("op9_navigable_graph")
+def op9(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
