@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import embedding_pairs, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, toxicity
+from . import embedding_pairs, licences, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -50,6 +50,14 @@ def op7(spark, sf_dir):
     return sentencepiece_scan.encode(table(spark, sf_dir, "documents"))
 
 
+@query("op8_licence_sentences")
+def op8(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_licence_sentences"] = licences.oracle()
+
+
 @query("op9_navigable_graph")
 def op9(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
