@@ -18,6 +18,7 @@ SHARE = 1.5
 MOST = 2
 SHARD_ROWS = 500
 BLOCKS = 50_000
+SHARDS_PER_TASK = 64
 SEED = 11
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -54,15 +55,16 @@ def _targets(totals, weights, share, most):
     return out.withColumn("target", F.least("most", F.max("level").over(every) * F.col("weight"))).select("_mix_src", "rank", "total", "target")
 
 
-def _seats(cells, blocks):
+def _seats(cells, blocks, tasks=1):
     """Blocks of each source in each shard: the divisor is halved in, ties go by the next quotient."""
-    one = cells.groupBy("_mix_shard").agg(F.array_sort(F.collect_list(F.struct("rank", "_mix_src", "z", "votes"))).alias("all"))
+    # few bytes, much work: dealt to a number of tasks that is not merged again
+    one = cells.repartition(max(1, tasks), "_mix_shard").groupBy("_mix_shard").agg(F.array_sort(F.collect_list(F.struct("rank", "_mix_src", "z", "votes"))).alias("all"))
     one = one.withColumn("votes", F.expr("aggregate(all, 0D, (s, x) -> s + x.votes)")).where("votes > 0")
     one = one.withColumn("block", F.greatest(F.lit(1.0), F.floor(F.col("votes") / float(blocks)).cast("double")))
     one = one.withColumn("n", F.round(F.col("votes") / F.col("block")))
     seats = "aggregate(all, 0D, (t, x) -> t + floor(x.votes / {d} + 0.5D))"
     step = f"if({seats.format(d='((s.lo + s.hi) / 2D)')} > n, struct((s.lo + s.hi) / 2D AS lo, s.hi AS hi), struct(s.lo AS lo, (s.lo + s.hi) / 2D AS hi))"
-    one = one.withColumn("d", F.expr(f"aggregate(sequence(1, 90), struct(votes / (n + size(all)) AS lo, 2.5D * votes AS hi), (s, i) -> {step}).hi"))
+    one = one.withColumn("d", F.expr(f"aggregate(sequence(1, 60), struct(votes / (n + size(all)) AS lo, if(n > size(all), votes / (n - size(all)), 2.5D * votes) AS hi), (s, i) -> {step}).hi"))
     one = one.withColumn("left", F.expr("n - " + seats.format(d="d")))
     one = one.withColumn("next", F.expr("array_sort(transform(all, x -> struct(-x.votes / (2D * floor(x.votes / d + 0.5D) + 1D) AS q, x.rank AS rank, x AS own)))"))
     out = one.select("_mix_shard", "block", "left", "d", F.posexplode("next").alias("pos", "x"))
@@ -82,7 +84,7 @@ def _taken(docs, weights, share, most, shard_rows, blocks, seed, narrow):
     targets = cut(_targets(totals, weights, share, most))
     cells = cells.join(targets, "_mix_src")
     votes = F.when(F.col("total") > 0, F.col("target") * F.col("z") / F.col("total")).otherwise(0.0)
-    seats = _seats(cells.select("_mix_shard", "_mix_src", "rank", "z", votes.alias("votes")), blocks)
+    seats = _seats(cells.select("_mix_shard", "_mix_src", "rank", "z", votes.alias("votes")), blocks, shards // SHARDS_PER_TASK)
     quota = cells.select("_mix_shard", "_mix_src", "total", "target").join(seats, ["_mix_shard", "_mix_src"], "left")
     quota = cut(quota.select(
         "_mix_shard", "_mix_src", F.col("total").alias("_mix_total"), F.col("target").alias("_mix_target"), F.coalesce("z", F.lit(0)).alias("_mix_z"),
