@@ -146,7 +146,7 @@ def clean_snow(spark, sf):
 def clean_snow_chunked(spark, sf):
     """The same cut into (station, chunk) groups, the form used for large tables."""
     rows = wide(spark, sf, "season_readings").select("station_id", "ts", "hs", "lt")
-    return chunks.with_halo(rows, clean.clean_snow, before=clean.SNOW_REACH, chunk_days=14)
+    return chunks.with_halo(rows, clean.clean_snow, before=clean.SNOW_REACH, chunk_rows=200)
 
 
 @query("clean_temperature", duck(
@@ -180,7 +180,7 @@ def clean_conductivity(spark, sf):
 @query("clean_conductivity_chunked", duck(["spring"], "SELECT * FROM sclean", SPRING_CLEAN))
 def clean_conductivity_chunked(spark, sf):
     rows = views.load(spark, sf, "spring").select("site", "ts", "wt", "slt")
-    return chunks.with_halo(rows, clean.clean_conductivity, keys=("site",), before=clean.CONDUCTIVITY_REACH, chunk_days=3)
+    return chunks.with_halo(rows, clean.clean_conductivity, keys=("site",), before=clean.CONDUCTIVITY_REACH, chunk_rows=200)
 
 
 @query("quality_status", duck(["historic"], """SELECT file_name, status, count(*) AS lines, count(good) AS good FROM (
@@ -341,19 +341,19 @@ def moving_avg_trailing(spark, sf):
 
 @query("moving_avg_trailing_chunked", TRAILING)
 def moving_avg_trailing_chunked(spark, sf):
-    return update.moving_average(wide(spark, sf, "season_readings"), chunk_days=20)
+    return update.moving_average(wide(spark, sf, "season_readings"), chunk_rows=200)
 
 
 CENTRED = """SELECT station_id, ts, CASE WHEN count(lf) OVER w >= {} THEN avg(lf) OVER w END AS lf_rol FROM wide
 WINDOW w AS (PARTITION BY station_id ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)"""
 
 
-def _centred(spark, sf, least, chunk_days=None):
+def _centred(spark, sf, least, chunk_rows=chunks.CHUNK_ROWS):
     before, after = moving.centre_reach(24)
     rows = wide(spark, sf).select("station_id", "ts", "lf")
     return chunks.with_halo(
         rows, lambda d, w: moving.centred_mean(d, "lf", w, "lf_rol", 24, least),
-        before=before, after=after, chunk_days=chunk_days,
+        before=before, after=after, chunk_rows=chunk_rows,
     ).drop("lf")
 
 

@@ -8,7 +8,7 @@ previous row, so a caller can run them per series or per chunk (see chunks.py).
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .chunks import with_halo
+from .chunks import CHUNK_ROWS, with_halo
 
 # rows the chained steps look back
 SNOW_REACH = 3
@@ -76,9 +76,9 @@ def clean_raw(df, window, ts="ts"):
     return clean_sunshine(clean_radiation(clean_humidity(clean_precipitation(df))))
 
 
-def clean_series(df, chunk_days=None):
+def clean_series(df, chunk_rows=CHUNK_ROWS):
     """clean_raw over any number of stations and any length of series, one data shuffle."""
-    return with_halo(df, clean_raw, before=SNOW_REACH, chunk_days=chunk_days)
+    return with_halo(df, clean_raw, before=SNOW_REACH, chunk_rows=chunk_rows)
 
 
 def clean_conductivity(df, window):

@@ -1,12 +1,11 @@
 """Least-squares fits per group, computed from aggregated sums."""
 
-import numpy as np
-import pandas as pd
+from math import comb
+
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.hydro import poly_eval
-from .sizes import is_small, settled
+from .sizes import settled
 
 
 def linear_regression(df, x, y, key=None):
@@ -20,63 +19,51 @@ def linear_regression(df, x, y, key=None):
     return df.groupBy(*([key] if key else [])).agg(*fit)
 
 
-def _solver(degree):
-    """Solve the small normal equations of each row; the rows are already aggregated groups.
+def _solved(sums, degree):
+    """Columns c0..cd of the normal equations x0..x2d, y0..yd of each row, null where they are singular.
 
-    Self-contained, so executors need no copy of this package.
+    Elimination written out as columns; the equations are in centred and scaled x, so no
+    pivoting is needed.
     """
     size = degree + 1
-
-    def in_powers_of_x(scaled, centre, scale):
-        """Coefficients in (x - centre) / scale, lowest power first, to powers of x, highest first."""
-        base = np.poly1d([1.0 / scale, -centre / scale])
-        poly = sum((c * base**power for power, c in enumerate(scaled)), np.poly1d([0.0]))
-        return [0.0] * (size - len(poly.coeffs)) + [float(c) for c in poly.coeffs]
-
-    def solve(batches):
-        for pdf in batches:
-            coefs = []
-            for row in pdf.itertuples(index=False):
-                normal = np.array([[getattr(row, f"x{i + j}") for j in range(size)] for i in range(size)], dtype=float)
-                right = np.array([getattr(row, f"y{i}") for i in range(size)], dtype=float)
-                scaled, _, rank, _ = np.linalg.lstsq(normal, right, rcond=1e-13)
-                if rank < size:
-                    coefs.append(None)
-                    continue
-                scaled[0] += row.my
-                coefs.append(in_powers_of_x(scaled, row.mx, row.sx))
-            yield pd.DataFrame({
-                "key": pdf["key"], "coefs": coefs, "pairs": pdf["x0"].astype("int64"),
-                "first_x": pdf["first_x"], "last_x": pdf["last_x"],
-            })
-
-    return solve
+    sums = sums.withColumns({f"a{i}{j}": F.col(f"x{i + j}") for i in range(size) for j in range(size)})
+    sums = sums.withColumns({f"b{i}": F.col(f"y{i}") for i in range(size)})
+    for k in range(size):
+        pivot = F.when(F.col(f"a{k}{k}") > F.col("x0") * 1e-9, F.col(f"a{k}{k}"))
+        sums = sums.withColumn("_pivot", pivot)
+        rows = {}
+        for i in range(k + 1, size):
+            factor = F.col(f"a{i}{k}") / F.col("_pivot")
+            rows |= {f"a{i}{j}": F.col(f"a{i}{j}") - factor * F.col(f"a{k}{j}") for j in range(k + 1, size)}
+            rows[f"b{i}"] = F.col(f"b{i}") - factor * F.col(f"b{k}")
+        sums = sums.withColumns(rows | {f"a{k}{k}": F.col("_pivot")})
+    for k in reversed(range(size)):
+        known = F.col(f"b{k}")
+        for j in range(k + 1, size):
+            known = known - F.col(f"a{k}{j}") * F.col(f"c{j}")
+        sums = sums.withColumn(f"c{k}", known / F.col(f"a{k}{k}"))
+    return sums
 
 
 def poly_fit(df, key, x, y, degree, order=None):
     """Polynomial of degree 1 to 3 per group: coefs (highest power first), rss, pairs, first_x, last_x.
 
-    Power sums of the centred and scaled x are one aggregation each; only one row per
-    group reaches Python, for a solve of at most 4 x 4. Groups with too few different
-    x get null coefficients. ``order`` says which x is first and last (default: x).
-    For large input the per-group rows are settled between the passes, so that joining
-    them back does not shuffle the data by group.
+    Two passes over the data, each one aggregation: means and spread, then power sums of
+    the centred and scaled x, from which coefficients and residual sum follow as columns.
+    The per-group rows are settled between the passes, so that joining them does not shuffle
+    the data by group. Groups with too few different x get null coefficients. ``order`` says which
+    x is first and last (default: x).
     """
     if degree not in (1, 2, 3):
         raise ValueError("degree must be 1, 2 or 3")
     order = order or x
     rows = df.select(F.col(key).alias("key"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
                      F.col(order).alias("o")).dropna(subset=["x", "y"])
-    stats = rows.groupBy("key").agg(
+    stats = settled(rows.groupBy("key").agg(
         F.avg("x").alias("mx"), F.avg("y").alias("my"),
         F.when(F.stddev_pop("x") > 0, F.stddev_pop("x")).otherwise(F.lit(1.0)).alias("sx"),
         F.min_by("x", "o").alias("first_x"), F.max_by("x", "o").alias("last_x"),
-    )
-    small = is_small(rows)
-    if not small:
-        stats = settled(stats, "fit-stats")
-    t = (F.col("x") - F.col("mx")) / F.col("sx")
-    u = F.col("y") - F.col("my")
+    ), "fit-stats")
 
     def power(k):
         out = F.lit(1.0)
@@ -86,24 +73,25 @@ def poly_fit(df, key, x, y, degree, order=None):
 
     sums = (
         rows.join(stats, "key")
-        .select("key", "mx", "my", "sx", "first_x", "last_x", t.alias("t"), u.alias("u"))
+        .select("key", "mx", "my", "sx", "first_x", "last_x", ((F.col("x") - F.col("mx")) / F.col("sx")).alias("t"), (F.col("y") - F.col("my")).alias("u"))
         .groupBy("key", "mx", "my", "sx", "first_x", "last_x")
         .agg(*[F.sum(power(k)).alias(f"x{k}") for k in range(2 * degree + 1)],
-             *[F.sum(power(k) * F.col("u")).alias(f"y{k}") for k in range(degree + 1)])
+             *[F.sum(power(k) * F.col("u")).alias(f"y{k}") for k in range(degree + 1)], F.sum(F.col("u") * F.col("u")).alias("uu"))
     )
-    out = T.StructType([
-        T.StructField("key", rows.schema["key"].dataType),
-        T.StructField("coefs", T.ArrayType(T.DoubleType())),
-        T.StructField("pairs", T.LongType()),
-        T.StructField("first_x", T.DoubleType()),
-        T.StructField("last_x", T.DoubleType()),
-    ])
-    fits = sums.mapInPandas(_solver(degree), out)
-    if not small:
-        fits = settled(fits, "fit-coefs")
-    miss = F.col("y") - poly_eval("x", "coefs")
-    residuals = rows.select("key", "x", "y").join(fits.select("key", "coefs"), "key").groupBy("key").agg(F.sum(miss * miss).alias("rss"))
-    return fits.join(residuals, "key").withColumnRenamed("key", key)
+    fits = _solved(sums, degree)
+    # c in powers of (x - mx) / sx to powers of x
+    scaled = [F.col(f"c{k}") / F.pow("sx", F.lit(k)) for k in range(degree + 1)]
+    plain = []
+    for power_of in range(degree + 1):
+        terms = [scaled[k] * comb(k, power_of) * F.pow(-F.col("mx"), F.lit(k - power_of)) for k in range(power_of, degree + 1)]
+        plain.append(sum(terms[1:], terms[0]))
+    plain[0] = plain[0] + F.col("my")
+    explained = sum((F.col(f"c{k}") * F.col(f"y{k}") for k in range(1, degree + 1)), F.col("c0") * F.col("y0"))
+    coefs = F.when(F.col(f"c{degree}").isNotNull(), F.array(*reversed(plain)))
+    left = F.col("uu") - explained  # below the rounding of the sums it is 0
+    return fits.select(
+        F.col("key").alias(key), coefs.alias("coefs"), F.when(left <= F.col("uu") * 1e-14, 0.0).otherwise(left).alias("rss"),
+        F.col("x0").cast("long").alias("pairs"), "first_x", "last_x")
 
 
 def poly_curve(fits, key, points=50):

@@ -1,32 +1,14 @@
-"""What the optimizer knows about sizes, and how to tell it more."""
+"""How to tell the optimizer the size of an intermediate result."""
 
 from ..session import scratch_dir
 
-PLAIN_BYTES = 32 << 20
-
-
-def input_bytes(df):
-    """Bytes the optimizer expects to read for ``df``: the sum over its scans after pruning.
-
-    Sources of unknown size count as huge, as they do for the optimizer itself; so does
-    everything in a session that does not show its plans (Spark Connect).
-    """
-    if not hasattr(df, "_jdf"):
-        return float("inf")
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def is_small(df):
-    """True when one task could hold everything ``df`` reads."""
-    return input_bytes(df) <= PLAIN_BYTES
-
 
 def settled(df, name):
     """A small intermediate result written to the shared folder and read back.
 
     Its size is then known before the join that uses it is planned: below the broadcast
-    threshold the other side is not shuffled at all, above it the join shuffles both.
+    threshold the other side is not shuffled at all, above it the join shuffles both. Its
+    folder goes with the session (see session.scratch_dir).
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)

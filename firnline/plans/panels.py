@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hydro import lake_volume, water_line
 from ..functions.periods import WINTER_PANEL_MONTHS, winter_label
-from ..operators.chunks import with_halo
+from ..operators.chunks import CHUNK_ROWS, with_halo
 from ..operators.clean import CONDUCTIVITY_REACH, clean_conductivity, zero_periods
 from ..operators.filters import open_clip, seasons, without_snowless
 from ..operators.fit import linear_regression
@@ -39,7 +39,7 @@ def _clip(df, left, right, span):
     return open_clip(df, "period", lo, hi)
 
 
-def _smoothed(df, key, columns, width, least, clean=False, chunk_days=None):
+def _smoothed(df, key, columns, width, least, clean=False, chunk_rows=CHUNK_ROWS):
     """Optional conductivity cleaning and centred means of several columns in one pass."""
     before, after = centre_reach(width)
 
@@ -51,7 +51,7 @@ def _smoothed(df, key, columns, width, least, clean=False, chunk_days=None):
         return rows
 
     reach = CONDUCTIVITY_REACH if clean else 0
-    return with_halo(df, run, keys=(key,), ts="period", before=before + reach, after=after, chunk_days=chunk_days)
+    return with_halo(df, run, keys=(key,), ts="period", before=before + reach, after=after, chunk_rows=chunk_rows)
 
 
 def spring_panel(spring, processed, rule, left=None, right=None, station=STATION_ID["Wolkenstein"], roll=24):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import period
 from ..operators.align import align
-from ..operators.chunks import with_halo
+from ..operators.chunks import CHUNK_ROWS, with_halo
 from ..operators.clean import SNOW_REACH, clean_series, clean_snow
 from ..operators.latest import latest_rows, station_summary
 from ..operators.merge import overlay
@@ -18,13 +18,13 @@ from ..sources.store import PROCESSED, merge_raw, read_table, write_processed
 from ..sources.tables import stations
 
 
-def processed_rows(raw, rules=PERIOD_RULES, chunk_days=None):
+def processed_rows(raw, rules=PERIOD_RULES, chunk_rows=CHUNK_ROWS):
     """Cleaned complete periods of all rules from raw wide rows.
 
     A station counts as one with precipitation when any of these rows has some, so a
     sensor that is silent for a while does not turn its sums into means.
     """
-    return resample_rules(clean_series(raw, chunk_days), station_summary(raw), rules)
+    return resample_rules(clean_series(raw, chunk_rows), station_summary(raw), rules)
 
 
 def rows_since(raw, from_year):
@@ -75,12 +75,12 @@ def update_all(spark, json_path, raw_path, processed_path, manifest_path):
     return len(paths)
 
 
-def moving_average(raw, chunk_days=None):
+def moving_average(raw, chunk_rows=CHUNK_ROWS):
     """Trailing mean of the cleaned snow height: cleaning and mean in one pass over the chunks."""
     def run(rows, window):
         return trailing_mean(clean_snow(rows, window), "hs", window, "hs_mean")
 
-    out = with_halo(raw.select("station_id", "ts", "hs", "lt"), run, before=TRAILING_ROWS - 1 + SNOW_REACH, chunk_days=chunk_days)
+    out = with_halo(raw.select("station_id", "ts", "hs", "lt"), run, before=TRAILING_ROWS - 1 + SNOW_REACH, chunk_rows=chunk_rows)
     return out.select("station_id", "ts", F.col("hs_mean").alias("hs"))
 
 

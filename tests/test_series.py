@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from firnline.operators import align, chunks, clean, latest, merge, moving, resample, season
-from firnline.operators.sizes import input_bytes, is_small, settled
+from firnline.operators.sizes import settled
 
 MEASURES = "station_id int,ts timestamp_ntz,lt double,lf double,hs double,n double,sd double,gs double"
 
@@ -84,23 +84,23 @@ def irregular(rows, seed, n=400):
     return rows("station_id int,ts timestamp_ntz,hs double,lt double", data)
 
 
-@pytest.mark.parametrize("chunk_days", [1, 3, 10])
-def test_chunked_cleaning_equals_plain(rows, listed, chunk_days):
+@pytest.mark.parametrize("chunk_rows", [1, 30, 4000])
+def test_chunked_cleaning_equals_plain(rows, listed, chunk_rows):
     df = irregular(rows, 2)
     plain = clean.clean_snow(df, whole())
-    cut = chunks.with_halo(df, clean.clean_snow, before=clean.SNOW_REACH, chunk_days=chunk_days)
+    cut = chunks.with_halo(df, clean.clean_snow, before=clean.SNOW_REACH, chunk_rows=chunk_rows)
     assert listed(cut, "station_id", "ts") == listed(plain, "station_id", "ts")
 
 
-@pytest.mark.parametrize("chunk_days", [1, 4])
-def test_chunked_centred_mean_equals_plain(rows, listed, chunk_days):
+@pytest.mark.parametrize("chunk_rows", [1, 50])
+def test_chunked_centred_mean_equals_plain(rows, listed, chunk_rows):
     df = irregular(rows, 3)
 
     def run(d, w):
         return moving.centred_mean(d, "hs", w, "m", 24, 5)
 
     before, after = moving.centre_reach(24)
-    cut = chunks.with_halo(df, run, before=before, after=after, chunk_days=chunk_days)
+    cut = chunks.with_halo(df, run, before=before, after=after, chunk_rows=chunk_rows)
     assert listed(cut, "station_id", "ts") == listed(run(df, whole()), "station_id", "ts")
 
 
@@ -110,21 +110,43 @@ def test_chunked_trailing_mean_equals_plain(rows, listed):
     def run(d, w):
         return moving.trailing_mean(clean.clean_snow(d, w), "hs", w, "m", 42, 10)
 
-    cut = chunks.with_halo(df, run, before=41 + clean.SNOW_REACH, chunk_days=2)
+    cut = chunks.with_halo(df, run, before=41 + clean.SNOW_REACH, chunk_rows=60)
     assert listed(cut, "station_id", "ts") == listed(run(df, whole()), "station_id", "ts")
 
 
 def test_too_little_halo_is_wrong(rows, listed):
     """The reach matters: without copies the chunk starts differ."""
     df = irregular(rows, 2)
-    cut = chunks.with_halo(df, clean.clean_snow, before=1, chunk_days=1)
+    cut = chunks.with_halo(df, clean.clean_snow, before=1, chunk_rows=1)
     assert listed(cut, "station_id", "ts") != listed(clean.clean_snow(df, whole()), "station_id", "ts")
 
 
-def test_sizes(spark):
+def test_times_that_are_null_are_left_out(rows, listed):
+    df = rows("station_id int,ts timestamp_ntz,hs double,lt double", [(1, None, 10.0, 0.0), (1, "2020-01-01 00:00:00", 30.0, 0.0), (1, "2020-01-02 00:00:00", 31.0, 0.0)])
+    for chunk_rows in (1, 4000):
+        cut = chunks.with_halo(df, clean.clean_snow, before=clean.SNOW_REACH, chunk_rows=chunk_rows)
+        assert [r[2] for r in listed(cut, "ts")] == [30.0, 31.0]
+
+
+def test_one_station_with_most_rows_is_cut(rows, listed):
+    rnd = random.Random(8)
+    times = pd.date_range("2020-01-01", periods=900, freq="37min")
+    data = [(1 if i % 5 else 2 + i % 4, str(t), rnd.choice([None, rnd.uniform(0, 60)]), rnd.uniform(-5, 8)) for i, t in enumerate(times) if not 300 < i < 340]
+    df = rows("station_id int,ts timestamp_ntz,hs double,lt double", data)
+    seen = []
+
+    def run(d, w):
+        seen.append(d.where("_own").groupBy("station_id", "_chunk").count())
+        return clean.clean_snow(d, w)
+
+    cut = chunks.with_halo(df, run, before=clean.SNOW_REACH, chunk_rows=100)
+    assert listed(cut, "station_id", "ts") == listed(clean.clean_snow(df, whole()), "station_id", "ts")
+    sizes = [r["count"] for r in seen[0].collect()]
+    assert max(sizes) <= 140 and len(sizes) >= 8
+
+
+def test_settled(spark):
     small = spark.sql("SELECT * FROM VALUES (1), (2) AS t(a)")
-    assert input_bytes(small) < 1000 and is_small(small)
-    assert not is_small(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int"))
     assert [r[0] for r in settled(small, "t").orderBy("a").collect()] == [1, 2]
 
 
