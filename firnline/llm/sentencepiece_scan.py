@@ -30,7 +30,8 @@ from sentencepiece import sentencepiece_model_pb2 as spm
 from .common import cut
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 16_384
+CHUNK = 65_536
+DOCUMENTS_PER_TASK = 256
 MARK = "▁"
 
 
@@ -96,6 +97,9 @@ def pieces(proto):
     return Pieces(proto)
 
 
+CHUNKS = pa.schema([("rid", pa.int64()), ("k", pa.int32()), ("low", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("last", pa.bool_()), ("s", pa.string())])
+
+
 def plain(text):
     """What decoding gives back: the separator itself cannot be told from a space."""
     return text.replace(MARK, " ")
@@ -128,16 +132,18 @@ def _small(proto, batches):
             names=[*batch.schema.names[:-1], "n_tokens", "ids", "round_trip"])
 
 
-def _chunked(size, longest, batches):
+def _chunked(size, longest, schema, batches):
+    """The chunks of each text with the characters around them; the first carries the kept columns."""
     for batch in batches:
-        for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        kept = batch.column(2)
+        for row, (rid, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
             s = " " + plain(text)
             cuts = [*range(0, len(s), size), len(s)]
             for k, (start, end) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 low, high = max(0, start - longest), min(len(s), end + longest)
-                yield pa.RecordBatch.from_pydict(
-                    {"rid": [rid], "k": [k], "low": [low], "start": [start - low], "end": [end - low], "last": [end == len(s)], "s": [s[low:high]]},
-                    schema=pa.schema([("rid", pa.int64()), ("k", pa.int32()), ("low", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("last", pa.bool_()), ("s", pa.string())]))
+                values = (rid, k, low, start - low, end - low, end == len(s), s[low:high])
+                one = [pa.array([v], t) for v, t in zip(values, schema.types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*one, kept.slice(row, 1) if k == 0 else pa.nulls(1, kept.type)], names=[*schema.names, "kept"])
 
 
 def _matrices(proto, batches):
@@ -194,16 +200,18 @@ def encode(docs, model=MODEL, chunk=CHUNK, keep=("doc_id",)):
     size = F.coalesce(F.length(rows["text"]), F.lit(0))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     small = rows.where(size < chunk).mapInArrow(partial(_small, proto), f"{kept}, n_tokens long, ids array<int>, round_trip boolean")
-    giant = cut(rows.where(size >= chunk).withColumn("_rid", F.monotonically_increasing_id()))
-    parts = giant.select("_rid", "text").mapInArrow(partial(_chunked, chunk, longest), "rid long, k int, low long, start int, end int, last boolean, s string")
-    parts = cut(parts.repartition("rid", "k"))
-    found = parts.mapInArrow(partial(_matrices, proto), "rid long, k int, rows array<long>, cols array<long>, m array<boolean>")
-    states = found.groupBy("rid").applyInPandas(_states, "rid long, k int, a long, e long, b long, f long")
-    done = parts.join(states, ["rid", "k"]).mapInArrow(partial(_chunk_ids, proto), "rid long, k int, ids array<int>, round_trip boolean")
+    giant = rows.where(size >= chunk).select(F.monotonically_increasing_id().alias("rid"), "text", F.struct(*keep).alias("kept"))
+    form = "rid long, k int, low long, start int, end int, last boolean, s string, kept " + giant.schema["kept"].dataType.simpleString()
+    # chunks are dealt to tasks and kept once; all that follows is derived from them
+    parts = cut(giant.mapInArrow(partial(_chunked, chunk, longest, CHUNKS), form).repartition("rid", "k"))
+    tasks = max(1, parts.where("k = 0").count() // DOCUMENTS_PER_TASK)
+    found = parts.drop("kept").mapInArrow(partial(_matrices, proto), "rid long, k int, rows array<long>, cols array<long>, m array<boolean>")
+    states = found.repartition(tasks, "rid").groupBy("rid").applyInPandas(_states, "rid long, k int, a long, e long, b long, f long")
+    done = parts.drop("kept").join(states, ["rid", "k"]).mapInArrow(partial(_chunk_ids, proto), "rid long, k int, ids array<int>, round_trip boolean")
     whole = done.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"), F.min("round_trip").alias("round_trip"))
-    whole = whole.select("rid", F.flatten(F.col("parts.ids")).alias("ids"), "round_trip")
-    whole = giant.drop("text").join(whole, giant["_rid"] == whole["rid"])
-    return small.unionByName(whole.select(*keep, F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip"))
+    whole = whole.join(parts.where("k = 0").select("rid", "kept"), "rid")
+    ids = F.flatten(F.col("parts.ids"))
+    return small.unionByName(whole.select("kept.*", F.size(ids).cast("long").alias("n_tokens"), ids.alias("ids"), "round_trip"))
 
 
 def decode(rows, model=MODEL):
