@@ -1083,8 +1083,8 @@ def stream_dedup(spark, sf):
 def stream_merge(spark, sf):
     """Every micro-batch overlaid on the raw table."""
     path = scratch_dir(spark, "stream")
-    ingest.run_merge(views.load_stream(spark, sf, "readings"), f"{path}/raw", f"{path}/state", "event_id")
-    return store.read_table(spark, f"{path}/raw").drop("year")
+    ingest.run_merge(views.load_stream(spark, sf, "readings"), f"{path}/raw", f"{path}/state", "event_id", newest=False)
+    return store.read_table(spark, f"{path}/raw").select("station_id", "ts", *SENSOR_COLS)
 
 
 # --- isotopes, panels, filters -----------------------------------------------------------------------------

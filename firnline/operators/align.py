@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 from ..schema import SENSOR_COLS, SENSORS
 
 
-def _cells(order):
-    """One aggregate per sensor; the earliest copy by ``order`` wins."""
+def _cells(order, newest=False):
+    """One aggregate per sensor; the earliest copy by ``order`` wins, or the newest."""
+    pick_by = F.max_by if newest else F.min_by
+
     def pick(sensor):
         hit = F.col("sensor") == sensor
         if order is None:
             return F.min(F.when(hit, F.col("value")))
-        return F.min_by(F.when(hit, F.col("value")), F.when(hit & F.col("value").isNotNull(), F.col(order)))
+        return pick_by(F.when(hit, F.col("value")), F.when(hit & F.col("value").isNotNull(), F.col(order)))
 
     return [pick(s).alias(c) for s, c in zip(SENSORS, SENSOR_COLS)]
 
@@ -36,6 +38,16 @@ def pivot_measured(readings, order=None, key="station_id", ts="ts"):
     return rows.where("_measured > 0").drop("_measured")
 
 
+def pivot_delivery(readings, order, newest=True, key="station_id"):
+    """One row per (station, UTC time) with its local time; of several copies the newest by ``order`` wins.
+
+    The UTC time is the key, so the two readings that share a local hour in autumn stay two rows.
+    """
+    measured = F.count(F.when(F.col("sensor").isin(*SENSORS), F.col("value")))
+    rows = readings.groupBy(key, "ts_utc").agg(F.min("ts").alias("ts"), *_cells(order, newest), measured.alias("_measured"))
+    return rows.where("_measured > 0").drop("_measured")
+
+
 def drop_empty(wide):
     return wide.dropna("all", subset=list(SENSOR_COLS))
 

@@ -7,12 +7,18 @@ from ..schema import rule_name, sensor_list
 from .season import in_season
 
 
-def _bounded(df, ts, start, end):
-    if start is not None:
-        df = df.where(F.col(ts) >= start)
-    if end is not None:
-        df = df.where(F.col(ts) <= end)
-    return df
+def _bounded(df, ts, start, end, columns):
+    """Closed range of days; on a table with year partitions other years are not read."""
+    if "year" in df.columns:
+        if start:
+            df = df.where(F.col("year") >= int(start[:4]))
+        if end:
+            df = df.where(F.col("year") <= int(end[:4]))
+    if start:
+        df = df.where(F.col(ts) >= day_bound(start))
+    if end:
+        df = df.where(F.col(ts) <= day_bound(end))
+    return df.select(*columns)
 
 
 def day_bound(text):
@@ -22,18 +28,16 @@ def day_bound(text):
 
 def scan_raw(wide, station_id, sensors, start=None, end=None):
     """Chosen sensors of one station in a closed time range; prunes columns and partitions."""
-    rows = wide.where(F.col("station_id") == station_id).select("station_id", "ts", *sensor_list(sensors))
-    return _bounded(rows, "ts", day_bound(start), day_bound(end))
+    rows = wide.where(F.col("station_id") == station_id)
+    return _bounded(rows, "ts", start, end, ["station_id", "ts", *sensor_list(sensors)])
 
 
 def scan_processed(processed, station_id, rule, sensors, start=None, end=None):
     """One rule of one station in a closed range; the moving average holds snow height only."""
     rule = rule_name(rule)
     cols = ["hs"] if rule == "movavg" else sensor_list(sensors)
-    rows = processed.where((F.col("station_id") == station_id) & (F.col("rule") == rule)).select(
-        "station_id", "period", *cols
-    )
-    return _bounded(rows, "period", day_bound(start), day_bound(end))
+    rows = processed.where((F.col("station_id") == station_id) & (F.col("rule") == rule))
+    return _bounded(rows, "period", start, end, ["station_id", "period", *cols])
 
 
 def open_clip(df, ts, left, right):

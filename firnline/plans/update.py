@@ -3,76 +3,168 @@
 from pyspark.sql import functions as F
 
 from ..functions.periods import period
-from ..operators.align import align
+from ..operators.align import pivot_delivery
 from ..operators.chunks import CHUNK_ROWS, with_halo
 from ..operators.clean import SNOW_REACH, clean_series, clean_snow
 from ..operators.latest import latest_rows, station_summary
 from ..operators.merge import overlay
 from ..operators.moving import TRAILING_ROWS, trailing_mean
 from ..operators.resample import resample_rules
-from ..schema import PERIOD_RULES, SENSOR_COLS
+from ..operators.sizes import settled
+from ..schema import PERIOD_RULES, PORTAL_START, SENSOR_COLS
 from ..sources.historic import historic_wide
-from ..sources.manifest import file_changes, list_files, next_manifest, station_files
-from ..sources.portal import read_portal_json, with_station_id
-from ..sources.store import PROCESSED, merge_raw, read_table, write_processed
+from ..sources.manifest import file_changes, list_files, station_files
+from ..sources.portal import parse_portal, portal_records, rejected, with_station_id
+from ..sources.store import (
+    PROCESSED,
+    add_facts,
+    known_stations,
+    merge_raw,
+    placed,
+    read_table,
+    station_facts,
+    write_processed,
+)
 from ..sources.tables import stations
 
+PORTAL_FIRST_YEAR = int(PORTAL_START[:4])
 
-def processed_rows(raw, rules=PERIOD_RULES, chunk_rows=CHUNK_ROWS):
+
+def processed_rows(raw, rules=PERIOD_RULES, chunk_rows=CHUNK_ROWS, stations=None):
     """Cleaned complete periods of all rules from raw wide rows.
 
-    A station counts as one with precipitation when any of these rows has some, so a
-    sensor that is silent for a while does not turn its sums into means.
+    ``stations`` (see store.known_stations) says what holds for the whole table: which stations measure
+    precipitation, and the span of their anchor sensor, which rows have to lie in. Without it
+    the rows at hand decide.
     """
-    return resample_rules(clean_series(raw, chunk_rows), station_summary(raw), rules)
+    if stations is None:
+        stations = station_summary(raw)
+    else:
+        inside = F.col("grid_from").isNull() | F.col("ts_utc").between(F.col("grid_from"), F.col("grid_to"))
+        raw = raw.join(stations.select("station_id", "grid_from", "grid_to"), "station_id").where(inside).drop("grid_from", "grid_to", "ts_utc")
+        stations = stations.select("station_id", "latest_ts", "has_n")
+    return resample_rules(clean_series(raw, chunk_rows), stations, rules)
 
 
-def rows_since(raw, from_year):
-    """Raw rows needed to rebuild all periods from a year on.
+def rows_since(raw, since, reach=SNOW_REACH):
+    """Raw rows needed to rebuild all periods of each station from a year on; ``since`` has (station_id, from_year).
 
     Starts six days early for the week that reaches into the year, and adds the few
-    rows before that which the cleaning steps look back on.
+    rows before that which the cleaning steps look back on. Other stations are not read.
     """
-    start = F.date_sub(F.make_date(F.lit(from_year), F.lit(1), F.lit(1)), 6).cast("timestamp_ntz")
-    recent = raw.where((F.col("year") >= from_year - 1) & (F.col("ts") >= start))
-    before = latest_rows(raw.where((F.col("year") < from_year) & (F.col("ts") < start)), ["ts"], SNOW_REACH)
-    return recent.unionByName(before.drop("rank"))
+    raw = raw.join(since, "station_id")
+    start = F.date_sub(F.make_date("from_year", F.lit(1), F.lit(1)), 6).cast("timestamp_ntz")
+    recent = raw.where((F.col("year") >= F.col("from_year") - 1) & (F.col("ts") >= start))
+    before = latest_rows(raw.where((F.col("year") < F.col("from_year")) & (F.col("ts") < start)), ["ts"], reach)
+    return recent.unionByName(before.drop("rank")).drop("from_year")
+
+
+def _years_back(spark, raw, from_year):
+    stations = raw.select("station_id").distinct()
+    return stations.withColumn("from_year", F.lit(from_year))
 
 
-def update_processed(spark, raw_path, processed_path, from_year=None):
-    """Rebuild the processed table, or its years from ``from_year`` on."""
+def update_processed(spark, raw_path, processed_path, from_year=None, since=None):
+    """Rebuild the processed table, or from ``from_year`` on, or as ``since`` (station_id, from_year) says."""
     raw = read_table(spark, raw_path)
-    raw = raw.withColumn("station_id", F.col("station_id").cast("int"))
-    if from_year is None:
-        rows = processed_rows(raw.drop("year"))
+    raw = placed(raw.withColumn("station_id", F.col("station_id").cast("int")))
+    known = settled(known_stations(spark, raw_path, raw), "stations")
+    if since is None and from_year is not None:
+        since = _years_back(spark, raw, from_year)
+    if since is None:
+        rows = processed_rows(raw.drop("year", "month"), stations=known)
     else:
-        rows = processed_rows(rows_since(raw, from_year).drop("year")).where(F.year("period") >= from_year)
+        since = settled(since, "since")
+        rows = processed_rows(rows_since(raw, since).drop("year", "month"), stations=known)
+        rows = rows.join(since, "station_id").where(F.year("period") >= F.col("from_year")).drop("from_year")
     write_processed(rows, processed_path)
 
 
-def ingest(spark, readings, raw_path, order="ts_utc"):
-    """Align new readings and overlay them on the raw table."""
-    merge_raw(spark, align(readings, order).select("station_id", "ts", *SENSOR_COLS), raw_path)
+def update_moving(spark, raw_path, processed_path, since=None):
+    """Write the moving average of the snow height as the rule movavg, rebuilt as in update_processed."""
+    raw = placed(read_table(spark, raw_path).withColumn("station_id", F.col("station_id").cast("int")))
+    if since is not None:
+        since = settled(since, "since")
+        raw = rows_since(raw, since, TRAILING_ROWS - 1 + SNOW_REACH)
+    rows = moving_average(raw).withColumnRenamed("ts", "period").withColumn("rule", F.lit("movavg"))
+    if since is not None:
+        rows = rows.join(since, "station_id").where(F.year("period") >= F.col("from_year"))
+    write_processed(rows.select("*", *[F.lit(None).cast("double").alias(c) for c in SENSOR_COLS if c != "hs"]), processed_path)
 
 
-def update_all(spark, json_path, raw_path, processed_path, manifest_path):
-    """Take in the files not seen before and rebuild the years they touch."""
+def ingest(spark, readings, raw_path, order="ts_utc", newest=False, step_seconds=300):
+    """Overlay new readings on the raw table without loss; returns what was not taken, per station and reason.
+
+    Rows are keyed by UTC time. Readings off the station's time grid are not taken, the grid being that of
+    the first anchor reading known from any delivery, or of its first reading while there is none.
+    Span limits are applied when periods are formed, so a reading outside today's span is not lost.
+    Of copies the first by ``order`` wins, or the newest; stored values give way to new ones.
+    """
+    if "ts_utc" not in readings.columns:
+        readings = readings.withColumn("ts_utc", F.col("ts"))
+    facts = settled(station_facts(readings), "facts")
+    add_facts(facts, raw_path)  # first: if the merge is lost, facts of readings that come again do no harm
+    origin = settled(known_stations(spark, raw_path).select("station_id", "origin"), "origin")
+    wide = pivot_delivery(readings, order, newest).join(origin, "station_id")
+    on_grid = F.timestamp_diff("SECOND", F.col("origin"), F.col("ts_utc")) % step_seconds == 0
+    merge_raw(spark, wide.where(on_grid).drop("origin"), raw_path)
+    return wide.where(~on_grid).groupBy("station_id").agg(F.count("*").alias("records")).withColumn("reason", F.lit("off grid"))
+
+
+FILES_PER_BATCH = 10_000
+
+
+def _from_years(known, facts):
+    """First year to rebuild of each delivered station.
+
+    That of the first new reading, or where the last complete periods ended before, or all if
+    the station turns out to measure precipitation after all.
+    """
+    new = facts.select("station_id", F.year("any_from").alias("first"), F.col("has_n").alias("rains"))
+    if known is None:
+        return new.select("station_id", F.col("first").alias("from_year"))
+    old = known.select("station_id", F.least(F.year("latest_ts"), F.year("grid_to")).alias("ended"), F.col("has_n").alias("rained"), F.year("origin").alias("start"))
+    both = new.join(old, "station_id", "left")
+    turned = F.col("rains") & ~F.col("rained")
+    return both.select("station_id", F.when(turned, F.least("first", "start", F.lit(PORTAL_FIRST_YEAR))).otherwise(F.least("first", "ended")).alias("from_year"))
+
+
+def ingest_and_rebuild(spark, readings, raw_path, processed_path, order="load_seq", newest=True):
+    """Take in a delivery and rebuild the periods of its stations; returns what was not taken."""
+    if "ts_utc" not in readings.columns:
+        readings = readings.withColumn("ts_utc", F.col("ts"))
+    since = settled(_from_years(known_stations(spark, raw_path), station_facts(readings)), "since")
+    left_out = ingest(spark, readings, raw_path, order, newest)
+    update_processed(spark, raw_path, processed_path, since=since)
+    update_moving(spark, raw_path, processed_path, since)
+    return left_out
+
+
+def update_all(spark, json_path, raw_path, processed_path, manifest_path, files_per_batch=FILES_PER_BATCH):
+    """Take in the files not seen before, oldest paths first, and rebuild what they touch; returns their number.
+
+    A batch has a bounded number of files, which is all the driver ever holds. Only delivered stations are
+    rebuilt, each from its own first touched year. Records that were not taken are counted
+    in a table beside the raw one.
+    """
     listing = station_files(list_files(spark, json_path))
-    manifest = read_table(spark, manifest_path)
-    if manifest is None:
-        manifest = listing.limit(0)
-    added = file_changes(listing, manifest).where("state = 'added'")
-    # paths only; a reader takes a list of paths, which Spark keeps on the driver for any scan
-    paths = [r["path"] for r in added.select("path").collect()]
-    if not paths:
-        return 0
-    readings = with_station_id(read_portal_json(spark, paths), stations(spark))
-    first = readings.agg(F.min(F.year("ts")).alias("y")).first()["y"]
-    ingest(spark, readings, raw_path)
-    update_processed(spark, raw_path, processed_path, first)
-    seen = next_manifest(listing, manifest).select("path").join(manifest, "path", "left_anti")
-    seen.write.mode("append").parquet(manifest_path)
-    return len(paths)
+    names, taken = stations(spark), 0
+    while True:
+        manifest = read_table(spark, manifest_path)
+        if manifest is None:
+            manifest = listing.limit(0)
+        added = file_changes(listing, manifest).where("state = 'added'")
+        batch = added.select("path").orderBy("path").limit(files_per_batch)
+        paths = [r["path"] for r in batch.collect()]
+        if not paths:
+            return taken
+        records = portal_records(spark, paths)
+        readings = with_station_id(parse_portal(records), names)
+        off_grid = ingest_and_rebuild(spark, readings, raw_path, processed_path)
+        left_out = rejected(records, names).unionByName(off_grid, allowMissingColumns=True)
+        left_out.write.mode("append").parquet(f"{raw_path}-rejects")
+        spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(manifest_path)
+        taken += len(paths)
 
 
 def moving_average(raw, chunk_rows=CHUNK_ROWS):

@@ -1,18 +1,24 @@
-"""Parquet tables of raw and processed rows, rewritten per (station, year).
+"""Parquet tables of raw and processed rows, rewritten per (station, year, month) or (rule, station, year).
 
-A write replaces whole (station_id, year) partitions, so a repeated run gives the same
-table. The new content of the touched partitions is written to a side folder first
-and only then moved over, so a lost executor or driver leaves a complete copy behind.
+A raw row is keyed by station and UTC time; partitions follow its local time. A write replaces whole
+partitions, so a repeated run gives the same table. A merge first writes the new content of the touched
+partitions to a side folder and notes that in a log; only then are they moved over. When
+driver or executors are lost in between, the next merge finds the note and finishes the move.
+
+Beside the raw table lies one row per station and delivery on what the station measures, so an update
+knows that of the whole table without reading it.
 """
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..operators.merge import overlay
+from ..operators.sizes import settled
 from ..schema import SENSOR_COLS
-from ..session import scratch_dir
 
 PROCESSED = ["station_id", "rule", "period", *SENSOR_COLS]
+RAW_PARTS = ["station_id", "year", "month"]
+RAW = ["station_id", "ts_utc", "ts", *SENSOR_COLS]
 
 
 def read_table(spark, path):
@@ -33,31 +39,108 @@ def _partitioned_write(df, path, mode, columns):
     )
 
 
+def placed(wide):
+    """Raw rows with their partition; rows that know no UTC time are keyed by the local one."""
+    rows = wide if "ts_utc" in wide.columns else wide.withColumn("ts_utc", F.col("ts"))
+    return rows.select(*RAW, F.year("ts").alias("year"), F.month("ts").alias("month"))
+
+
 def write_raw(wide, path, mode="append"):
-    _partitioned_write(wide.withColumn("year", F.year("ts")), path, mode, ["station_id", "year"])
+    _partitioned_write(placed(wide), path, mode, RAW_PARTS)
 
 
 def touched(df, stored, columns):
     """Stored rows in the partitions ``df`` falls into.
 
-    The broadcast side has one row per touched partition, and the list of a table's
-    partitions is on the driver anyway; it lets the scan skip all other partitions.
+    The list of partitions is settled, so the scan of the others is skipped at run time
+    and its size is known to the join.
     """
-    parts = df.select(*columns).distinct()
-    return stored.join(F.broadcast(parts), list(columns), "left_semi")
+    return stored.join(settled(df.select(*columns).distinct(), "touched"), list(columns), "left_semi")
+
+
+def _move(spark, path, schema):
+    # the schema is given: an overlay may be empty, and then there is no file to read it from
+    _partitioned_write(spark.read.schema(schema).parquet(f"{path}-side"), path, "overwrite", RAW_PARTS)
+
+
+def _note(spark, path, step, state):
+    spark.sql(f"SELECT {step}L AS step, '{state}' AS state").write.mode("append").parquet(f"{path}-log")
+
+
+def finish_merge(spark, path):
+    """Finish a move that was noted but not ended; returns the number of the last merge."""
+    log = read_table(spark, f"{path}-log")
+    if log is None:
+        return 0
+    last = log.groupBy().pivot("state", ["ready", "done"]).agg(F.max("step")).first()
+    if last["ready"] is not None and last["ready"] != last["done"]:
+        _move(spark, path, placed(read_table(spark, path)).schema)
+        _note(spark, path, last["ready"], "done")
+    return last["ready"] or 0
 
 
 def merge_raw(spark, wide, path):
-    """Overlay new wide rows on the stored ones and rewrite the touched partitions."""
-    stored = read_table(spark, path)
+    """Overlay new wide rows on the stored ones and rewrite the touched partitions; new values win."""
+    step = finish_merge(spark, path) + 1
+    new, stored = placed(wide), read_table(spark, path)
     if stored is None:
         write_raw(wide, path, "overwrite")
         return
-    new = wide.withColumn("year", F.year("ts"))
-    merged = overlay(touched(new, stored, ["station_id", "year"]), new, ["station_id", "year", "ts"], SENSOR_COLS)
-    side = scratch_dir(spark, "raw-side")
-    _partitioned_write(merged, side, "overwrite", ["station_id", "year"])
-    _partitioned_write(spark.read.parquet(side), path, "overwrite", ["station_id", "year"])
+    stored = placed(stored.withColumn("station_id", F.col("station_id").cast(new.schema["station_id"].dataType)))
+    merged = overlay(touched(new, stored, RAW_PARTS), new, [*RAW_PARTS, "ts_utc"], ["ts", *SENSOR_COLS])
+    # the side folder holds this merge only
+    merged.hint("rebalance", *RAW_PARTS).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*RAW_PARTS).parquet(f"{path}-side")
+    _note(spark, path, step, "ready")
+    _move(spark, path, merged.schema)
+    _note(spark, path, step, "done")
+
+
+ANCHORS = ("lt", "sd")
+
+
+def _facts(spans):
+    """Aggregates (first and last UTC time, last local time) per anchor sensor and of all rows."""
+    out = []
+    for name, hit in spans.items():
+        out += [F.min(F.when(hit, F.col("ts_utc"))).alias(f"{name}_from"), F.max(F.when(hit, F.col("ts_utc"))).alias(f"{name}_to"), F.max(F.when(hit, F.col("ts"))).alias(f"{name}_last")]
+    return out
+
+
+def station_facts(readings):
+    """What each station of a delivery measures: spans of the anchor sensors and of all, precipitation or not."""
+    spans = {a: F.col("sensor") == a.upper() for a in ANCHORS} | {"any": F.lit(True)}
+    rained = F.count(F.when(F.col("sensor") == "N", F.col("value"))) > 0
+    return readings.groupBy("station_id").agg(*_facts(spans), rained.alias("has_n"))
+
+
+def facts_of(raw):
+    """The same from stored rows."""
+    spans = {a: F.col(a).isNotNull() for a in ANCHORS} | {"any": F.lit(True)}
+    return raw.groupBy("station_id").agg(*_facts(spans), (F.count("n") > 0).alias("has_n"))
+
+
+def add_facts(facts, path):
+    facts.write.mode("append").parquet(f"{path}-stations")
+
+
+def known_stations(spark, path, raw=None):
+    """Per station grid_from and grid_to (span of its first anchor sensor), latest_ts and has_n, over all deliveries.
+
+    A table without notes is read instead.
+    """
+    notes = read_table(spark, f"{path}-stations")
+    if notes is None:
+        if raw is None:
+            return None
+        notes = facts_of(raw)
+    spans = [f"{a}_{end}" for a in (*ANCHORS, "any") for end in ("from", "to", "last")]
+    every = notes.groupBy("station_id").agg(
+        *[(F.min if c.endswith("_from") else F.max)(c).alias(c) for c in spans], F.max("has_n").alias("has_n"))
+    first = lambda end: F.coalesce(*[F.col(f"{a}_{end}") for a in ANCHORS])
+    return every.select(
+        "station_id", first("from").alias("grid_from"), first("to").alias("grid_to"),
+        F.coalesce(*[F.col(f"{a}_from") for a in (*ANCHORS, "any")]).alias("origin"),
+        F.coalesce(*[F.col(f"{a}_last") for a in (*ANCHORS, "any")]).alias("latest_ts"), "has_n")
 
 
 def delete_range(wide, station_id, first, last, ts="ts"):

@@ -6,10 +6,9 @@ UTC session) and results are cast back to TIMESTAMP_NTZ.
 
 from pyspark.sql import functions as F
 
-from ..operators.align import pivot_measured
-from ..schema import PORTAL_JSON, SENSOR_COLS, rule_name
-from ..sources.portal import parse_portal, plain_file_name
-from ..sources.store import merge_raw
+from ..plans import update
+from ..schema import PORTAL_JSON, rule_name
+from ..sources.portal import parse_portal, with_load
 
 # fixed value: weeks run from Monday; the epoch was a Thursday
 WEEK_OFFSET = "4 days"
@@ -22,7 +21,7 @@ def read_portal_stream(spark, path, files_per_batch=1000):
         spark.readStream.schema(PORTAL_JSON).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_batch).json(path)
     )
-    return parse_portal(files.withColumn("file_name", plain_file_name()))
+    return parse_portal(with_load(files))
 
 
 def with_event_time(readings, delay=DELAY, ts="ts"):
@@ -77,15 +76,18 @@ def run_to_table(stream, path, checkpoint):
     return query
 
 
-def run_merge(readings, raw_path, checkpoint, order=None):
-    """Overlay every micro-batch on the stored raw rows; late readings simply replace.
+def run_merge(readings, raw_path, checkpoint, order="load_seq", newest=True, processed_path=None):
+    """Overlay every micro-batch on the stored raw rows, as the batch update does; late readings simply replace.
 
-    A batch that is repeated after a failure overlays the same values again, so the
+    With ``processed_path`` the periods of the stations of a batch are rebuilt as well. A
+    batch that is repeated after a failure overlays the same values again, so the
     table ends up the same.
     """
     def merge(batch, _):
-        wide = pivot_measured(batch, order)
-        merge_raw(batch.sparkSession, wide.select("station_id", "ts", *SENSOR_COLS), raw_path)
+        if processed_path is None:
+            update.ingest(batch.sparkSession, batch, raw_path, order, newest)
+        else:
+            update.ingest_and_rebuild(batch.sparkSession, batch, raw_path, processed_path, order, newest)
 
     query = readings.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
