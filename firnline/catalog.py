@@ -972,37 +972,90 @@ def logger_normalise(spark, sf):
     return tables.normalise_logger(sheet, [0, 2, 4])
 
 
-@query("read_lake_csv", duck(["lake_depth"], "SELECT lake, date, wd, volume, w_change FROM lake_log WHERE lake = 'Limo'", LAKE_LOG), dates="date")
+@query("read_lake_csv", duck(["lake_depth"], "SELECT lake, date, wd, volume, w_change FROM lake_log", LAKE_LOG), dates="date")
 def read_lake_csv(spark, sf):
-    """Lake log exported to CSV and read back."""
+    """The log of each lake exported to CSV in its own form and read back."""
     path = scratch_dir(spark, "lake-csv")
-    rows = _lake_log(spark, sf).where("lake = 'Limo'")
-    rows.select(F.col("date").alias("Datum"), F.col("wd").alias("WD"), F.col("volume").alias("Vol"),
-                F.col("w_change").alias("W_change")).write.csv(path, header=True)
-    return tables.read_lake_log(spark, path, "Limo")
+    out = []
+    for lake, names in (("Limo", ("WD", "Vol")), ("Parom", ("Volume", "WD"))):
+        cols = {"WD": "wd", "Vol": "volume", "Volume": "volume"}
+        rows = _lake_log(spark, sf).where(F.col("lake") == lake)
+        rows.select(F.col("date").alias("Datum"), *[F.col(cols[n]).alias(n) for n in names], F.col("w_change").alias("W_change")).write.csv(f"{path}/{lake}", header=True)
+        out.append(tables.read_lake_log(spark, f"{path}/{lake}", lake))
+    return out[0].unionByName(out[1])
 
 
-@query("read_lake_calc_csv", duck(["lake_calc"], "SELECT lake, date, area_glatt, vol_calc, volume, wd FROM lake_calc WHERE lake = 'Parom'"), dates="date")
+@query("read_lake_calc_csv", duck(["lake_calc"], "SELECT lake, date, area_glatt, vol_calc, volume, wd FROM lake_calc"), dates="date")
 def read_lake_calc_csv(spark, sf):
-    """Sparse lake table exported to CSV and read back."""
+    """The sparse table of each lake exported to CSV and read back."""
     path = scratch_dir(spark, "lake-calc-csv")
     none = F.lit(None).cast("double")
-    views.load(spark, sf, "lake_calc").where("lake = 'Parom'").select(
-        F.col("date").alias("Datum"), none.alias("Area"), F.col("area_glatt").alias("Area_glatt"), F.col("vol_calc").alias("Vol_calc"),
-        F.col("volume").alias("Volume"), F.col("wd").alias("WD"), none.alias("WD_calc"), none.alias("WD_calc_smooth"),
-    ).write.csv(path, header=True)
-    return tables.read_lake_calc(spark, path, "Parom").select("lake", "date", "area_glatt", "vol_calc", "volume", "wd")
+    out = []
+    for lake in ("Limo", "Parom"):
+        views.load(spark, sf, "lake_calc").where(F.col("lake") == lake).select(
+            F.col("date").alias("Datum"), none.alias("Area"), F.col("area_glatt").alias("Area_glatt"), F.col("vol_calc").alias("Vol_calc"),
+            F.col("volume").alias("Volume"), F.col("wd").alias("WD"), none.alias("WD_calc"), none.alias("WD_calc_smooth"),
+        ).write.csv(f"{path}/{lake}", header=True)
+        out.append(tables.read_lake_calc(spark, f"{path}/{lake}", lake).select("lake", "date", "area_glatt", "vol_calc", "volume", "wd"))
+    return out[0].unionByName(out[1])
 
 
-@query("read_historic_files", duck(["historic"], "SELECT sensor, resolution, date, count(*) AS rows, sum(value) AS total FROM parsed WHERE file_name LIKE '%Rossalm_HS_Day%' GROUP BY 1, 2, 3", HISTORIC_SQL), dates="date")
+@query("read_historic_files", duck(["historic"], "SELECT file_name, sensor, resolution, date, count(*) AS rows, sum(value) AS total FROM parsed GROUP BY 1, 2, 3, 4", HISTORIC_SQL), dates="date")
 def read_historic_files(spark, sf):
-    """One historic file written as text below a folder of its name and read back."""
-    name = "73500MS_Rossalm_HS_Day.csv"
+    """All historic files written as text below folders of their names and read by the real reader."""
     path = scratch_dir(spark, "historic")
-    views.load(spark, sf, "historic").where(F.col("file_name") == name).select("value").write.text(path)
-    lines = spark.read.text(path).withColumn("file_name", F.lit(name))
-    rows = historic.parse_historic(lines, "2000-08-01")
-    return rows.groupBy("sensor", "resolution", "date").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+    views.load(spark, sf, "historic").select("file_name", "value").write.partitionBy("file_name").text(path)
+    rows = historic.read_historic(spark, path, "2000-08-01")
+    return rows.groupBy("file_name", "sensor", "resolution", "date").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+
+
+def _portal_files(spark, sf, view="portal"):
+    """The records of a view as JSON files below folders of their names."""
+    path = scratch_dir(spark, "portal")
+    rows = views.load(spark, sf, view)
+    rows.select("file_name", "DATE", "VALUE").write.partitionBy("file_name").json(path)
+    return path
+
+
+@query("read_portal_files", duck(["portal"], PORTAL_SQL))
+def read_portal_files(spark, sf):
+    """Portal files read back by the real reader, names and all."""
+    return portal.read_portal_json(spark, _portal_files(spark, sf)).drop("load_seq")
+
+
+@query("portal_rejects", duck(["portal"], """SELECT file_name, reason, count(*) AS records FROM (
+  SELECT replace(file_name, 'Rossalm', 'Nowhere') AS file_name, CASE WHEN file_name LIKE '%\\_GS\\_%' ESCAPE '\\' THEN 'time' WHEN file_name LIKE 'Rossalm%' THEN 'station' END AS reason FROM portal) t
+WHERE reason IS NOT NULL GROUP BY 1, 2""".replace("\\\\", "\\")))
+def portal_rejects(spark, sf):
+    """Records of an unknown station and with unreadable times, counted per file."""
+    rows = views.load(spark, sf, "portal")
+    bad = F.when(F.contains(F.col("file_name"), F.lit("_GS_")), F.lit("yesterday")).otherwise(F.col("DATE"))
+    rows = rows.withColumn("DATE", bad).withColumn("file_name", F.replace("file_name", F.lit("Rossalm"), F.lit("Nowhere")))
+    return portal.rejected(rows, tables.stations(spark))
+
+
+@query("read_metadata_files", duck([], """SELECT s_name AS name, 'C' || s_suppkey AS scode, CAST(s_nationkey * 100 AS INTEGER) AS alt,
+  s_suppkey + 0.5e0 AS x, s_nationkey + 0.25e0 AS y FROM supplier""", "one AS (SELECT 1)"))
+def read_metadata_files(spark, sf):
+    """Station documents written one to a line of text files and read whole by the real reader."""
+    path = scratch_dir(spark, "metadata")
+    rows = views.load(spark, sf, "documents_json")
+    # one document of all stations per file
+    merged = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.concat_ws(", ", F.collect_list(F.expr("substr(value, 2, length(value) - 2)"))).alias("body"))
+    merged.select(F.concat(F.lit("{"), "body", F.lit("}")).alias("value")).write.text(path)
+    return tables.read_station_metadata(spark, path)
+
+
+@query("read_logger_csv", duck(["spring"], "SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts, wt, slt FROM spring"))
+def read_logger_csv(spark, sf):
+    """Logger sheet exported as CSV with its long column names and read by the real reader."""
+    path = scratch_dir(spark, "logger-csv")
+    names = ["#", "Date Time, GMT+02:00", "Temp, °C", "Specific Conductance, μS/cm", "Notes"]
+    rows = views.load(spark, sf, "spring")
+    second = F.date_trunc("second", "ts").cast("timestamp_ntz")  # as loggers write it
+    rows.select(F.lit(1).alias(names[0]), second.alias(names[1]), F.col("wt").alias(names[2]), F.col("slt").alias(names[3]), F.col("site").alias(names[4])).write.csv(path, header=True)
+    schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, ("int", "timestamp_ntz", "double", "double", "string")))
+    return tables.read_logger(spark, path, schema, [1, 2, 3])
 
 
 @query("read_isotope_csv", duck(["isotopes"], "SELECT site, date, CAST(sample AS VARCHAR) AS sample, d18o, d18o_sd, d2h, d2h_sd FROM isotopes"), dates="date")
@@ -1054,6 +1107,106 @@ def update_store(spark, sf):
     return rounded(store.read_table(spark, done).drop("year"), 9, "n", "sd", "gs")
 
 
+WINNER = ", ".join(f"arg_max(value, event_id) FILTER (WHERE sensor = '{c.upper()}') AS {c}" for c in SENSOR_COLS)
+
+
+@query("overlay_newest", duck(["readings"], "SELECT station_id, ts, " + ", ".join(f"coalesce(b.{c}, a.{c}) AS {c}" for c in SENSOR_COLS) + f""" FROM
+(SELECT station_id, ts, {WINNER} FROM readings WHERE event_id % 2 = 1 GROUP BY 1, 2) a FULL OUTER JOIN
+(SELECT station_id, ts, {WINNER} FROM readings WHERE event_id % 2 = 0 GROUP BY 1, 2) b USING (station_id, ts)"""))
+def overlay_newest(spark, sf):
+    """Two deliveries with equal times and different values, rows in any order: the newest copy wins, then the newer delivery."""
+    raw = scratch_dir(spark, "raw")
+    for rest in (1, 0):
+        rows = views.load(spark, sf, "readings").where(F.col("event_id") % 2 == rest).orderBy(F.xxhash64("event_id"))
+        update.ingest(spark, rows.withColumnRenamed("event_id", "load_seq"), raw, "load_seq", newest=True)
+    return store.read_table(spark, raw).select("station_id", "ts", *SENSOR_COLS)
+
+
+@query("ingest_single_sensor", duck(["readings"], f"SELECT station_id, ts, {WINNER} FROM readings GROUP BY 1, 2"))
+def ingest_single_sensor(spark, sf):
+    """One sensor per delivery, the anchor sensor last but one: nothing is lost."""
+    raw = scratch_dir(spark, "raw")
+    for sensor in ("HS", "N", "LF", "LT", "GS"):
+        rows = views.load(spark, sf, "readings").where(F.col("sensor") == sensor)
+        update.ingest(spark, rows, raw, "event_id", newest=True)
+    return store.read_table(spark, raw).select("station_id", "ts", *SENSOR_COLS)
+
+
+@query("ingest_autumn_hour", duck(["readings"], f"""SELECT station_id, CAST(ts - CASE WHEN summer THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS TIMESTAMP) AS ts_utc, any_value(ts) AS ts, {WINNER}
+FROM (SELECT station_id, sensor, value, event_id, event_id % 2 = 0 AS summer, CAST('2020-10-25 02:00:00' AS TIMESTAMP) + to_minutes(CAST(event_id // 2 % 6 * 10 AS INTEGER)) AS ts FROM readings) r GROUP BY 1, 2"""))
+def ingest_autumn_hour(spark, sf):
+    """The local hour that comes twice in autumn: both of its readings stay."""
+    raw = scratch_dir(spark, "raw")
+    rows = views.load(spark, sf, "readings")
+    minute = F.lpad(((F.col("event_id") / 2).cast("long") % 6 * 10).cast("string"), 2, "0")
+    zone = F.when(F.col("event_id") % 2 == 0, "CEST").otherwise("CET")
+    name = F.concat(F.col("station_name"), F.lit("_"), "sensor", F.lit("_from_20201025_to_20201025.json"))
+    records = rows.join(tables.stations(spark), "station_id").select(
+        name.alias("file_name"), F.concat(F.lit("2020-10-25T02:"), minute, F.lit(":00"), zone).alias("DATE"), F.col("value").alias("VALUE"), F.col("event_id").alias("load_seq"))
+    update.ingest(spark, portal.with_station_id(portal.parse_portal(records), tables.stations(spark)), raw, "load_seq", newest=True)
+    return store.read_table(spark, raw).select("station_id", "ts_utc", "ts", *SENSOR_COLS)
+
+
+_body, _ctes = _processed_sql("aligned")
+_DRY = "dry AS (SELECT * FROM season_readings WHERE sensor <> 'N' OR ts < TIMESTAMP '2024-01-01 00:00:00')"
+
+
+@query("update_incremental", duck(["season_readings"], _body, _DRY, _pivot("dry"), ALIGNED.replace("FROM readings", "FROM dry"), *_ctes))
+def update_incremental(spark, sf):
+    """Deliveries by year, no rain in the second; each rebuilds what it touches, and that equals a rebuild of all."""
+    raw, done = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    rows = views.load(spark, sf, "season_readings")
+    for later in (False, True):
+        part = rows.where((F.col("ts") >= F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")) == F.lit(later))
+        update.ingest_and_rebuild(spark, part.where("sensor != 'N'") if later else part, raw, done, "event_id", newest=False)
+    out = store.read_table(spark, done).where("rule != 'movavg'").drop("year")
+    return rounded(out, 9, "n", "sd", "gs")
+
+
+@query("update_moving", TRAILING)
+def update_moving(spark, sf):
+    """Moving averages written as the rule movavg and scanned station by station."""
+    raw, done = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    update.ingest(spark, views.load(spark, sf, "season_readings"), raw, "event_id")
+    update.update_moving(spark, raw, done)
+    table, out = store.read_table(spark, done), None
+    for station in range(1, 7):
+        rows = filters.scan_processed(table, station, "movAVG", "HS").withColumnRenamed("period", "ts")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("stream_hourly", duck(["readings"], f"""SELECT station_id, sensor, {P['hourly']} AS period, count(value) AS readings, sum(value) AS total, avg(value) AS mean
+FROM readings GROUP BY 1, 2, 3 HAVING {P['hourly']} + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM readings)"""))
+def stream_hourly(spark, sf):
+    """Closed hours of the event stream."""
+    path = scratch_dir(spark, "stream")
+    ingest.run_to_table(ingest.closed_periods(views.load_stream(spark, sf, "readings"), "hourly"), f"{path}/out", f"{path}/state")
+    return spark.read.parquet(f"{path}/out")
+
+
+@query("stream_monthly", duck(["season_readings"], f"""SELECT station_id, sensor, CAST(last_day(CAST(ts AS DATE)) AS TIMESTAMP) AS period, CAST(count(value) AS BIGINT) AS readings, sum(value) AS total, avg(value) AS mean
+FROM (SELECT * FROM season_readings WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM season_readings)) c
+JOIN (SELECT station_id, sensor, max(date_trunc('day', ts)) AS last FROM season_readings WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM season_readings) GROUP BY 1, 2) l
+  USING (station_id, sensor) GROUP BY 1, 2, 3, l.last HAVING last_day(CAST(min(ts) AS DATE)) < last_day(CAST(l.last AS DATE)) OR last_day(CAST(min(ts) AS DATE)) = CAST(l.last AS DATE)"""))
+def stream_monthly(spark, sf):
+    """Months of the season stream, from its stored closed days."""
+    path = scratch_dir(spark, "stream")
+    ingest.run_to_table(ingest.closed_periods(views.load_stream(spark, sf, "season_readings"), "daily"), f"{path}/out", f"{path}/state")
+    return ingest.closed_months(spark.read.parquet(f"{path}/out"))
+
+
+@query("stream_portal_files", duck(["portal"], f"""SELECT s.station_id, p.ts, {", ".join(f"max(value) FILTER (WHERE sensor = '{c.upper()}') AS {c}" for c in SENSOR_COLS)}
+FROM ({PORTAL_SQL}) p JOIN stations s ON s.station_name = p.station GROUP BY 1, 2""", STATIONS_SQL))
+def stream_portal_files(spark, sf):
+    """Portal files through the file stream into the raw table; of copies the highest value wins here."""
+    path = scratch_dir(spark, "stream")
+    rows = portal.with_station_id(ingest.read_portal_stream(spark, _portal_files(spark, sf)), tables.stations(spark))
+    rows = rows.withColumn("load_seq", F.col("value"))
+    ingest.run_merge(rows, f"{path}/raw", f"{path}/state")
+    return store.read_table(spark, f"{path}/raw").select("station_id", "ts", *SENSOR_COLS)
+
+
 @query("stream_daily", duck(["readings"], f"""SELECT station_id, sensor, {P['daily']} AS period, count(value) AS readings, sum(value) AS total, avg(value) AS mean
 FROM readings GROUP BY 1, 2, 3 HAVING {P['daily']} + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM readings)"""))
 def stream_daily(spark, sf):
@@ -1189,18 +1342,17 @@ def null_filters(spark, sf):
     """Row counts after each kind of null, marker and month filter, from one scan."""
     cols = ["area_glatt", "volume", "wd"]
     lake = views.load(spark, sf, "lake_calc")
+    date_ok = F.month("date").isin(*periods.EVAPORATION_MONTHS)
+    known = {c: F.col(c).isNotNull() for c in cols}
     kinds = {
-        "any": lake.dropna("any", subset=cols),
-        "all": lake.dropna("all", subset=cols),
-        "wd": lake.dropna(subset=["wd"]),
-        "not_11": filters.not_value(lake, "wd", 11),
-        "months": lake.withColumn("wd", filters.keep_months("wd", "date", periods.EVAPORATION_MONTHS)).dropna(subset=["wd"]),
+        "any": known["area_glatt"] & known["volume"] & known["wd"],
+        "all": known["area_glatt"] | known["volume"] | known["wd"],
+        "wd": known["wd"],
+        "not_11": filters.is_not_value("wd", 11),
+        "months": known["wd"] & date_ok,
     }
-    out = None
-    for kind, rows in kinds.items():
-        part = rows.agg(F.count("*").alias("rows")).select(F.lit(kind).alias("kind"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    counts = lake.agg(*[F.count_if(c).alias(k) for k, c in kinds.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("rows")) for k in kinds])).alias("r")).select("r.*")
 
 
 # hourly and daily processed rows in the time of the spring logger
@@ -1222,6 +1374,11 @@ def _logger_sql(unit, sites, columns):
   FROM spring WHERE site IN ({sites}) GROUP BY 1) g LEFT JOIN (SELECT site, date_trunc('{unit}', ts) AS period, {means} FROM spring GROUP BY 1, 2) m USING (site, period))"""
 
 
+# per logger: rows of a station from its first to its last day, inside its open span
+BESIDE = """spans AS (SELECT site, min(period) AS mn, max(period) AS mx FROM logger GROUP BY 1),
+beside AS (SELECT site, now.* FROM now JOIN spans ON period BETWEEN date_trunc('day', mn) AND date_trunc('day', mx)),
+inside AS (SELECT beside.* FROM beside JOIN spans USING (site) WHERE period > mn AND period < mx)"""
+CLIP_EACH = "period > (SELECT mn FROM spans s WHERE s.site = q.site) AND period < (SELECT mx FROM spans s WHERE s.site = q.site)"
 IN_SPAN = "period BETWEEN (SELECT date_trunc('day', min(period)) FROM logger) AND (SELECT date_trunc('day', max(period)) FROM logger)"
 CLIP = "period > (SELECT min(period) FROM logger) AND period < (SELECT max(period) FROM logger)"
 
@@ -1230,26 +1387,29 @@ def _roll(c, least):
     return f"CASE WHEN count({c}) OVER w >= {least} THEN avg({c}) OVER w END AS {c}_rol"
 
 
+SITES = "'lower', 'upper', 'spring'"
+
+
 @query("spring_panel_hourly", duck(["spring", "readings"], f"""SELECT site, period, l.wt, l.slt, round(l.slt_rol, 9) AS slt_rol, round(l.wt_rol, 9) AS wt_rol, r.n FROM (
-  SELECT * FROM (SELECT *, {_roll('slt', 24)}, {_roll('wt', 24)} FROM logger WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP}) l
-FULL OUTER JOIN (SELECT period, n FROM now WHERE rule = 'hourly' AND station_id = 4 AND {IN_SPAN} AND {CLIP}) r USING (period)""",
-    _pivot("readings"), PROCESSED_NOW, _logger_sql("hour", "'spring'", ["wt", "slt"])))
+  SELECT * FROM (SELECT *, {_roll('slt', 24)}, {_roll('wt', 24)} FROM logger WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP_EACH}) l
+FULL OUTER JOIN (SELECT site, period, n FROM inside WHERE rule = 'hourly' AND station_id = 4) r USING (site, period)""",
+    _pivot("readings"), PROCESSED_NOW, _logger_sql("hour", SITES, ["wt", "slt"]), BESIDE))
 def spring_panel_hourly(spark, sf):
-    spring = views.load(spark, sf, "spring").where("site = 'spring'")
+    spring = views.load(spark, sf, "spring")
     return rounded(panels.spring_panel(spring, _processed_now(spark, sf), "Hourly"), 9, "slt_rol", "wt_rol")
 
 
 @query("spring_snow_panel", duck(["spring", "readings"], f"""SELECT site, period, l.wt, l.slt, round(l.slt_rol, 9) AS slt_rol, round(l.wt_rol, 9) AS wt_rol, r.n,
   s.hs, s.lt, round(s.hs_rol, 9) AS hs_rol, round(s.lt_rol, 9) AS lt_rol FROM (
   SELECT * FROM (SELECT *, {_roll('slt', 16)}, {_roll('wt', 16)} FROM (SELECT site, ts AS period, wt, slt FROM sclean) c
-    WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP}) l
-FULL OUTER JOIN (SELECT period, n FROM now WHERE rule = 'hourly' AND station_id = 4 AND {IN_SPAN} AND {CLIP}) r USING (period)
-FULL OUTER JOIN (SELECT period, hs, lt, hs_rol, lt_rol FROM (SELECT *, {_roll('hs', 16)}, {_roll('lt', 16)} FROM now WHERE rule = 'hourly' AND station_id = 2 AND {IN_SPAN}
-    WINDOW w AS (ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP}) s USING (period)""",
-    _pivot("readings"), PROCESSED_NOW, _logger_sql("hour", "'spring'", ["wt", "slt"]),
+    WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP_EACH}) l
+FULL OUTER JOIN (SELECT site, period, n FROM inside WHERE rule = 'hourly' AND station_id = 4) r USING (site, period)
+FULL OUTER JOIN (SELECT site, period, hs, lt, hs_rol, lt_rol FROM (SELECT *, {_roll('hs', 16)}, {_roll('lt', 16)} FROM beside WHERE rule = 'hourly' AND station_id = 2
+    WINDOW w AS (PARTITION BY site ORDER BY period ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING)) q WHERE {CLIP_EACH}) s USING (site, period)""",
+    _pivot("readings"), PROCESSED_NOW, _logger_sql("hour", SITES, ["wt", "slt"]), BESIDE,
     SPRING_CLEAN.replace("FROM spring WINDOW", "FROM (SELECT site, period AS ts, wt, slt FROM logger) lg WINDOW")))
 def spring_snow_panel(spark, sf):
-    spring = views.load(spark, sf, "spring").where("site = 'spring'")
+    spring = views.load(spark, sf, "spring")
     out = panels.spring_snow_panel(spring, _processed_now(spark, sf), "Hourly", clean=True)
     return rounded(out, 9, "slt_rol", "wt_rol", "hs_rol", "lt_rol")
 
@@ -1268,13 +1428,17 @@ def lake_level_panel(spark, sf):
     return panels.lake_level_panel(loggers, _processed_now(spark, sf), columns=("wd", "wt"))
 
 
-@query("lake_volume_panel", duck(["spring", "readings"], f"""SELECT period, a.wd, a.vol, r.n
-FROM (SELECT period, wd, (931.46e0 * wd + -739.07e0) * wd + 698.83e0 AS vol FROM logger WHERE {CLIP}) a
-FULL OUTER JOIN (SELECT period, n FROM now WHERE rule = 'daily' AND station_id = 4 AND {IN_SPAN} AND {CLIP}) r USING (period)""",
-    _pivot("readings"), PROCESSED_NOW, _logger_sql("day", "'lower'", ["wd"])))
+LAKE_OF = {"lower": "Limo", "upper": "Parom", "spring": "Limo"}
+
+
+@query("lake_volume_panel", duck(["spring", "readings"], f"""SELECT site, CASE site WHEN 'upper' THEN 'Parom' ELSE 'Limo' END AS lake, period, a.wd, a.vol, r.n
+FROM (SELECT site, period, wd, CASE site WHEN 'upper' THEN (1372.99e0 * wd + -2808.53e0) * wd + 1728.66e0 ELSE (931.46e0 * wd + -739.07e0) * wd + 698.83e0 END AS vol
+      FROM logger q WHERE {CLIP_EACH}) a
+FULL OUTER JOIN (SELECT site, period, n FROM inside WHERE rule = 'daily' AND station_id = 4) r USING (site, period)""",
+    _pivot("readings"), PROCESSED_NOW, _logger_sql("day", SITES, ["wd"]), BESIDE))
 def lake_volume_panel(spark, sf):
-    logger = views.load(spark, sf, "spring").where("site = 'lower'")
-    return panels.lake_volume_panel(logger, _processed_now(spark, sf), "Limo")
+    """Every logger with the rating of its lake."""
+    return panels.lake_volume_panel(views.load(spark, sf, "spring"), _processed_now(spark, sf), LAKE_OF)
 
 
 @query("snow_monthly", duck(["monthly"], """SELECT m.station_id, m.period, m.hs, y.n AS n_year FROM monthly m

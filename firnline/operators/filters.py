@@ -70,6 +70,10 @@ def without_snowless(df, key="station_id", column="hs"):
     return df.join(snowy, [key, "season"], "left_semi")
 
 
+def is_not_value(column, value):
+    return F.col(column).isNull() | (F.col(column) != value)
+
+
 def not_value(df, column, value):
     """Rows whose column is not the marker value (null stays)."""
-    return df.where(F.col(column).isNull() | (F.col(column) != value))
+    return df.where(is_not_value(column, value))

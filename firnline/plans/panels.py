@@ -26,6 +26,30 @@ def station_rows(processed, station_id, rule, *columns):
     )
 
 
+def _beside(rows, logger, left=None, right=None, key="site"):
+    """Rows of one station beside each logger: from its first to its last day at midnight, then clipped.
+
+    The span of a logger is spread to its days, so rows meet it in an equi-join on the day.
+    """
+    span = logger.groupBy(key).agg(F.min("period").alias("_lo"), F.max("period").alias("_hi"))
+    days = span.select(key, "_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))).alias("_day"))
+    here = rows.withColumn("_day", F.to_date("period")).join(days, "_day")
+    here = here.where(F.col("period").between(F.date_trunc("day", "_lo").cast("timestamp_ntz"), F.date_trunc("day", "_hi").cast("timestamp_ntz")))
+    return _open(here, left, right).drop("_day", "_lo", "_hi")
+
+
+def _open(rows, left, right):
+    """Open interval; an open end falls back to the span of the logger (_lo, _hi)."""
+    lo = F.lit(left).cast("timestamp_ntz") if left else F.col("_lo")
+    hi = F.lit(right).cast("timestamp_ntz") if right else F.col("_hi")
+    return rows.where((F.col("period") > lo) & (F.col("period") < hi))
+
+
+def _clip_each(rows, logger, left, right, key="site"):
+    span = logger.groupBy(key).agg(F.min("period").alias("_lo"), F.max("period").alias("_hi"))
+    return _open(rows.join(span, key), left, right).drop("_lo", "_hi")
+
+
 def _by_days(df, other):
     """Rows between the first and last day of ``other``, both at midnight."""
     days = other.select(F.to_date("period").cast("timestamp_ntz").alias("period"))
@@ -55,15 +79,15 @@ def _smoothed(df, key, columns, width, least, clean=False, chunk_rows=CHUNK_ROWS
 
 
 def spring_panel(spring, processed, rule, left=None, right=None, station=STATION_ID["Wolkenstein"], roll=24):
-    """Spring temperature and conductance with precipitation; smoothed when hourly."""
+    """Temperature and conductance of each spring with precipitation; smoothed when hourly."""
     rule = rule_name(rule)
     logger = resample_dense(spring, rule, ["wt", "slt"])
-    rain = _by_days(station_rows(processed, station, rule, "n"), logger)
+    rain = _beside(station_rows(processed, station, rule, "n"), logger, left, right)
     if rule == "hourly":
         shown = _smoothed(logger, "site", ["slt", "wt"], roll, None)
     else:
         shown = logger
-    return _clip(shown, left, right, logger).join(_clip(rain, left, right, logger), "period", "full_outer")
+    return _clip_each(shown, logger, left, right).join(rain, ["site", "period"], "full_outer")
 
 
 def spring_snow_panel(spring, processed, rule, left=None, right=None, station=STATION_ID["Wolkenstein"],
@@ -72,19 +96,20 @@ def spring_snow_panel(spring, processed, rule, left=None, right=None, station=ST
     rule = rule_name(rule)
     least = int(roll / WINDOW_MIN_SHARE)
     logger = resample_dense(spring, rule, ["wt", "slt"])
-    rain = _by_days(station_rows(processed, station, rule, "n"), logger)
-    snow = _by_days(station_rows(processed, snow_station, rule, "hs", "lt"), logger)
+    rain = _beside(station_rows(processed, station, rule, "n"), logger, left, right)
+    # smoothed over the whole days of the logger, clipped afterwards
+    snow = _beside(station_rows(processed, snow_station, rule, "hs", "lt"), logger, "0001-01-01", "9999-12-31")
     if rule == "hourly":
         shown = _smoothed(logger, "site", ["slt", "wt"], roll, least, clean)
-        snow = _smoothed(snow.withColumn("site", F.lit("snow")), "site", ["hs", "lt"], roll, least).drop("site")
+        snow = _smoothed(snow, "site", ["hs", "lt"], roll, least)
     elif clean:
         shown = _smoothed(logger, "site", [], 1, None, True)
     else:
         shown = logger
     return (
-        _clip(shown, left, right, logger)
-        .join(_clip(rain, left, right, logger), "period", "full_outer")
-        .join(_clip(snow, left, right, logger), "period", "full_outer")
+        _clip_each(shown, logger, left, right)
+        .join(rain, ["site", "period"], "full_outer")
+        .join(_clip_each(snow, logger, left, right), ["site", "period"], "full_outer")
     )
 
 
@@ -103,12 +128,14 @@ def lake_level_panel(logger, processed, rule="daily", left=None, right=None, sta
 
 def lake_volume_panel(logger, processed, lake, rule="daily", left=None, right=None,
                       station=STATION_ID["Wolkenstein"]):
-    """Volume from the logger level with precipitation."""
-    rows = resample_dense(logger, rule, ["wd"]).withColumn("vol", lake_volume(F.lit(lake), "wd"))
-    rain = _by_days(station_rows(processed, station, rule, "n"), rows)
-    return _clip(rows.select("period", "wd", "vol"), left, right, rows).join(
-        _clip(rain, left, right, rows), "period", "full_outer"
-    )
+    """Volume from the level of each logger with precipitation; ``lake`` is a lake or {site: lake}."""
+    lakes = {lake: lake} if isinstance(lake, str) else lake
+    names = F.create_map(*[F.lit(x) for pair in lakes.items() for x in pair])
+    of = F.lit(lake) if isinstance(lake, str) else F.try_element_at(names, F.col("site"))
+    rows = resample_dense(logger, rule, ["wd"]).withColumn("lake", of).withColumn("vol", lake_volume("lake", "wd"))
+    rain = _beside(station_rows(processed, station, rule, "n"), rows, left, right)
+    shown = _clip_each(rows.select("site", "period", "wd", "vol"), rows, left, right).join(rain, ["site", "period"], "full_outer")
+    return shown.withColumn("lake", of).select("site", "lake", "period", "wd", "vol", "n")
 
 
 def snow_monthly(processed, snow_stations=(STATION_ID["Rossalm"], STATION_ID["Piz La Ila"]),

@@ -27,7 +27,7 @@ def parse_historic(lines, cut=PORTAL_START):
 
 
 def read_historic(spark, path, cut=PORTAL_START):
-    lines = spark.read.text(path).withColumn("file_name", plain_file_name())
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).withColumn("file_name", plain_file_name())
     return parse_historic(lines, cut)
 
 

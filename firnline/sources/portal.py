@@ -42,8 +42,17 @@ def rejected(records, stations, file_name="file_name"):
 
 
 def plain_file_name():
-    """Name of the file a row came from; Spark reports it URL-encoded (blanks as %20)."""
-    return F.try_url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    """Name of the file a row came from; Spark reports it URL-encoded (blanks as %20).
+
+    A delivery may also be a folder of part files; then it is the name of the folder, which may be
+    written as column=name.
+    """
+    own, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
+    folder = F.substring_index(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "=", -1)
+    name = F.when(F.startswith(own, F.lit("part-")), folder).otherwise(own)
+    # a folder name is encoded once by the table writer and once more by the path
+    decode = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.when(F.startswith(own, F.lit("part-")), decode(decode(name))).otherwise(decode(name))
 
 
 def with_load(files):

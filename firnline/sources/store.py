@@ -40,8 +40,9 @@ def _partitioned_write(df, path, mode, columns):
 
 
 def placed(wide):
-    """Raw rows with their partition; rows that know no UTC time are keyed by the local one."""
+    """Raw rows with their partition; rows that know no UTC time are keyed by the local one, sensors they lack are null."""
     rows = wide if "ts_utc" in wide.columns else wide.withColumn("ts_utc", F.col("ts"))
+    rows = rows.withColumns({c: F.lit(None).cast("double") for c in SENSOR_COLS if c not in rows.columns})
     return rows.select(*RAW, F.year("ts").alias("year"), F.month("ts").alias("month"))
 
 

@@ -156,8 +156,11 @@ def load(spark, sf_dir, name):
 def load_stream(spark, sf_dir, name):
     """A view over the events as a stream of their files."""
     schema = load(spark, sf_dir, "events").schema
+    sql = _text(VIEWS[name], "TIMESTAMP_NTZ", 0)
+    if "{readings}" in sql:
+        return spark.sql(sql, readings=load_stream(spark, sf_dir, "readings"))
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return spark.sql(_text(VIEWS[name], "TIMESTAMP_NTZ", 0), events=events)
+    return spark.sql(sql, events=events)
 
 
 def duck_views(*names):
