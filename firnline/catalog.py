@@ -738,11 +738,39 @@ def gaussian_mixture(spark, sf):
     return rounded(out, 3, "mean", "weight", "std")
 
 
-@query("conductivity_mixture")
+def _em_sql(rows, column, k, n_init=10, seed=0, max_iter=1000, tol=1e-3):
+    """The same expectation maximisation as a recursive query over the histogram, all restarts at once."""
+    each = range(k)
+    probs = mixture.start_quantiles(k, n_init, seed)
+    flat = ", ".join(repr(p) for row in probs for p in row)
+    one = ", ".join(f"ln(1e0 / {k}) AS w{j}, q[{{0}} * {k} + {j} + 1] + 1e-3 * sd * {j} AS m{j}, sd AS s{j}" for j in each)
+    start = " UNION ALL ".join(f"SELECT {r} AS r, 0 AS it, -1e300 AS ll, false AS done, {one.format(r)} FROM first_guess" for r in range(n_init))
+    logs = ", ".join(f"w{j} - ln(s{j}) - 0.5 * ln(2 * pi()) - 0.5 * pow((v - m{j}) / s{j}, 2) AS l{j}" for j in each)
+    top = "greatest(" + ", ".join(f"l{j}" for j in each) + ")"
+    exps = ", ".join(f"exp(l{j} - top) AS e{j}" for j in each)
+    total = " + ".join(f"e{j}" for j in each)
+    sums = ", ".join(f"greatest(sum(c * e{j} / tot), 2.3e-15) AS n{j}, sum(c * e{j} / tot * (v - m{j})) AS d{j}, sum(c * e{j} / tot * pow(v - m{j}, 2)) AS q{j}" for j in each)
+    kept = ", ".join(f"m{j}" for j in each)
+    new = ", ".join(f"ln(n{j} / n) AS w{j}, m{j} + d{j} / n{j} AS m{j}, sqrt(greatest(q{j} / n{j} - pow(d{j} / n{j}, 2), 0) + 1e-6) AS s{j}" for j in each)
+    parts = " UNION ALL ".join(f"SELECT exp(w{j}) AS weight, m{j} AS mean, s{j} AS std FROM best" for j in each)
+    return f"""hist AS (SELECT CAST({column} AS DOUBLE) AS v, count(*) AS c FROM {rows} WHERE {column} IS NOT NULL GROUP BY 1),
+first_guess AS (SELECT greatest(stddev_pop({column}) / {k}, 1e-3) AS sd, quantile_disc({column}, [{flat}]) AS q FROM {rows}),
+em AS ({start} UNION ALL
+  SELECT r, it + 1, bound, abs(bound - ll) < {tol!r}, {new} FROM (
+    SELECT r, it, ll, {kept}, sum(c) AS n, sum(c * (top + ln(tot))) / sum(c) AS bound, {sums} FROM (
+      SELECT *, {total} AS tot FROM (SELECT *, {exps} FROM (SELECT *, {top} AS top FROM (
+        SELECT em.*, v, c, {logs} FROM em, hist WHERE NOT done AND it < {max_iter}) x) y) z) t GROUP BY r, it, ll, {kept}) u),
+best AS (SELECT * FROM (SELECT * FROM em QUALIFY row_number() OVER (PARTITION BY r ORDER BY it DESC) = 1) e ORDER BY ll DESC LIMIT 1),
+mixed AS (SELECT *, CAST(row_number() OVER (ORDER BY weight DESC, mean) AS INTEGER) AS component FROM ({parts}) p)"""
+
+
+@query("conductivity_mixture", "WITH RECURSIVE " + duck(["spring"], """SELECT component, round(mean, 3) AS mean, round(weight, 3) AS weight, round(std, 3) AS std,
+  round((SELECT max(weight / (std * sqrt(2 * pi())) * exp(-0.5 * pow((100 + point * ((hi - 100) / 9999e0) - mean) / std, 2)))
+         FROM (SELECT unnest(generate_series(0, 9999)) AS point) g, (SELECT round_even((max(slt) + 51) / 100, 0) * 100 AS hi FROM spring) h), 3) AS peak
+FROM mixed""", _em_sql("spring", "slt", 3))[len("WITH "):])
 def conductivity_mixture(spark, sf):
-    """Mixture of the spring conductance in a slice of days: components with their peaks."""
-    rows = views.load(spark, sf, "spring")
-    comps, _, _ = conductivity.conductivity_mixture(rows, 3, "2024-01-03", "2024-01-25", n_init=4)
+    """Mixture of the spring conductance, whose components overlap, with ten restarts: components and their peaks."""
+    comps, _, _ = conductivity.conductivity_mixture(views.load(spark, sf, "spring"), 3)
     return rounded(comps, 3, "mean", "weight", "std", "peak")
 
 

@@ -16,7 +16,8 @@ _BLOCK = 256
 
 def grid_end(df, column):
     """Largest value plus 51, rounded to hundreds (half to even)."""
-    top = histogram(df, column).agg(F.max("value").alias("m")).first()["m"]
+    v = F.col(column).cast("double")
+    top = df.agg(F.max(F.when(~F.isnan(v), v)).alias("m")).first()["m"]
     if top is None:
         raise ValueError(f"no values in {column}")
     return float(np.round(top + 51, -2))

@@ -32,15 +32,20 @@ def histogram(df, column):
     )
 
 
-def _starts(df, column, k, n_init, seed):
-    """Start means: evenly spaced quantiles first, then random quantiles."""
+def start_quantiles(k, n_init, seed):
+    """Where the restarts put their means: evenly spaced quantiles first, then random quantiles."""
     rng = np.random.default_rng(seed)
     probs = [[(j + 0.5) / k for j in range(k)]] + [sorted(rng.uniform(0.01, 0.99, k)) for _ in range(n_init - 1)]
-    flat = [float(p) for row in probs for p in row]
+    return [[float(p) for p in row] for row in probs]
+
+
+def _starts(df, column, k, n_init, seed):
+    """Start parameters of every restart."""
+    flat = [p for row in start_quantiles(k, n_init, seed) for p in row]
     col = F.col(column).cast("double")
     spread, *means = (
         df.where(col.isNotNull() & ~F.isnan(col))
-        .agg(F.stddev_pop(col).alias("sd"), F.percentile_approx(col, flat, 10000).alias("q"))
+        .agg(F.stddev_pop(col).alias("sd"), F.percentile_approx(col, flat, 1_000_000).alias("q"))
         .select("sd", *[F.col("q")[i] for i in range(len(flat))])
         .first()
     )
