@@ -32,6 +32,7 @@ from .common import cut
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 65_536
 DOCUMENTS_PER_TASK = 256
+BATCH_CHARS = 1 << 20
 MARK = "▁"
 
 
@@ -122,14 +123,23 @@ def scan(matrices):
 
 
 def _small(proto, batches):
+    """Whole texts, some at a time, for ids as Python numbers take much more room than text."""
     p = pieces(proto)
     for batch in batches:
         texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-        ids = p.whole.encode(texts, num_threads=1) if texts else []
-        back = [p.whole.decode(i) == plain(t) for i, t in zip(ids, texts, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(back)],
-            names=[*batch.schema.names[:-1], "n_tokens", "ids", "round_trip"])
+        start = 0
+        while start < len(texts):
+            end, held = start, 0
+            while end < len(texts) and (held < BATCH_CHARS or end == start):
+                held += len(texts[end])
+                end += 1
+            part = texts[start:end]
+            ids = p.whole.encode(part, num_threads=1)
+            back = [p.whole.decode(i) == plain(t) for i, t in zip(ids, part, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(c.slice(start, end - start) for c in batch.columns[:-1]), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.bool_())],
+                names=[*batch.schema.names[:-1], "n_tokens", "ids", "round_trip"])
+            start = end
 
 
 def _chunked(size, longest, schema, batches):
