@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..schema import SENSOR_COLS, SENSORS
+from .sizes import settled
 
 
 def _cells(order, newest=False):
@@ -74,7 +75,7 @@ def align(readings, order=None, anchors=("LT", "SD"), step_seconds=300, key="sta
     wide = pivot_measured(readings, order, key, ts)
     on_grid = F.timestamp_diff("SECOND", F.col("grid_from"), F.col(ts)) % step_seconds == 0
     return (
-        wide.join(anchor_span(readings, anchors, key, ts), key)
+        wide.join(settled(anchor_span(readings, anchors, key, ts), "span"), key)
         .where(F.col(ts).between(F.col("grid_from"), F.col("grid_to")) & on_grid)
         .drop("grid_from", "grid_to")
     )

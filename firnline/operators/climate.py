@@ -7,6 +7,8 @@ over stations are bounded by the calendar.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .sizes import settled
+
 
 def yearly(monthly, key="station_id", ts="period"):
     """Per station and year: temperature range, December and January-February precipitation, total."""
@@ -45,8 +47,8 @@ def temperature_range(monthly, key="station_id", ts="period"):
 
 def winter_precipitation_of(monthly, fallback_id, key="station_id", ts="period"):
     """Mean winter precipitation; stations that measured none take the fallback station's."""
-    own = station_climate(monthly, key, ts)
-    fallback = station_climate(monthly.where(F.col(key) == fallback_id), key, ts).select("pptwt").scalar()
+    own = settled(station_climate(monthly, key, ts), "climate")  # one row per station, read twice
+    fallback = own.where(F.col(key) == fallback_id).select("pptwt").scalar()
     return own.select(key, F.when(F.col("total") == 0, fallback).otherwise(F.col("pptwt")).alias("pptwt"))
 
 

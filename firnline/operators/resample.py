@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.periods import complete_before, hour_start, period
 from ..schema import PERIOD_RULES, SENSOR_COLS, rule_name
+from .sizes import settled
 
 MEAN_ALL = {c: "mean" for c in SENSOR_COLS}
 PRECIPITATION_STATION = {**MEAN_ALL, "n": "sum", "sd": "sum", "gs": "sum"}
@@ -52,7 +53,7 @@ def resample_rules(df, stations, rules=PERIOD_RULES, key="station_id", ts="ts"):
             return mean.alias(c)
         return F.when(F.col("has_n"), F.coalesce(F.col(f"s_{c}"), F.lit(0.0))).otherwise(mean).alias(c)
 
-    rolled = sums.join(stations, key, "left")
+    rolled = sums.join(settled(stations, "stations"), key, "left")
     if "latest_ts" in stations.columns:
         over = F.lit(False)
         for r in rules:

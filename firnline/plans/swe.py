@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hydro import hydro_day, snow_water_equivalent
 from ..operators.climate import station_climate, temperature_range_before, winter_precipitation_before
+from ..operators.sizes import settled
 from ..schema import STATION_ID
 
 
@@ -17,9 +18,9 @@ def climate(monthly, precipitation_station=None, fallback_id=STATION_ID["Wolkens
     With ``precipitation_station`` all stations take that station's precipitation;
     otherwise each has its own, or the fallback's where it measured none.
     """
-    own = station_climate(monthly)
+    own = settled(station_climate(monthly), "climate")  # one row per station, read twice
     other = fallback_id if precipitation_station is None else precipitation_station
-    borrowed = station_climate(monthly.where(F.col("station_id") == other)).select("pptwt").scalar()
+    borrowed = own.where(F.col("station_id") == other).select("pptwt").scalar()
     if precipitation_station is None:
         borrowed = F.when(F.col("total") == 0, borrowed).otherwise(F.col("pptwt"))
     return own.select("station_id", "td", borrowed.alias("pptwt"))

@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,5 +34,26 @@ def scratch_dir(spark, name):
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="firnline-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = _local_base()
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+_MADE, _LOCAL = [], []
+
+
+def _local_base():
+    """One temporary folder per local process, gone when it ends."""
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="firnline-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
+
+
+def clear_scratch(spark):
+    """Delete what this process has put into the shared folder; call it when all results are stored."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)
