@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from firnline.operators import filters
 from firnline.plans import update
 from firnline.schema import SENSOR_COLS
 from firnline.sources import historic, manifest, portal, requests, store, tables
@@ -183,3 +184,57 @@ def test_history_overlay(spark, rows, listed):
         ("x_Wolkenstein_N_Day", "N", "daily", "1998-03-02", 3.0)])
     got = listed(update.history_rows(parsed).where("rule = 'monthly'").select("period", "n"), "period")
     assert [(r[0].month, r[1]) for r in got] == [(1, 2.0), (2, 30.0)]
+
+
+def test_scans_read_the_years_asked_for_only(spark, rows):
+    path = scratch_dir(spark, "years")
+    store.merge_raw(spark, wide_rows(rows, *[(s, f"{y}-06-01 00:00:00", 1.0, None) for s in (1, 2) for y in range(2015, 2021)]), path)
+    scan = filters.scan_raw(store.read_table(spark, path), 1, "LT", "20180101", "20181231")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    line = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "station_id" in line.split("PartitionFilters")[1] and "year" in line.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert scan.count() == 1
+    assert filters.scan_raw(store.read_table(spark, path), 2, "LT", None, "20161231").count() == 2
+
+
+def test_a_merge_that_broke_off_is_finished(spark, rows, listed, monkeypatch):
+    path = scratch_dir(spark, "broken")
+    store.merge_raw(spark, wide_rows(rows, (1, "2020-01-01 00:00:00", 1.0, None), (1, "2020-02-01 00:00:00", 2.0, None)), path)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_move", lost)
+        with pytest.raises(RuntimeError):
+            store.merge_raw(spark, wide_rows(rows, (1, "2020-01-01 00:00:00", 7.0, None)), path)
+    assert [r[0] for r in listed(store.read_table(spark, path).select("lt", "ts"), "ts")] == [1.0, 2.0]
+    store.merge_raw(spark, wide_rows(rows, (1, "2020-03-01 00:00:00", 3.0, None)), path)
+    assert [r[0] for r in listed(store.read_table(spark, path).select("lt", "ts"), "ts")] == [7.0, 2.0, 3.0]
+    assert store.finish_merge(spark, path) == 2
+
+
+def test_deliveries_without_anchor_and_off_the_grid(spark, tmp_path, listed):
+    files, raw, done, seen = tmp_path / "WeatherData", *(scratch_dir(spark, n) for n in ("r", "p", "m"))
+    write_portal(files / "St. Martin", "St. Martin", "HS", "2020-05-01 00:00", [50.0] * 30)
+    assert update.update_all(spark, str(files), raw, done, seen, files_per_batch=1) == 1
+    write_portal(files / "St. Martin", "St. Martin", "LT", "2020-05-01 00:00", [3.0] * 30)
+    write_portal(files / "St. Martin", "St. Martin", "N", "2020-05-01 00:03", [1.0] * 30)
+    write_portal(files / "Nowhere", "Nowhere", "N", "2020-05-01 00:00", [1.0] * 4)
+    assert update.update_all(spark, str(files), raw, done, seen, files_per_batch=2) == 3
+    table = store.read_table(spark, raw)
+    assert table.where("hs = 50").count() == 30 and table.where("lt = 3").count() == 30 and table.where("n = 1").count() == 0
+    left_out = {(r["reason"], r["records"]) for r in store.read_table(spark, f"{raw}-rejects").collect()}
+    assert left_out == {("off grid", 30), ("station", 4)}
+    assert store.read_table(spark, done).where("rule = 'movavg'").count() == 30
+
+
+def test_rain_that_stops_still_sums(spark, rows, listed):
+    """A station that rained once sums for good, also when only later years are rebuilt."""
+    raw, full, part = (scratch_dir(spark, n) for n in ("rain", "full", "part"))
+    data = [(1, f"20{y}-05-{d:02d} {h:02d}:00:00", 4.0, 1.0 if y == 19 else None) for y in (19, 20) for d in (1, 2, 3) for h in range(0, 24, 6)]
+    store.merge_raw(spark, wide_rows(rows, *data), raw)
+    update.update_processed(spark, raw, full)
+    update.update_processed(spark, raw, part, 2020)
+    day = "rule = 'daily' AND period = timestamp_ntz'2020-05-01 00:00:00'"
+    assert [(r["n"], r["lt"]) for r in store.read_table(spark, part).where(day).collect()] == [(0.0, 4.0)] == [(r["n"], r["lt"]) for r in store.read_table(spark, full).where(day).collect()]
