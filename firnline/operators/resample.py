@@ -77,14 +77,20 @@ def dense_calendar(df, rule, key, ts="period"):
     """All period labels of each key between its first and last one.
 
     The calendar comes from one (first, last) row per key: its size is a matter of
-    the time span, not of the data.
+    the time span, not of the data. Hours are spread by day first, so that a long span
+    is not unrolled in one row.
     """
-    unit = {"hourly": "INTERVAL 1 HOUR", "daily": "INTERVAL 1 DAY", "weekly": "INTERVAL 7 DAYS"}
+    unit = {"daily": "INTERVAL 1 DAY", "weekly": "INTERVAL 7 DAYS"}
     span = df.groupBy(key).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     rule = rule_name(rule)
     if rule == "monthly":
         months = F.sequence(F.trunc(F.to_date("_lo"), "MM"), F.to_date("_hi"), F.expr("INTERVAL 1 MONTH"))
         return span.select(key, F.explode(months).alias(ts)).withColumn(ts, F.last_day(ts).cast("timestamp_ntz"))
+    if rule == "hourly":
+        days = span.select(key, "_lo", "_hi", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))).alias("_d")).repartition(key, "_d")
+        hour = F.col("_d").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("_h"))
+        hours = days.select(key, "_lo", "_hi", "_d", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h"))
+        return hours.select(key, "_lo", "_hi", hour.alias(ts)).where(F.col(ts).between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
     return span.select(key, F.explode(F.sequence("_lo", "_hi", F.expr(unit[rule]))).alias(ts))
 
 
