@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 16_000
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
