@@ -30,6 +30,9 @@ def op3(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op3_sainte_lague_mix"] = mixing.oracle()
+
+
 @query("op4_quality_classifier")
 def op4(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

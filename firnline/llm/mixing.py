@@ -32,7 +32,7 @@ def _sized(docs, seed):
     return docs.withColumns({
         "_mix_size": F.size(_words(docs["text"])).cast("long"),
         "_mix_src": F.coalesce(F.concat(F.lit("s"), docs["source"]), F.lit("n")),
-        "_mix_at": F.xxhash64(F.lit(seed), docs["doc_id"], docs["text"]),
+        "_mix_at": F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), docs["doc_id"].cast("string"), docs["text"]).cast("binary")), 1, 15), 16, 10).cast("long"),
     })
 
 
@@ -127,3 +127,31 @@ def mixed(docs, weights=WEIGHTS, share=SHARE, most=MOST, shard_rows=SHARD_ROWS,
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
+
+
+def oracle(table="documents", weights=WEIGHTS, share=SHARE, most=MOST, shard_rows=SHARD_ROWS, blocks=BLOCKS, seed=SEED):
+    """The result of ``mix`` in DuckDB SQL; the divisor is halved in by a recursive query."""
+    seats = "list_sum(list_transform(v, lambda x: floor(x / {d} + 0.5)))"
+    weight = "CASE (rank - 1) % {} {} END".format(len(weights), " ".join(f"WHEN {i} THEN {float(w)!r}e0" for i, w in enumerate(weights)))
+    laps = " + ".join(
+        f"least(fin, greatest(quota - {lap} * z, 0)) - least(fin - size, greatest(quota - {lap} * z, 0))" for lap in range(most))
+    return f"""WITH RECURSIVE sized AS (SELECT doc_id, coalesce('s' || source, 'n') AS src, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+  CAST('0x' || substr(md5(concat_ws(':', '{seed}', CAST(doc_id AS VARCHAR), text)), 1, 15) AS BIGINT) AS place FROM {table}),
+dealt AS (SELECT *, place % (SELECT greatest(1, CAST(ceil(count(*) / {float(shard_rows)!r}) AS BIGINT)) FROM sized) AS shard FROM sized),
+cells AS (SELECT src, shard, CAST(sum(size) AS BIGINT) AS z FROM dealt GROUP BY 1, 2),
+ranked AS (SELECT src, total, CAST(row_number() OVER (ORDER BY src LIKE 'n%', src) AS INTEGER) AS rank FROM (SELECT src, CAST(sum(z) AS BIGINT) AS total FROM cells GROUP BY 1) t),
+weighed AS (SELECT *, {weight} AS weight, total * {float(most)!r}e0 AS most FROM ranked),
+levels AS (SELECT *, (sum(total) OVER () * {float(share)!r}e0 - coalesce(sum(most) OVER b, 0e0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0e0)) AS level
+  FROM weighed WINDOW b AS (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (SELECT *, least(most, max(level) OVER () * weight) AS target FROM levels),
+votes AS (SELECT shard, src, rank, z, total, target, CASE WHEN total > 0 THEN target * z / total ELSE 0e0 END AS vote FROM cells JOIN targets USING (src)),
+shards AS (SELECT *, round(s / block) AS n FROM (SELECT *, greatest(1e0, floor(s / {float(blocks)!r}e0)) AS block FROM (
+  SELECT shard, v, list_sum(v) AS s FROM (SELECT shard, list(vote ORDER BY rank) AS v FROM votes GROUP BY 1) a) b WHERE s > 0) c),
+halved AS (SELECT shard, v, n, block, 0 AS i, s / (n + len(v)) AS lo, CASE WHEN n > len(v) THEN s / (n - len(v)) ELSE 2.5e0 * s END AS hi FROM shards
+  UNION ALL SELECT shard, v, n, block, i + 1, CASE WHEN {seats.format(d='((lo + hi) / 2e0)')} > n THEN (lo + hi) / 2e0 ELSE lo END, CASE WHEN {seats.format(d='((lo + hi) / 2e0)')} > n THEN hi ELSE (lo + hi) / 2e0 END FROM halved WHERE i < 60),
+divisors AS (SELECT shard, block, hi AS d, n - {seats.format(d='hi')} AS spare FROM halved WHERE i = 60),
+seated AS (SELECT shard, src, z, block, floor(vote / d + 0.5) + CASE WHEN row_number() OVER (PARTITION BY shard ORDER BY -vote / (2e0 * floor(vote / d + 0.5) + 1e0), rank) <= spare THEN 1 ELSE 0 END AS seats FROM votes JOIN divisors USING (shard)),
+lines AS (SELECT doc_id, size, total, target, cells.z, coalesce(least(cells.z * {most}, CAST(seats * block AS BIGINT)), 0) AS quota,
+  CAST(sum(size) OVER (PARTITION BY dealt.shard, dealt.src ORDER BY place, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fin
+  FROM dealt JOIN cells USING (src, shard) JOIN targets USING (src) LEFT JOIN seated ON seated.src = dealt.src AND seated.shard = dealt.shard)
+SELECT doc_id, size, total AS source_size, target, CAST({laps} AS BIGINT) AS taken FROM lines"""
