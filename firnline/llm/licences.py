@@ -8,8 +8,10 @@ sequences first, and what a rule has used is not open to the rules after it.
 
 from pyspark.sql import functions as F
 
-# What must occur for a text to be cut up at all; where sentences end; sentence
-# identifiers with a pattern of the plain form; licences with their identifiers in order.
+# A word of every sentence pattern, so a text or sentence without any has no identifier;
+# what the SQL check asks of a text; where sentences end; sentence identifiers with a pattern of the
+# plain form; licences with their identifiers in order.
+WORDS = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|public|spdx|cc|version|rights|free|commons|endorse|software"
 NEEDS = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|spdx|public domain|creative commons|cc[ -]by|cc0"
 ENDS = r"[.!?;]+[ \x09-\x0D]+|[\x0A\x0D][ \x09]*[\x0A\x0D]+"
 SENTENCES = (
@@ -103,8 +105,8 @@ def identifiers(text):
     """The identifiers of a text in order, as a string of <id>."""
     plain = lambda s: F.btrim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
     known = lambda s: F.concat(*[F.when(F.rlike(s, F.lit(p)), f"<{i}>").otherwise("") for i, p in SENTENCES])
-    each = F.transform(F.filter(F.split(text, ENDS), lambda s: F.rlike(s, F.lit("(?i)licen[cs]|copyright|redistribut|permission|warrant|public|spdx|cc|version|rights|free|commons|endorse|software"))), plain)
-    return F.when(F.rlike(text, F.lit(NEEDS)), F.array_join(F.transform(each, known), "")).otherwise("")
+    each = F.transform(F.filter(F.split(text, ENDS), lambda s: F.rlike(s, F.lit(WORDS))), plain)
+    return F.when(F.rlike(text, F.lit(WORDS)), F.array_join(F.transform(each, known), "")).otherwise("")
 
 
 def scan(docs):

@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 
@@ -44,3 +46,24 @@ def test_against_sql(docs):
 
 def test_empty_table(docs):
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+def _variants(pattern):
+    """Every plain sentence that a pattern of SENTENCES stands for."""
+    text = pattern.replace("( |$)", "").replace(" ?", "( )?").replace("[cs]", "(c|s)")
+    m = re.search(r"\(([^()]*)\)(\??)", text)
+    if m is None:
+        return [text]
+    return [v for part in m[1].split("|") + [""] * bool(m[2]) for v in _variants(text[: m.start()] + part + text[m.end() :])]
+
+
+def test_each_identifier_alone(spark):
+    rows = [(k, f"Lorem ipsum. {v.capitalize()}.", i) for i, p in licences.SENTENCES for k, v in enumerate(_variants(p))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, want string")
+    got = df.select("text", "want", licences.identifiers(df["text"]).alias("got")).collect()
+    assert len(got) > 60 and [r for r in got if f"<{r.want}>" not in r.got] == []
+
+
+def test_notice_alone(spark):
+    df = spark.createDataFrame([(1, "Some prose.\n\nAll rights reserved.\n"), (2, "This program is free software.")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in licences.scan(df).collect()) == [(1, "<all-rights>", "", 0, "<all-rights>"), (2, "<gpl-free>", "", 0, "<gpl-free>")]
