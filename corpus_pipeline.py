@@ -8,6 +8,8 @@ columns of the documents.
 from firnline.llm import minhash, mixing, personal, sentencepiece_scan, toxicity
 from firnline.llm.common import cut, table
 
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark, docs, sf_dir):
     """Without the documents that the toxicity classifier rejects."""
@@ -15,8 +17,8 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near-duplicates stays."""
-    return minhash.keep_one(docs)
+    """One document of each group of near-duplicates (five words, similarity 0.8 or more) stays."""
+    return minhash.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def mask_personal_data(spark, docs, sf_dir):

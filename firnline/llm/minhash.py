@@ -3,7 +3,8 @@
 A signature has 30 MinHash values of 16 bits. It is split into six chunks of five values;
 by the pigeonhole principle two signatures that differ in at most 11 values agree in four of
 five values of some chunk, so one key per chunk and left-out value (30 keys) finds every
-such pair. A pair at the similarity 0.85 is missed with a chance of 2e-5, at 0.9 of 7e-8.
+such pair. A pair at the similarity 0.85 is missed with a chance of 2e-5, at 0.9 of 7e-8. Lower
+thresholds get more chunks, so that a pair at 0.8 is missed with a chance of 2.3e-5 (eight chunks, 40 keys).
 
 Nothing emits the pairs of a bucket. First every document is held against one centre of
 each bucket it is in, on full shingle sets; buckets whose documents are linked by then are
@@ -11,6 +12,8 @@ done, however large. The others are compared whole inside tasks, cut into tiles,
 return a spanning forest of the links between documents that were not linked yet.
 """
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,7 +26,9 @@ WORDS = 5
 PERCENT = 85
 CHUNKS, PER_CHUNK = 6, 5
 VALUES = CHUNKS * PER_CHUNK
-FAR = 16  # signatures of a pair at the threshold differ in more values with a chance of 1e-7
+MOST_CHUNKS = 12
+MISSED = 2.5e-5  # the chance of a pair at the threshold to share no key is at most this
+FAR = 16  # signatures of a pair at PERCENT differ in more values with a chance of 1e-7
 TILE = 512
 UNIT_ROWS = 4000
 BLOCK = 1 << 21
@@ -31,9 +36,24 @@ BLOCK = 1 << 21
 _RNG = np.random.default_rng(20)
 _XOR = _RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)
+_XOR = np.append(_XOR, _RNG.integers(0, 1 << 63, MOST_CHUNKS * PER_CHUNK - VALUES, dtype=np.uint64))
+_MUL = np.append(_MUL, _RNG.integers(0, 1 << 63, MOST_CHUNKS * PER_CHUNK - VALUES, dtype=np.uint64) | np.uint64(1))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _chunks(percent):
+    """Chunks of a signature: CHUNKS, and more for a threshold at which they miss too many pairs."""
+    same = percent / 100
+    miss = 1 - same**PER_CHUNK - PER_CHUNK * (1 - same) * same ** (PER_CHUNK - 1)
+    return next((n for n in range(CHUNKS, MOST_CHUNKS) if miss**n <= MISSED), MOST_CHUNKS)
+
+
+def _far(percent):
+    """In how many values signatures of a pair at the threshold may differ: FAR, and more for lower thresholds."""
+    n, q = _chunks(percent) * PER_CHUNK, 1 - percent / 100
+    return next((f for f in range(FAR, n) if sum(comb(n, i) * q**i * (1 - q) ** (n - i) for i in range(f + 1, n + 1)) <= 2e-7), n)
+
+
 def shingles(text, words=WORDS):
     """Hashes (64 bits) of the word shingles of a text, sorted and distinct."""
     found = (text or "").encode("utf-8", "replace").lower().split()
@@ -52,18 +72,18 @@ def shingles(text, words=WORDS):
     return s[np.concatenate([[True], s[1:] != s[:-1]])]
 
 
-def signatures(sets):
+def signatures(sets, values=VALUES):
     """One row of 16-bit MinHash values per set (none empty)."""
     starts = np.cumsum([0, *map(len, sets[:-1])])
     every = np.concatenate(sets)
-    out = np.empty((len(sets), VALUES), np.int32)
-    for k in range(VALUES):
+    out = np.empty((len(sets), values), np.int32)
+    for k in range(values):
         low = np.minimum.reduceat((every ^ _XOR[k]) * _MUL[k], starts)
         out[:, k] = ((low >> np.uint64(20)) ^ (low >> np.uint64(41))) & np.uint64(0xFFFF)
     return out
 
 
-def _features(words):
+def _features(words, values):
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
@@ -76,11 +96,11 @@ def _features(words):
                     i += 1
                 n = np.array([len(s) for s in sets], np.int64)
                 digest = np.array([xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) else 0 for s in sets], object)
-                sig = np.zeros((len(sets), VALUES), np.int32)
+                sig = np.zeros((len(sets), values), np.int32)
                 if n.any():
-                    sig[n > 0] = signatures([s for s in sets if len(s)])
+                    sig[n > 0] = signatures([s for s in sets if len(s)], values)
                 two = [np.array([(int(d) >> (64 * p)) & 0xFFFFFFFFFFFFFFFF for d in digest], np.uint64).view(np.int64) for p in (0, 1)]
-                offsets = np.arange(0, (len(sets) + 1) * VALUES, VALUES, dtype=np.int32)
+                offsets = np.arange(0, (len(sets) + 1) * values, values, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, i - start), pa.array(n), pa.array(two[0]), pa.array(two[1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.ravel()))],
                     names=["doc_id", "n_shingles", "d1", "d2", "sig"])
@@ -109,10 +129,10 @@ def _sets(words):
     return run
 
 
-def _keys():
-    """The 30 keys of a signature: each chunk with each of its values left out."""
+def _keys(chunks=CHUNKS):
+    """The keys of a signature, 30 for six chunks: each chunk with each of its values left out."""
     out = []
-    for c in range(CHUNKS):
+    for c in range(chunks):
         at = range(c * PER_CHUNK, (c + 1) * PER_CHUNK)
         out += [F.xxhash64(F.lit(skip), *[F.col("sig")[i] for i in at if i != skip]) for skip in at]
     return F.array(*out)
@@ -121,16 +141,18 @@ def _keys():
 def _near(a, b, n_a, n_b, percent):
     """What two documents over the threshold have in common for certain (sizes) or nearly so (signatures)."""
     differ = F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda d: d))
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (differ <= FAR)
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (differ <= _far(percent))
 
 
 def _compare(percent):
     """Links between documents of different groups in each (key, tile pair), as a spanning forest."""
+    far = _far(percent)
+
     def run(t):
         node, comp = t["node"].to_numpy(), t["comp"].to_numpy()
         unit = np.stack([t[c].to_numpy() for c in ("key", "ti", "tj")], 1)
         side = t["tile"].to_numpy()
-        sig = t["sig"].combine_chunks().flatten().to_numpy().reshape(len(node), VALUES)
+        sig = t["sig"].combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         grams = t["grams"].combine_chunks()
         sets = [grams[i].values.to_numpy().view(np.uint64) for i in range(len(node))]
         sizes = np.array([len(s) for s in sets])
@@ -153,7 +175,7 @@ def _compare(percent):
                 others = right[(right > i) if ti == tj else slice(None)]
                 ok = (comp[others] != comp[i]) & (np.minimum(sizes[others], sizes[i]) * 100 >= np.maximum(sizes[others], sizes[i]) * percent)
                 others = others[ok]
-                others = others[(sig[others] != sig[i]).sum(1) <= FAR]
+                others = others[(sig[others] != sig[i]).sum(1) <= far]
                 for j in others:
                     x, y = root(comp[i].item()), root(comp[j].item())
                     if x == y:
@@ -170,7 +192,7 @@ def _compare(percent):
 
 def _links(docs, classes, words, percent):
     """Links (a, b) between classes of equal sets that join up all that are similar enough."""
-    keyed = classes.select("node", F.explode(_keys()).alias("key"))
+    keyed = classes.select("node", F.explode(_keys(_chunks(percent))).alias("key"))
     seen = keyed.groupBy("key").agg(F.count("*").alias("docs"), F.min("node").alias("centre"), F.bit_xor(F.xxhash64("node")).alias("who")).where("docs > 1")
     shared = cut(seen.groupBy("docs", "centre", "who").agg(F.min("key").alias("key")).select("key", "docs", "centre"))
     member = cut(keyed.join(shared, "key"))
@@ -219,7 +241,7 @@ def near_duplicates(docs, words=WORDS, percent=PERCENT):
     columns are not read.
     """
     docs = docs.select("doc_id", "text")
-    feats = cut(docs.mapInArrow(_features(words), "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>"))
+    feats = cut(docs.mapInArrow(_features(words, _chunks(percent) * PER_CHUNK), "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>"))
     some = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(some.groupBy("d1", "d2", "n_shingles", "sig").agg(F.min("doc_id").alias("rep")).select(
         F.col("d1").alias("node"), "d2", F.col("n_shingles").alias("n"), "sig", "rep"))

@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from firnline.llm import minhash
 from firnline.llm.common import components
 
@@ -124,3 +125,17 @@ def test_components_of_chains_stars_and_cycles(spark):
             break
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: v for k, v in label.items() if k != v}
+
+
+@pytest.mark.parametrize("seed", [3, 5])
+def test_stage_keeps_one_at_80(spark, seed):
+    rows = corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect()]
+    want = {i for i, _, c, k in brute(rows, 80) if k}
+    assert want != {i for i, _, c, k in brute(rows) if k}
+    assert {i for i in kept if i is not None} == want and kept.count(None) == 1
+
+
+def test_chance_of_a_miss():
+    assert [minhash._chunks(p) for p in (80, 85, 90)] == [8, 6, 6] and minhash._far(85) == minhash.FAR and minhash._far(80) == 23
