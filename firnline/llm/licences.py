@@ -1,7 +1,8 @@
 """Licences named or granted in texts, by sentence rules; DataFrame functions only, no shuffle.
 
 A text is cut into sentences, each is brought to a plain form (lower case, single spaces, no marks),
-and plain sentences are mapped to the identifiers of licence sentences that they contain. The sequence
+and plain sentences are mapped to the identifiers of licence sentences that they contain. Clauses of a
+sentence count singly, and two neighbours together for what neither has alone. The sequence
 of identifiers of a text is then matched against ordered rules: longer, more telling
 sequences first, and what a rule has used is not open to the rules after it.
 """
@@ -9,9 +10,12 @@ sequences first, and what a rule has used is not open to the rules after it.
 from pyspark.sql import functions as F
 
 # A word of every sentence pattern, so a text or sentence without any has no identifier;
-# what the SQL check asks of a text; where sentences end; sentence identifiers with a pattern of the
-# plain form; licences with their identifiers in order.
+# where sentences end (line ends are \n by then) and clauses end (a semicolon, the point in "v. 2.0"); what
+# the SQL check asks of a text and where it cuts; sentence identifiers with a pattern of the plain
+# form; licences with their identifiers in order. SPDX identifiers are read with their marks instead.
 WORDS = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|public|spdx|cc|version|rights|free|commons|endorse|software"
+SENTENCE_ENDS = r"(?!(?<=[^A-Za-z0-9][Vv])\.[ \x09-\x0D]+[0-9])[.!?;]*[.!?][.!?;]*[ \x09-\x0D]+|\x0A[ \x09]*\x0A+"
+CLAUSE_ENDS = r";+[ \x09-\x0D]+|(?<=[^A-Za-z0-9][Vv])\.[ \x09-\x0D]+(?=[0-9])"
 NEEDS = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|spdx|public domain|creative commons|cc[ -]by|cc0"
 ENDS = r"[.!?;]+[ \x09-\x0D]+|[\x0A\x0D][ \x09]*[\x0A\x0D]+"
 SENTENCES = (
@@ -94,6 +98,11 @@ RULES = (
     ("BSD-3-Clause", ("spdx-bsd-3",)),
     ("MPL-2.0", ("spdx-mpl-2",)),
 )
+SPDX = {
+    "spdx-mit": "mit", "spdx-apache-2": "apache 2 0", "spdx-gpl-2": "gpl 2 0( only)?", "spdx-gpl-3": "gpl 3 0( only)?", "spdx-bsd-3": "bsd 3 clause", "spdx-mpl-2": "mpl 2 0",
+    "spdx-gpl-2-later": r"gpl 2 0( or later|\+)", "spdx-gpl-3-later": r"gpl 3 0( or later|\+)",
+}
+SPDX_RULES = (("GPL-2.0-or-later", ("spdx-gpl-2-later",)), ("GPL-3.0-or-later", ("spdx-gpl-3-later",)))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -101,11 +110,29 @@ def _sequence(ids):
     return "".join(f"<{i}>" for i in ids)
 
 
+def _spdx(name):
+    """Pattern of an SPDX tag with this identifier and no longer one: MIT is not in MIT-0, nor GPL-2.0 in GPL-2.0+."""
+    return f"spdx license identifier {name}".replace(" ", "[^a-z0-9]+") + r"(?![a-z0-9+]|[-.][a-z0-9])"
+
+
 def identifiers(text):
     """The identifiers of a text in order, as a string of <id>."""
-    plain = lambda s: F.btrim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
-    known = lambda s: F.concat(*[F.when(F.rlike(s, F.lit(p)), f"<{i}>").otherwise("") for i, p in SENTENCES])
-    each = F.transform(F.filter(F.split(text, ENDS), lambda s: F.rlike(s, F.lit(WORDS))), plain)
+    low = F.translate(F.regexp_replace(text, r"\r\n?", "\n"), UPPER, LOWER)
+    plain = lambda s: F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " "))
+    sentences = F.filter(F.split(low, SENTENCE_ENDS), lambda s: F.rlike(s, F.lit(WORDS)))
+    clauses = F.transform(sentences, lambda s: F.transform(F.split(s, CLAUSE_ENDS), lambda c: F.struct(c.alias("marked"), plain(c).alias("plain"))))
+    # each clause with the next one of its sentence, null after the last
+    each = F.flatten(F.transform(clauses, lambda s: F.transform(s, lambda c, k: F.struct(c["marked"].alias("marked"), c["plain"].alias("plain"), F.get(s, k + 1)["plain"].alias("next")))))
+    each = F.transform(each, lambda c: F.struct(c["marked"].alias("marked"), c["plain"].alias("plain"), c["next"].alias("next"), F.concat(c["plain"], F.lit(" "), c["next"]).alias("both")))
+
+    def has(c, i, pattern):
+        if i in SPDX:
+            return F.rlike(c["marked"], F.lit(_spdx(SPDX[i])))
+        # null where no clause follows, which is no hit
+        return F.rlike(c["plain"], F.lit(pattern)) | (F.rlike(c["both"], F.lit(pattern)) & ~F.rlike(c["next"], F.lit(pattern)))
+
+    patterns = [*SENTENCES, *((i, None) for i in SPDX if i not in dict(SENTENCES))]
+    known = lambda c: F.concat(*[F.when(has(c, i, p), f"<{i}>").otherwise("") for i, p in patterns])
     return F.when(F.rlike(text, F.lit(WORDS)), F.array_join(F.transform(each, known), "")).otherwise("")
 
 
@@ -120,7 +147,7 @@ def scan(docs):
     out = docs.select("doc_id", identifiers(F.coalesce(docs["text"], F.lit(""))).alias("sentence_ids"))
     left, found, count = F.col("sentence_ids"), [], F.lit(0)
     steps = {}
-    for k, (licence, ids) in enumerate(RULES):
+    for k, (licence, ids) in enumerate(RULES + SPDX_RULES):
         # one column per rule, so that no expression is repeated in the next
         steps[k] = (licence, len(_sequence(ids)) - 1)
         out = out.withColumn(f"r{k}", F.replace(left, F.lit(_sequence(ids)), F.lit("|")))

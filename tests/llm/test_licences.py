@@ -67,3 +67,74 @@ def test_each_identifier_alone(spark):
 def test_notice_alone(spark):
     df = spark.createDataFrame([(1, "Some prose.\n\nAll rights reserved.\n"), (2, "This program is free software.")], "doc_id long, text string")
     assert sorted(tuple(r) for r in licences.scan(df).collect()) == [(1, "<all-rights>", "", 0, "<all-rights>"), (2, "<gpl-free>", "", 0, "<gpl-free>")]
+
+
+GNU = """This {0} is free software; you can redistribute it and/or modify
+it under the terms of the GNU {1} as published by
+the Free Software Foundation; either version {2} of the License, or
+(at your option) any later version.
+
+This {0} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {1} for more details.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+OFFICIAL = [
+    (GNU.format("program", "General Public License", "2"), "GPL-2.0-or-later"),
+    (GNU.format("program", "General Public License", "3"), "GPL-3.0-or-later"),
+    (GNU.format("library", "Lesser General Public License", "2.1"), "LGPL-2.1-or-later"),
+    (GNU.format("library", "Lesser General Public License", "3"), "LGPL-3.0-or-later"),
+    (GNU.format("program", "Affero General Public License", "3"), "AGPL-3.0-or-later"),
+    (APACHE, "Apache-2.0"),
+    (MPL, "MPL-2.0"),
+    (BSD, "BSD-3-Clause"),
+    ("Released under the MIT License; released under the\nMIT License; more words.", "MIT"),
+]
+
+
+def test_official_notices(spark):
+    rows = [(k, t, licence) for k, (text, licence) in enumerate(OFFICIAL) for t in (text, text.replace("\n", "\r\n"), text.replace("\n", "\r"))]
+    out = licences.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.licences) for r in out) == sorted((k, licence) for k, _, licence in rows)
+    assert {r.doc_id: r.n_licences for r in out} == {k: 2 if k == 8 else 1 for k in range(9)}
+    assert next(r.unmatched for r in out if r.doc_id == 0) == "<gpl-no-warranty>"
+
+
+def test_spdx_identifiers_end(spark):
+    want = {"MIT": "MIT", "mit */": "MIT", "MIT.": "MIT", "MIT-->": "MIT", "MIT\r\n": "MIT", "MIT-0": "", "Apache-2.0": "Apache-2.0", "Apache 2.0": "Apache-2.0", "BSD-3-Clause": "BSD-3-Clause", "BSD-3-Clause-Clear": "",
+            "MPL-2.0": "MPL-2.0", "MPL-2.0-no-copyleft-exception": "", "GPL-2.0": "GPL-2.0-only", "GPL-2.0-only": "GPL-2.0-only", "GPL-2.0-or-later": "GPL-2.0-or-later", "GPL-2.0+": "GPL-2.0-or-later",
+            "GPL-3.0": "GPL-3.0-only", "GPL-3.0-only": "GPL-3.0-only", "GPL-3.0-or-later": "GPL-3.0-or-later", "GPL-3.0+": "GPL-3.0-or-later", "GPL-2.0-only WITH x": "GPL-2.0-only"}
+    out = licences.scan(spark.createDataFrame([(k, f"// SPDX-License-Identifier: {s}\nint x;") for k, s in enumerate(want)], "doc_id long, text string")).collect()
+    assert [r.licences for r in sorted(out)] == list(want.values())
