@@ -31,14 +31,16 @@ BAD_WORDS = frozenset(
     "hidden login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related rss search share sharing shop sidebar sidenav "
     "signup skip social sponsor sponsored subscribe subscription toc toolbar topbar widget widgets".split())
 TALK_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
+ONE_TALK = frozenset("comment reply".split())  # is one, rather than has some
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
 COLUMNS = ("words", "links", "words_before", "links_before", "words_after", "links_after", "inside", "outside", "heading", "item", "full_stop")
 
 
-def _place(tag, attributes, above):
+def _place(tag, attributes, above, talk=TALK_WORDS, wraps=False):
     """(inside, outside) of an element below ``above``: what holds content, and what holds something else.
 
     outside is 2 where nothing below counts as content again: navigation, forms, comments, hidden parts.
+    A form that ``wraps`` the content is as if it were not there. ``talk`` are the words of comments.
     """
     inside, outside = above
     if outside == 2:
@@ -47,13 +49,15 @@ def _place(tag, attributes, above):
     for name, a, b, c, alone in _ATTRIBUTE.findall(attributes):
         found.setdefault((name or alone).lower(), a or b or c)
     style = found.get("style", "").replace(" ", "").lower()
-    if tag in OUTSIDE or "hidden" in found or "display:none" in style or "visibility:hidden" in style or found.get("aria-hidden") == "true":
+    if tag in OUTSIDE and not wraps or "hidden" in found or "display:none" in style or "visibility:hidden" in style or found.get("aria-hidden") == "true":
         return inside, 2
+    if wraps:
+        return above
     words = set()
     for name in ("class", "id", "role"):
         if found.get(name):
             words.update(_SPLIT.split(found[name].lower()), _SPLIT.split(_HUMP.sub(" ", found[name]).lower()))
-    if words & TALK_WORDS:
+    if words & talk:
         return inside, 2
     if tag == "header" and not inside:
         return inside, 2
@@ -68,8 +72,18 @@ def _place(tag, attributes, above):
 
 def blocks(page):
     """Text blocks of a page as (text, features without neighbours, label of a training page or None)."""
+    out, wrappers = _walk(page, frozenset())
+    return _walk(page, wrappers)[0] if wrappers else out
+
+
+def _walk(page, wrappers):
+    """The blocks, and which forms of the page (by number) hold an article, main or content container.
+
+    Those in ``wrappers`` do not count as forms. In content, only an article or main makes a form a wrapper.
+    """
     out, buffer = [], []  # buffer: (text, is link)
-    stack = [("", (0, 0), None)]  # tag, place, label
+    stack = [("", (0, 0), None, (0, 0), None)]  # tag, place, label, place below the innermost form if that were none, forms that could be wrappers
+    forms, found, articles, content = 0, set(), 0, False
 
     def flush():
         if not buffer:
@@ -80,6 +94,8 @@ def blocks(page):
             linked = sum(len(entities.unescape(t).split()) for t, link in buffer if link)
             tags = [s[0] for s in stack]
             inside, outside = stack[-1][1]
+            nonlocal content
+            content = content or bool(inside and not outside)
             heading = any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t in tags[-4:])
             label = next((s[2] for s in reversed(stack) if s[2] is not None), None)
             out.append((text, (words, min(1.0, linked / words), inside, outside, heading, "li" in tags, text[-1] in ".!?…。:;\"”"), label))
@@ -132,9 +148,35 @@ def blocks(page):
             if stack[i][0] in HOLDERS:
                 break
         label = re.search(r'data-y="([01])"', attributes)
-        stack.append((tag, _place(tag, attributes, stack[-1][1]), int(label[1]) if label else None))
+        _, place, _, free, inner = stack[-1]
+        talk = TALK_WORDS
+        if tag in ("html", "body", "main"):
+            talk = frozenset()
+        elif tag == "article" and not articles:
+            talk = ONE_TALK if content else frozenset()
+        if tag == "article" and place[1] != 2:
+            articles += 1
+        if tag == "form":
+            # (number, is in content, the one around it): hidden forms and those in navigation, comments and the like wrap nothing
+            free = _place(tag, attributes, free, wraps=True)
+            inner = (forms, bool(free[0]), inner) if free[1] != 2 else inner
+            free = (0, free[1])
+            place = _place(tag, attributes, place, wraps=forms in wrappers)
+            forms += 1
+        else:
+            place = _place(tag, attributes, place, talk)
+            if inner:
+                free = _place(tag, attributes, free, talk)
+                around = inner if free == (1, 0) else None
+                while around and around[0] not in found:
+                    if not around[1] or tag in ("article", "main"):
+                        found.add(around[0])
+                    around = around[2]
+            else:
+                free = place
+        stack.append((tag, place, int(label[1]) if label else None, free, inner))
     flush()
-    return out
+    return out, frozenset(found)
 
 
 def features(found):

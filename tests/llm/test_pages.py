@@ -41,3 +41,26 @@ def test_table(spark):
     got = sorted((tuple(r) for r in pages.extract(df).collect()), key=repr)
     assert [g for g in got if g[0] != 5] == sorted([(1, "u", P, len(P)), (1, "u", P, len(P)), (2, None, "", 0), (None, "v", "", 0), (3, "w", "", 0), (4, "x", " ".join([P] * 5000), 5000 * (len(P) + 1) - 1), (6, "z", "\U0001F600é", 2)], key=repr)
     assert pages.extract(df.limit(0)).count() == 0
+
+
+NAV = "<nav><a href='/'>Home</a></nav>"
+WHOLE = {
+    f"<body><form id='aspnetForm' action='x'><input type=hidden>{NAV}<article><p>{P}</p></article><footer>{P}</footer></form></body>": P,
+    f"<body><form id='mainForm'>{NAV}<div id='content'><p>{P}</p><p>{P}</p></div><div class='sidebar'>{P}</div></form></body>": f"{P} {P}",
+    f"<body><form>{NAV}<main><p>{P}</p><form><p>{P}</p></form></main></form></body>": P,
+    f"<html class='comments'><body class='single comments-open'>{NAV}<article><p>{P}</p></article></body></html>": P,
+    f"<body>{NAV}<article class='post has-comments'><p>{P}</p><div class='comments'><p>{P}</p></div></article></body>": P,
+    f"<body><main class='discussion'><p>{P}</p></main></body>": P,
+    f"<body><main><h1>A title</h1><article class='has-comments'><p>{P}</p></article></main></body>": f"A title {P}",
+    # forms and comments that hold no main text stay out
+    f"<body><article><p>{P}</p><form><div class='form-body'><p>{P}</p></div></form></article></body>": P,
+    f"<body><div class='post'><p>{P}</p></div><article class='comment'><p>{P}</p></article></body>": P,
+    f"<body><article><p>{P}</p></article><form><div class='comments'><article class='comment'><p>{P}</p></article></div></form></body>": P,
+    f"<body><article><p>{P}</p></article><nav><form><div class='content'><p>{P}</p></div></form></nav><form hidden><article>{P}</article></form></body>": P,
+    f"<body><article><p>{P}</p></article><article class='post has-comments'><p>{P}</p></article></body>": P,
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_containers_of_the_whole_page(page):
+    assert pages.main_text(page, TREE) == WHOLE[page]
