@@ -102,8 +102,9 @@ def _features(words, values):
                 two = [np.array([(int(d) >> (64 * p)) & 0xFFFFFFFFFFFFFFFF for d in digest], np.uint64).view(np.int64) for p in (0, 1)]
                 offsets = np.arange(0, (len(sets) + 1) * values, values, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, i - start), pa.array(n), pa.array(two[0]), pa.array(two[1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.ravel()))],
-                    names=["doc_id", "n_shingles", "d1", "d2", "sig"])
+                    [ids.slice(start, i - start), pa.array(n), pa.array(two[0]), pa.array(two[1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.ravel())),
+                     *(c.slice(start, i - start) for c in batch.columns[2:])],
+                    names=["doc_id", "n_shingles", "d1", "d2", "sig", *batch.schema.names[2:]])
                 start = i
 
     return run
@@ -240,28 +241,37 @@ def near_duplicates(docs, words=WORDS, percent=PERCENT):
     repeat a doc_id with another text, each by its own text. An empty table gives no rows; other
     columns are not read.
     """
-    docs = docs.select("doc_id", "text")
-    feats = cut(docs.mapInArrow(_features(words, _chunks(percent) * PER_CHUNK), "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>"))
+    out = _grouped(docs.select("doc_id", "text"), words, percent)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs, words, percent, more=""):
+    """near_duplicates with the root of each component, null without shingles; ``more`` declares columns of ``docs`` to keep."""
+    feats = cut(docs.mapInArrow(_features(words, _chunks(percent) * PER_CHUNK), "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>" + more))
+    own = docs.columns[2:]
     some = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(some.groupBy("d1", "d2", "n_shingles", "sig").agg(F.min("doc_id").alias("rep")).select(
         F.col("d1").alias("node"), "d2", F.col("n_shingles").alias("n"), "sig", "rep"))
     comp = cut(components(_links(docs, classes, words, percent)))
     rooted = cut(classes.select("node", "rep").join(comp, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")))
     low = cut(rooted.groupBy("root").agg(F.min("rep").alias("component")))
-    ids = cut(rooted.join(low, "root").select(F.col("node").alias("d1"), "component"))
-    out = some.join(ids, "d1").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    out = out.unionByName(feats.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    ids = cut(rooted.join(low, "root").select(F.col("node").alias("d1"), "component", "root"))
+    out = some.join(ids, "d1").select("doc_id", "n_shingles", F.col("component").alias("component_id"), "root", *own)
+    out = out.unionByName(feats.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"), *own))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def keep_one(docs, words=WORDS, percent=PERCENT):
     """``docs`` with one document of each group of near-duplicates, all columns as they are.
 
-    Of rows that repeat a kept doc_id one stays (the smallest text). Rows without doc_id have no
-    identity to compare by and stay. Column names may be any.
+    Of rows that repeat a doc_id those with equal or linked texts fall together (the smallest text stays);
+    another text of the same doc_id is a document of its own, and goes only if it is near a kept one. Rows
+    without doc_id have no identity to compare by and stay. Column names may be any.
     """
-    kept = cut(near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct())
-    some = docs.join(kept, docs["doc_id"] == kept["_kept_id"])
-    first = Window.partitionBy("_kept_id").orderBy(F.col("text").asc_nulls_last())
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_kept_text"))
+    kept = _grouped(texts, words, percent, ", _kept_text long").where("kept")
+    kept = cut(kept.select(F.col("doc_id").alias("_kept_id"), "_kept_text", F.col("root").alias("_kept_root")).distinct())
+    some = docs.join(kept, (docs["doc_id"] == kept["_kept_id"]) & (F.xxhash64(docs["text"]) == kept["_kept_text"]))
+    first = Window.partitionBy("_kept_id", "_kept_root").orderBy(F.col("text").asc_nulls_last())
     some = some.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(docs.columns)
     return some.unionByName(docs.where("doc_id IS NULL"))

@@ -139,3 +139,11 @@ def test_stage_keeps_one_at_80(spark, seed):
 
 def test_chance_of_a_miss():
     assert [minhash._chunks(p) for p in (80, 85, 90)] == [8, 6, 6] and minhash._far(85) == minhash.FAR and minhash._far(80) == 23
+
+
+def test_keep_one_of_each_text_of_a_repeated_id(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcd")
+    rows = [(7, b), (7, c), (7, c + " end"), (7, a), (7, a), (3, a), (8, d), (8, None), (8, ""), (9, "  ")]
+    out = minhash.keep_one(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, root int"))
+    assert out.columns == ["doc_id", "text", "root"]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(repr, [(7, b), (7, c), (3, a), (8, d), (8, ""), (9, "  ")]))
