@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import embedding_pairs, licences, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, toxicity
+from . import embedding_pairs, licences, merkle, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -69,3 +69,11 @@ def op9(spark, sf_dir):
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_merkle_manifest")
+def op13(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = merkle.oracle()
