@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import embedding_pairs, licences, merkle, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, toxicity
+from . import embedding_pairs, licences, merkle, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, term_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -77,3 +77,11 @@ def op13(spark, sf_dir):
 
 
 ORACLES["op13_merkle_manifest"] = merkle.oracle()
+
+
+@query("op12_term_scan")
+def op12(spark, sf_dir):
+    return term_scan.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_term_scan"] = term_scan.oracle()

@@ -170,7 +170,7 @@ def oracle(table="documents", every=EVERY):
     return f"""WITH RECURSIVE crcs AS (SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])), lambda x, i: {bit}) ORDER BY b) AS t FROM range(256) r(b)),
 hashed AS (SELECT doc_id, lang, {digest(0)} AS leaf, {digest(1)} AS more,
   xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda x, c: xor(x >> 8, t[(xor(x, c) & 255) + 1])), 4294967295) AS crc FROM {table}, crcs),
-leaves AS (SELECT *, CASE WHEN crc % {every} = 0 THEN more ELSE leaf END AS given, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+leaves AS (SELECT *, CASE WHEN doc_id IS NOT NULL AND crc % {every} = 0 THEN more ELSE leaf END AS given, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
   row_number() OVER () AS k FROM hashed),
 low AS (SELECT coalesce('s' || lang, 'n') AS g, 0 AS level, pos, n, leaf AS h FROM leaves
   UNION ALL SELECT g, level + 1, pos >> 1, n, {pair} FROM low WHERE {alive} GROUP BY g, level, pos >> 1, n),
