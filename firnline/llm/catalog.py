@@ -1,6 +1,6 @@
 """The numbered queries over the given tables; SQL checks where SQL can say the same."""
 
-from . import embedding_pairs, licences, merkle, minhash, mixing, neighbours, pages, personal, quality, sentencepiece_scan, term_scan, toxicity
+from . import embedding_pairs, licences, merkle, minhash, mixing, neighbours, pages, personal, quality, repeats, sentencepiece_scan, term_scan, toxicity
 from .common import table
 
 QUERIES = {}
@@ -71,12 +71,9 @@ def op10(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op13_merkle_manifest")
-def op13(spark, sf_dir):
-    return merkle.manifest(table(spark, sf_dir, "documents"))
-
-
-ORACLES["op13_merkle_manifest"] = merkle.oracle()
+@query("op11_longest_previous")
+def op11(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 @query("op12_term_scan")
@@ -85,3 +82,11 @@ def op12(spark, sf_dir):
 
 
 ORACLES["op12_term_scan"] = term_scan.oracle()
+
+
+@query("op13_merkle_manifest")
+def op13(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = merkle.oracle()

@@ -11,15 +11,15 @@ no language is in one task, and a block of 64 neighbours is all that meets in on
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sizes import settled
+from .common import numbered
 
 STEP = 6
 EVERY = 7
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-_INDEX = (1 << 33) - 1  # monotonically_increasing_id has the row number of a part in its low 33 bits
 
 
 def _field(value):
@@ -46,23 +46,6 @@ def leaves(docs, every=EVERY):
         F.when(hit, _digest(*map(_field, more.values()))).alias("changed"))
 
 
-def numbered(rows, group, order, name):
-    """``rows`` with their place (from 0) in the order of their group, and the size n of the group.
-
-    One range sort over all; the place is the index in the sorted part plus the rows of the group in parts before.
-    """
-    parts = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
-    parts = settled(parts.withColumn("_at", F.monotonically_increasing_id()), name)
-    part, index = F.shiftrightunsigned("_at", 33).alias("_part"), F.col("_at").bitwiseAND(F.lit(_INDEX))
-    sizes = parts.groupBy(group, part).agg(F.min(index).alias("_first"), F.count("*").alias("_rows"))
-    upto = Window.partitionBy(group).orderBy("_part")  # one row per part of the sort
-    sizes = sizes.select(
-        group, "_part", (F.sum("_rows").over(upto) - F.col("_rows") - F.col("_first")).alias("_base"), F.sum("_rows").over(Window.partitionBy(group)).alias("n"))
-    sizes = settled(sizes, f"{name}-parts")
-    placed = parts.withColumn("_part", part).join(sizes, [group, "_part"])
-    return placed.withColumn("pos", index + F.col("_base")).drop("_at", "_part", "_base")
-
-
 def _joined(level):
     """The level above an array of hashes: every two neighbours become one, a last one alone too."""
     runs = F.sequence(F.lit(0), ((F.size(level) + 1) / 2).cast("int") - 1)
