@@ -1,19 +1,27 @@
 """Follow-the-regularised-leader logistic regression over hashed text features.
 
 Documents become sparse vectors of hashed word n-grams in parallel tasks. A bounded, seeded
-sample of labelled rows (``TRAIN_ROWS``, a documented parameter) is dealt to a few groups;
-each group learns on its own with per-coordinate rates and L1/L2 terms, and the weights are
-averaged; rows with label 1 weigh ``positive`` times as much. The non-zero weights, at most 2^bits of them, are the model that tasks get.
+sample of labelled rows is dealt to a few groups; it has at most ``TRAIN_ROWS`` rows, one per doc_id, and about
+``TRAIN_BYTES`` of text, both documented parameters. Each group learns on its own with per-coordinate rates and
+L1/L2 terms, and the weights are averaged; rows with label 1 weigh ``positive`` times as much. The non-zero
+weights, at most 2^bits of them, are the model that tasks get.
+
+Tasks work on Arrow columns text by text, so what a task holds is one batch, a small cache and the model.
 """
 
 import re
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 TRAIN_ROWS = 16_000
+TRAIN_BYTES = 64 << 20
+TRAIN_TASKS = 32
+FEATURES_HELD = 1 << 20
+TOKENS_HELD = 40_000
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -22,7 +30,7 @@ class _Tokens(dict):
     """Hash of each token seen lately."""
 
     def __missing__(self, token):
-        if len(self) > 400_000:
+        if len(self) >= TOKENS_HELD:
             self.clear()
         h = self[token] = zlib.crc32(token.encode("utf-8", "replace")) * 0x9E3779B1 + 0x7F4A7C15
         return h
@@ -78,49 +86,79 @@ def fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
+def _lists(arrays, kind):
+    """Arrays as one list column."""
+    offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0)]).astype(kind)))
+
+
 def _featurise(bits, skips, counts):
     def run(batches):
-        for rows in batches:
-            made = [vector(t, bits, skips, counts) for t in rows["text"]]
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "label": rows["label"], "at": [m[0].astype(np.int32) for m in made], "x": [m[1].astype(np.float32) if counts else None for m in made]})
+        for batch in batches:
+            texts, start, made, held = batch.column("text"), 0, [], 0
+            for i in range(len(batch)):
+                made.append(vector(texts[i].as_py(), bits, skips, counts))
+                held += len(made[-1][0])
+                if held >= FEATURES_HELD or i + 1 == len(batch):
+                    values = _lists([m[1] for m in made], np.float32) if counts else pa.nulls(len(made), pa.list_(pa.float32()))
+                    own = [batch.column(c).slice(start, len(made)) for c in ("doc_id", "label")]
+                    yield pa.RecordBatch.from_arrays([*own, _lists([m[0] for m in made], np.int32), values], names=["doc_id", "label", "at", "x"])
+                    start, made, held = i + 1, [], 0
 
     return run
 
 
+def _views(column):
+    """The lists of a column as views of its buffers, None for null."""
+    out = []
+    for chunk in column.chunks:
+        ends, values, known = chunk.offsets.to_numpy(), chunk.values.to_numpy(), chunk.is_valid().to_pylist()
+        out += [values[ends[i] : ends[i + 1]] if known[i] else None for i in range(len(chunk))]
+    return out
+
+
 def _train(bits, alpha, beta, l1, l2, positive, epochs, seed):
     def run(rows):
-        model, order = Ftrl(bits, alpha, beta, l1, l2, positive), np.random.default_rng(seed)
-        rows = rows.sort_values("doc_id", kind="stable")
-        at, x, y = rows["at"].to_numpy(), rows["x"].to_numpy(), rows["label"].to_numpy()
+        model, rng = Ftrl(bits, alpha, beta, l1, l2, positive), np.random.default_rng(seed)
+        at, x, y = _views(rows["at"]), _views(rows["x"]), rows["label"].to_numpy()
+        order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
         for _ in range(epochs):
-            for i in order.permutation(len(rows)):
+            for i in order[rng.permutation(len(order))]:
                 values = np.ones(len(at[i])) if x[i] is None else x[i]
                 model.learn(np.append(at[i], model.bias), np.append(values, 1.0), y[i])
         w = model.weights(np.arange((1 << bits) + 1))
         at = np.flatnonzero(w)
-        return pd.DataFrame({"at": at, "w": w[at]})
+        return pa.table({"at": at, "w": w[at]})
 
     return run
 
 
-def fit(docs, labels, label, *, bits=18, skips=(), counts=False, alpha=0.1, beta=1.0, l1=1.0, l2=1e-4, positive=1.0, epochs=2, groups=1, rows=TRAIN_ROWS, seed=7):
-    """The model: sorted indices and weights (the bias at 2^bits), or None without both labels.
+def sample(docs, labels, label, rows=TRAIN_ROWS, most_bytes=TRAIN_BYTES, seed=7):
+    """doc_id, label and text of the rows to learn from.
 
-    Learns from documents with a 0/1 ``label`` whose crc32(doc_id as text) mod 5 is not 0: the
-    ``rows`` of them with the smallest seeded hash of doc_id. Null ids, labels and other values
-    are left out; a doc_id labelled twice counts twice.
+    Documents with a 0/1 ``label`` whose crc32(doc_id as text) mod 5 is not 0, in the order of a seeded hash of
+    doc_id: at most ``rows`` of them, as long as their texts have at most ``most_bytes`` bytes together. A doc_id is one row:
+    with the smaller of its labels and the smaller of its texts, if it has several. Null ids, labels and other values are left out.
     """
     given = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
-    given = given.where(fold(F.col("doc_id")) != 0)
-    chosen = given.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).orderBy("h", "doc_id", "label").limit(rows).select("doc_id", "label")
-    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows
-    made = train.mapInPandas(_featurise(bits, skips, counts), "doc_id long, label int, at array<int>, x array<float>")
+    given = given.where(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.min("label").alias("label"))
+    chosen = given.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).orderBy("h", "doc_id").limit(rows)
+    train = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most ``rows`` rows
+    train = train.groupBy("doc_id", "label", "h").agg(F.min("text").alias("text"))
+    upto = F.sum(F.octet_length("text").cast("long")).over(Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    return train.withColumn("upto", upto).where(F.col("upto") <= most_bytes).select("doc_id", "label", "text")
+
+
+def fit(docs, labels, label, *, bits=18, skips=(), counts=False, alpha=0.1, beta=1.0, l1=1.0, l2=1e-4, positive=1.0, epochs=2, groups=1, rows=TRAIN_ROWS, most_bytes=TRAIN_BYTES, seed=7):
+    """The model: sorted indices and weights (the bias at 2^bits), or None without rows to learn from (see ``sample``)."""
+    train = sample(docs, labels, label, rows, most_bytes, seed).repartition(TRAIN_TASKS, "doc_id")
+    made = train.mapInArrow(_featurise(bits, skips, counts), "doc_id long, label int, at array<int>, x array<float>")
     made = made.withColumn("part", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(groups).cast("long")))
-    learned = made.groupBy("part").applyInPandas(_train(bits, alpha, beta, l1, l2, positive, epochs, seed), "at long, w double")
-    mean = learned.groupBy("at").agg((F.sum("w") / groups).alias("w")).orderBy("at").toPandas()
+    learned = made.groupBy("part").applyInArrow(_train(bits, alpha, beta, l1, l2, positive, epochs, seed), "at long, w double")
+    mean = learned.groupBy("at").agg((F.sum("w") / groups).alias("w")).orderBy("at").toArrow()
     if not len(mean):
         return None
-    return mean["at"].to_numpy(np.int64), mean["w"].to_numpy(np.float64)
+    return mean["at"].to_numpy(), mean["w"].to_numpy()
 
 
 def scorer(model, *, bits=18, skips=(), counts=False, empty_model=0.0):
@@ -128,26 +166,21 @@ def scorer(model, *, bits=18, skips=(), counts=False, empty_model=0.0):
     if model is None:
         return lambda text: F.lit(float(empty_model))
     at, w = model
-    whole = np.zeros((1 << bits) + 1)
-    whole[at] = w
-    bias = whole[-1]
-    sparse = (at, w)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         dense = np.zeros((1 << bits) + 1)
-        dense[sparse[0]] = sparse[1]
+        dense[at] = w
         out = np.empty(len(texts))
-        for i, text in enumerate(texts):
+        for i in range(len(texts)):
+            found = grams(texts[i].as_py(), bits, skips)
             if counts:
-                f = grams(text, bits, skips)
-                n = np.unique(f, return_counts=True)[1] if len(f) else np.zeros(1)
-                s = dense[f].sum() / np.sqrt(max(1.0, float((n * n).sum())))
+                n = np.unique(found, return_counts=True)[1]
+                s = dense[found].sum() / np.sqrt(max(1.0, float((n * n).sum())))
             else:
-                f = np.flatnonzero(dense[grams(text, bits, skips)]) if text else ()
-                s = dense[np.unique(grams(text, bits, skips)[f])].sum() if len(f) else 0.0
-            out[i] = 1 / (1 + np.exp(-min(35.0, max(-35.0, s + bias))))
-        return pd.Series(out)
+                s = dense[np.unique(found[dense[found] != 0])].sum()
+            out[i] = 1 / (1 + np.exp(-min(35.0, max(-35.0, s + dense[-1]))))
+        return pa.array(out)
 
     return score
 

@@ -84,3 +84,23 @@ def test_learner_follows_the_closed_form():
         z, n = z + g - (np.sqrt(n + g * g) - np.sqrt(n)) / 0.5 * w, n + g * g
         m.learn(np.array([0]), np.array([1.0]), y)
     assert m.z[0] == pytest.approx(z) and m.n[0] == pytest.approx(n)
+
+
+def test_sample_is_bounded(tables, spark):
+    docs, labels, known = tables
+    docs = docs.unionByName(docs).unionByName(docs.selectExpr("doc_id", "concat(text, ' other') AS text", "label", "score"))
+    both = labels.unionByName(labels)
+    rows = linear.sample(docs, both, "toxic", rows=200).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) == 200
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows)
+    some = linear.sample(docs, both, "toxic", most_bytes=20_000).collect()
+    total = sum(len(r.text.encode()) for r in some)
+    assert 0 < total <= 20_000 and {r.doc_id for r in some} < {r.doc_id for r in linear.sample(docs, both, "toxic").collect()}
+
+
+def test_features_come_in_slices(monkeypatch):
+    batch = linear.pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "label": [0, 1, 0, 1], "text": ["a b c", None, "", "a a b"]})
+    whole = linear.pa.Table.from_batches(linear._featurise(12, (1,), True)([batch]))
+    monkeypatch.setattr(linear, "FEATURES_HELD", 1)
+    assert linear.pa.Table.from_batches(linear._featurise(12, (1,), True)([batch])).to_pylist() == whole.to_pylist()
+    assert [len(v) for v in linear._views(whole["at"])] == [len(linear.vector(t, 12, (1,), True)[0]) for t in ("a b c", None, "", "a a b")]
