@@ -1,12 +1,13 @@
 """Merkle manifest of a table: leaves per row, a tree per language, proofs by a recursive query.
 
-The tree is binary and is stored as parent-linked node rows. Every sixth
+The tree is binary and is stored as parent-linked node rows. Every ninth
 level is stored; a row has the steps to its parent (side and sibling of up to ``STEP`` levels), so a table of n rows has
-n / 63 rows above its leaves and a climb visits log64(n) of them. A recursive query of Spark
-ascends from every leaf at once, appends the siblings and folds the hash on the way.
+n / 511 rows above its leaves and a climb visits log512(n) of them. A recursive query of Spark
+ascends from every leaf at once, appends the siblings and folds the hash on the way. Each of its rounds goes through
+a shuffle with all siblings so far, so rounds are what it costs; rows whose parent is the root end the climb.
 
 Places of leaves come from one range sort: an index within each sorted part and a table of part sizes, so
-no language is in one task, and a block of 64 neighbours is all that meets in one group.
+no language is in one task, and a block of 512 neighbours is all that meets in one group.
 """
 
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.sizes import settled
 from .common import numbered
 
-STEP = 6
+STEP = 9
 EVERY = 7
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -103,13 +104,13 @@ def _tree(nodes, prefix, own):
 
 _FOLD = "aggregate({path}, {start}, (h, s) -> unhex(sha2(CASE WHEN s.sib IS NULL THEN lower(hex(h)) WHEN s.left THEN concat(lower(hex(s.sib)), lower(hex(h))) ELSE concat(lower(hex(h)), lower(hex(s.sib))) END, 256)))"
 _PROOF = "aggregate({path}, CAST('' AS BINARY), (p, s) -> concat(p, coalesce(s.sib, CAST('' AS BINARY))))"
-CLIMB = f"""WITH RECURSIVE climb(doc_id, leaf, subroot, proof, folded, parent, root) AS (
-  SELECT doc_id, hash, CASE WHEN top THEN hash END, {_PROOF.format(path="path")}, {_FOLD.format(path="path", start="coalesce(changed, hash)")}, parent, CASE WHEN parent IS NULL THEN hash END FROM {{leaves}}
+CLIMB = f"""WITH RECURSIVE climb(doc_id, leaf, subroot, proof, folded, parent) AS (
+  SELECT doc_id, hash, CASE WHEN top THEN hash END, {_PROOF.format(path="path")}, {_FOLD.format(path="path", start="coalesce(changed, hash)")}, parent FROM {{leaves}}
   UNION ALL
-  SELECT c.doc_id, c.leaf, coalesce(c.subroot, CASE WHEN n.top THEN n.hash END), concat(c.proof, {_PROOF.format(path="n.path")}), {_FOLD.format(path="n.path", start="c.folded")}, n.parent, CASE WHEN n.parent IS NULL THEN n.hash END
+  SELECT c.doc_id, c.leaf, coalesce(c.subroot, CASE WHEN n.top THEN n.hash END), concat(c.proof, {_PROOF.format(path="n.path")}), {_FOLD.format(path="n.path", start="c.folded")}, n.parent
   FROM climb c JOIN {{nodes}} n ON c.parent = n.id)
-SELECT doc_id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(root)) AS root, sha2(lower(hex(proof)), 256) AS proof_sha256,
-  lower(hex(folded)) AS folded_root, folded = root AS verified FROM climb WHERE parent IS NULL"""
+SELECT doc_id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, {{root}} AS root, sha2(lower(hex(proof)), 256) AS proof_sha256,
+  lower(hex(folded)) AS folded_root, lower(hex(folded)) = {{root}} AS verified FROM climb WHERE parent IS NULL"""
 
 
 def manifest(docs, every=EVERY):
@@ -126,11 +127,15 @@ def manifest(docs, every=EVERY):
     # the tops of the languages are the leaves of the last tree; their order is that of the group names
     tops = reduce(DataFrame.unionByName, [t.where("top").select(F.lit("").alias("group"), F.col("group").alias("lang"), "hash", F.col("id").alias("below")) for t in tiers])
     upper = _tree(numbered(tops, "group", ["lang"], "languages"), "r", ["below"])
+    root = upper[-1].select("id", F.lower(F.hex("hash")).alias("hash")).first()
+    if root is None:
+        return docs.limit(0).select("doc_id", *[F.lit("").alias(c) for c in ("leaf", "subroot", "root", "proof_sha256", "folded_root")], F.lit(True).alias("verified"))
+    upper = [t.withColumn("parent", F.when(F.col("parent") != root["id"], F.col("parent"))) for t in upper]
     nodes = [t.select("id", "parent", "path", "hash", "top") for t in tiers] + [t.select("id", "parent", "path", "hash", F.lit(False).alias("top")) for t in upper]
-    nodes = reduce(DataFrame.unionByName, nodes[1 : len(tiers)] + nodes[len(tiers) + 1 :], nodes[0].limit(0))
+    nodes = reduce(DataFrame.unionByName, nodes[1 : len(tiers)] + nodes[len(tiers) + 1 : -1], nodes[0].limit(0))
     # a climb has as many rows as leaves times stored tiers, far above the default limit of recursive queries
     docs.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return docs.sparkSession.sql(CLIMB, leaves=_lift(tiers[0], upper[0]), nodes=settled(_lift(nodes, upper[0]), "nodes"))
+    return docs.sparkSession.sql(CLIMB, root=root["hash"], leaves=_lift(tiers[0], upper[0]), nodes=settled(_lift(nodes, upper[0]), "nodes"))
 
 
 def _lift(nodes, upper):

@@ -45,7 +45,10 @@ def _chunks(percent):
     """Chunks of a signature: CHUNKS, and more for a threshold at which they miss too many pairs."""
     same = percent / 100
     miss = 1 - same**PER_CHUNK - PER_CHUNK * (1 - same) * same ** (PER_CHUNK - 1)
-    return next((n for n in range(CHUNKS, MOST_CHUNKS) if miss**n <= MISSED), MOST_CHUNKS)
+    chunks = next((n for n in range(CHUNKS, MOST_CHUNKS + 1) if miss**n <= MISSED), None)
+    if chunks is None:
+        raise ValueError(f"a similarity of {percent} % needs more than {MOST_CHUNKS} chunks")
+    return chunks
 
 
 def _far(percent):

@@ -5,7 +5,8 @@ task however large it is. The mix of a shard is a number of equal blocks of word
 about ``BLOCKS`` of them; they go to its sources by the highest quotients votes / (2 seats + 1),
 the votes being what the shard should give of the source's target. The documents of a source in a shard,
 laid end to end in seeded order and twice over, are cut into those blocks, and the first blocks up
-to the quota are taken: whole documents but for the last one of a lap.
+to the quota are taken: whole documents but for the last one of a lap. Where texts are handed on, that
+one is rounded in or out by a seeded rule, with the part taken as its chance.
 """
 
 from pyspark.sql import Window
@@ -112,21 +113,21 @@ def mix(docs, weights=WEIGHTS, share=SHARE, most=MOST, shard_rows=SHARD_ROWS, bl
     return out.select("doc_id", F.col("_mix_size").alias("size"), F.col("_mix_total").alias("source_size"), F.col("_mix_target").alias("target"), F.col("_mix_taken").alias("taken"))
 
 
+_PRIME = 999_983  # steps of the seeded rule
+
+
 def mixed(docs, weights=WEIGHTS, share=SHARE, most=MOST, shard_rows=SHARD_ROWS, blocks=BLOCKS, seed=SEED):
-    """``docs`` as mixed: each document once per copy taken, columns as they are.
+    """``docs`` as mixed: each document once per copy taken, all columns as they are, texts always whole.
 
-    A copy that is taken in part has its first words, joined by one space; n_chars, if there,
-    is that of the text. Documents without words or of which nothing is taken go.
+    A copy of which ``mix`` takes a part is in or out by the seeded hash of the document: in with that part as
+    chance, so a source's words differ from its target by less than a document per shard and lap, and not on average. Documents
+    without words or of which nothing is taken go.
     """
     out = _taken(docs, weights, share, most, shard_rows, blocks, seed, None)
-    size, taken = F.col("_mix_size"), F.col("_mix_taken")
-    copies = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.least(size, taken - i.cast("long") * size)), lambda n: n > 0)
-    out = out.where("_mix_taken > 0").withColumn("_mix_copy", F.explode(copies))
-    text = F.when(F.col("_mix_copy") == size, F.col("text")).otherwise(F.array_join(F.slice(_words(F.col("text")), F.lit(1), F.col("_mix_copy").cast("int")), " "))
-    out = out.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    size, taken, rest = F.col("_mix_size"), F.col("_mix_taken"), F.col("_mix_at") % _PRIME
+    part = lambda i: F.greatest(F.lit(0), F.least(size, taken - i.cast("long") * size))
+    copies = F.filter(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: part(i) * _PRIME > rest * size)
+    return out.where("_mix_taken > 0").withColumn("_mix_copy", F.explode(copies)).select(docs.columns)
 
 
 def oracle(table="documents", weights=WEIGHTS, share=SHARE, most=MOST, shard_rows=SHARD_ROWS, blocks=BLOCKS, seed=SEED):

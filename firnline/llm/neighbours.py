@@ -21,6 +21,7 @@ BLOCK = 2048
 LINKS = 16
 NEAR = 48  # nearest nodes that links are chosen from
 BEAM = 160
+JITTER = np.float32(1e-6)
 K = 5
 EVERY = 50
 
@@ -48,8 +49,12 @@ def _diverse(x, own, near, sims, most):
     return out
 
 
-def _level(x, most):
-    """Neighbour array of one level: row i holds the links of node i, -1 behind the last."""
+def _level(x, most, rng):
+    """Neighbour array of one level: row i holds the links of node i, -1 behind the last.
+
+    Candidates whose similarities single precision hardly tells apart come in random order, else they would all link
+    to the same few of them and leave others without a way in.
+    """
     n = len(x)
     links = np.full((n, most), -1, np.int32)
     done, size = 1, 32
@@ -59,7 +64,7 @@ def _level(x, most):
         near, sims = np.empty((len(new), min(NEAR, end - 1)), np.int32), np.empty((len(new), min(NEAR, end - 1)), np.float32)
         for start in range(0, len(new), 512):
             rows = new[start : start + 512]
-            s = x[rows] @ x[:end].T
+            s = x[rows] @ x[:end].T + JITTER * rng.random((len(rows), end), np.float32)
             s[np.arange(len(rows)), rows] = -np.inf
             top = np.argpartition(-s, near.shape[1] - 1, axis=1)[:, : near.shape[1]]
             value = np.take_along_axis(s, top, 1)
@@ -75,7 +80,7 @@ def _level(x, most):
         a, b = a[b >= 0], b[b >= 0]
         both = np.unique(a.astype(np.int64) << 32 | b)
         a, b = (both >> 32).astype(np.int32), (both & 0xFFFFFFFF).astype(np.int32)
-        value = np.einsum("ij,ij->i", x[a], x[b])
+        value = np.einsum("ij,ij->i", x[a], x[b]) + JITTER * rng.random(len(a), np.float32)
         order = np.lexsort((-value, a))
         a, b, value = a[order], b[order], value[order]
         begin = np.searchsorted(a, touched)
@@ -102,7 +107,7 @@ def build(vectors, seed=3):
     for h in range(int(height.max()) + 1):
         nodes = np.flatnonzero(height >= h)
         nodes = nodes[rng.permutation(len(nodes))]
-        levels.append((nodes.astype(np.int32), _level(x[nodes], 2 * LINKS if h == 0 else LINKS)))
+        levels.append((nodes.astype(np.int32), _level(x[nodes], 2 * LINKS if h == 0 else LINKS, rng)))
     return levels
 
 
@@ -150,15 +155,15 @@ def _beam(x, nodes, links, queries, entries, ef):
     return np.take_along_axis(best, order, 1)
 
 
-def search(vectors, levels, queries, k, ef=BEAM):
-    """Positions of the ``k`` nearest vectors found for each query, -1 where there are fewer."""
+def search(vectors, levels, queries, ef=BEAM):
+    """Positions of the ``ef`` nearest vectors found for each query, by single precision; -1 where there are fewer."""
     x, q = _unit(np.asarray(vectors, np.float64)).astype(np.float32), _unit(np.asarray(queries, np.float64)).astype(np.float32)
     entries = np.zeros((len(q), 1), np.int64)
     for h in range(len(levels) - 1, -1, -1):
         nodes, links = levels[h]
         found = _beam(x, nodes, links, q, entries, ef if h == 0 else 8)
         if h == 0:
-            return np.where(found >= 0, nodes[np.maximum(found, 0)], -1)[:, :k]
+            return np.where(found >= 0, nodes[np.maximum(found, 0)], -1)
         place = np.full(len(x), -1, np.int64)
         place[levels[h - 1][0]] = np.arange(len(levels[h - 1][0]))
         entries = np.where(found >= 0, place[nodes[np.maximum(found, 0)]], -1)
@@ -166,11 +171,14 @@ def search(vectors, levels, queries, k, ef=BEAM):
 
 def _index(table):
     """One row per shard: its nodes, vectors and the neighbour arrays of all levels end to end."""
-    order = np.argsort(table["node"].to_numpy(), kind="stable")
-    node, x = table["node"].to_numpy()[order], _matrix(table["v"])[order]
-    levels = build(x)
+    order = np.lexsort((table["node"].to_numpy(), table["low"].to_numpy()))
+    node, low, x = table["node"].to_numpy()[order], table["low"].to_numpy()[order], _matrix(table["v"])[order]
+    # vectors that single precision cannot tell apart would only link to each other; they are one node of the graph
+    _, first, of = np.unique(_unit(x).astype(np.float32), axis=0, return_index=True, return_inverse=True)
+    levels = build(x[first])
     return pa.table({
         "shard": pa.array([table["shard"][0].as_py()], pa.int32()), "node": pa.array([node], pa.list_(pa.int64())), "v": pa.array([x.tobytes()], pa.binary()),
+        "low": pa.array([low], pa.list_(pa.int64())), "of": pa.array([of.ravel().astype(np.int32)], pa.list_(pa.int32())),
         "sizes": pa.array([[len(n) for n, _ in levels]], pa.list_(pa.int32())),
         "members": pa.array([np.concatenate([n for n, _ in levels])], pa.list_(pa.int32())),
         "links": pa.array([np.concatenate([e.ravel() for _, e in levels])], pa.list_(pa.int32()))})
@@ -191,11 +199,20 @@ def _search(k):
             most = 2 * LINKS if h == 0 else LINKS
             levels.append((members[m : m + n], links[e : e + n * most].reshape(n, most)))
             m, e = m + n, e + n * most
-        q = _matrix(queries["v"])
-        found = search(x, levels, q, k)
-        r, c = np.nonzero(found >= 0)
-        hit = found[r, c]
-        score = np.einsum("ij,ij->i", q[r], x[hit]) / (np.linalg.norm(q, axis=1)[r] * np.linalg.norm(x, axis=1)[hit])
+        q, low, of = _matrix(queries["v"]), np.array(row["low"][0], np.int64), np.array(row["of"][0], np.int32)
+        own = np.argsort(of, kind="stable")
+        starts = np.searchsorted(of[own], np.arange(of.max() + 2))
+        found = search(x[own[starts[:-1]]], levels, q)
+        lengths, r, hit, score = np.linalg.norm(x, axis=1), [], [], []
+        for i, near in enumerate(found):
+            # all vectors of the nodes found, and only by their double scores, ties by vec_id, the best of them
+            some = np.concatenate([own[starts[n] : starts[n + 1]] for n in near[near >= 0]])
+            cosine = np.einsum("ij,j->i", x[some], q[i]) / (np.linalg.norm(q[i]) * lengths[some])
+            best = np.lexsort((low[some], -cosine))[:k]
+            r.append(np.full(len(best), i))
+            hit.append(some[best])
+            score.append(cosine[best])
+        r, hit, score = np.concatenate(r), np.concatenate(hit), np.concatenate(score)
         return pa.table({"query": queries["query"].to_numpy()[r], "query_node": queries["query_node"].to_numpy()[r], "node": node[hit], "score": score}, schema=pa.schema(list(schema.items())))
 
     return run
@@ -231,11 +248,11 @@ def nearest(vectors, k=K, every=EVERY, shard=SHARD, block=BLOCK):
 
 
 def _found(classes, queries, k, shard, block):
-    """The k + 1 nearest classes in each shard for each query."""
+    """The k + 1 nearest classes in each shard for each query; of equal ones those with the smallest vec_id are enough."""
     shards = max(1, -(-classes.count() // shard))
     blocks = max(1, -(-queries.count() // block))
-    dealt = classes.select("node", "v", F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(shards).cast("long")).cast("int").alias("shard"))
-    index = cut(dealt.groupBy("shard").applyInArrow(_index, "shard int, node array<long>, v binary, sizes array<int>, members array<int>, links array<int>"))
+    dealt = classes.select("node", "v", "low", F.pmod(F.xxhash64(F.lit(8), "node"), F.lit(shards).cast("long")).cast("int").alias("shard"))
+    index = cut(dealt.groupBy("shard").applyInArrow(_index, "shard int, node array<long>, v binary, low array<long>, of array<int>, sizes array<int>, members array<int>, links array<int>"))
     asked = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(6), "query"), F.lit(blocks).cast("long")).cast("int"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("query", "query_node", "v", "shard", "block")
     spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

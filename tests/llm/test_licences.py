@@ -37,11 +37,23 @@ def test_texts(docs):
     assert got == sorted(((c[0], *c[2:]) for c in [*CASES, CASES[0]]), key=repr)
 
 
+def _same_as_sql(docs):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [tuple(r) for r in docs.select("doc_id", "text").collect()])
+    want = sorted(map(repr, con.sql(licences.oracle()).fetchall()))
+    assert sorted(repr(tuple(r)) for r in licences.scan(docs).collect()) == want
+
+
 def test_against_sql(docs):
-    documents = docs.select("doc_id", "text").toPandas()  # noqa: F841
-    want = sorted(map(repr, duckdb.sql(licences.oracle("documents")).fetchall()))
-    got = sorted(repr((None if r[0] is None else float(r[0]), *r[1:])) for r in licences.scan(docs).collect())
-    assert got == [w.replace("nan", "None") for w in want]
+    _same_as_sql(docs)
+
+
+def test_notices_against_sql(spark):
+    texts = [t for text, _ in OFFICIAL for t in (text, text.replace("\n", "\r\n"), text.upper())]
+    tags = ["MIT", "MIT-0", "mit */", "GPL-2.0+", "GPL-2.0-or-later", "GPL-3.0-only WITH x", "MPL-2.0-no", "Apache 2.0", "BSD-3-Clause.", "MIT-", "MIT-->"]
+    texts += [f"// SPDX-License-Identifier: {t}\nint x;" for t in tags] + ["MPL, v. 2.0. Mozilla Public License, v.  2.0; v. x", "gnu general public license v.2 v. 2"]
+    _same_as_sql(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
 def test_empty_table(docs):

@@ -42,7 +42,35 @@ def test_recall_of_a_shard():
     x = np.concatenate([rng.normal(size=(3000, 32)), centres[rng.integers(0, 40, 2000)] + 0.1 * rng.normal(size=(2000, 32))])
     levels = neighbours.build(x)
     q = x[::20]
-    got = neighbours.search(x, levels, q, 6)
+    got = neighbours.search(x, levels, q)[:, :6]
     u = x / np.linalg.norm(x, axis=1)[:, None]
     want = np.argsort(-(u[::20] @ u.T), axis=1)[:, :6]
     assert np.mean([len(set(a) & set(b)) / 6 for a, b in zip(got.tolist(), want.tolist(), strict=True)]) > 0.95
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(6)
+    one = rng.normal(size=8)
+    ids = rng.permutation(np.arange(1, 60)).tolist()
+    rows = [(0, one.tolist())] + [(i, (one * 2.0**k).tolist()) for k, i in enumerate(ids, -30)]  # all cosines are exactly 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for shard in (1000, 20):
+        got = neighbours.nearest(df, shard=shard).where("query_id = 0").orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [1, 2, 3, 4, 5] and len({r.score for r in got}) == 1
+
+
+def test_closer_than_single_precision_tells(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [1.0, i * 3e-6]) for i in range(1, 41)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert [r.vec_id for r in neighbours.nearest(df).orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_recall_of_the_whole_query(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(30, 24))
+    x = np.concatenate([rng.normal(size=(3000, 24)), centres[rng.integers(0, 30, 2000)] + 0.2 * rng.normal(size=(2000, 24))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = answers(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), shard=1500, block=64))
+    want = brute(rows)
+    assert got.keys() == want.keys() and len(want) == 100
+    assert np.mean([len({v for _, v, _ in got[q]} & {v for _, v, _ in want[q]}) / 5 for q in want]) > 0.95
