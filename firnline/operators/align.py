@@ -39,14 +39,22 @@ def pivot_measured(readings, order=None, key="station_id", ts="ts"):
     return rows.where("_measured > 0").drop("_measured")
 
 
-def pivot_delivery(readings, order, newest=True, key="station_id"):
-    """One row per (station, UTC time) with its local time; of several copies the newest by ``order`` wins.
+def pivot_delivery(readings, order=None, newest=True, key="station_id"):
+    """One row per (station, UTC time) with its local time, each cell with its sequence number (see sources.store).
 
-    The UTC time is the key, so the two readings that share a local hour in autumn stay two rows.
+    The UTC time is the key, so the two readings that share a local hour in autumn stay two rows. The number is
+    ``order``, of which the highest wins, or the lowest if not ``newest``; of equal numbers the higher value. Without
+    ``order`` the cells have no numbers.
     """
-    measured = F.count(F.when(F.col("sensor").isin(*SENSORS), F.col("value")))
-    rows = readings.groupBy(key, "ts_utc").agg(F.min("ts").alias("ts"), *_cells(order, newest), measured.alias("_measured"))
-    return rows.where("_measured > 0").drop("_measured")
+    hit = F.col("sensor").isin(*SENSORS) & F.col("value").isNotNull()
+    number = F.lit(0).cast("long") if order is None else F.col(order).cast("long") * (1 if newest else -1)
+    # copies under one number are settled first, so that the choice below has no ties
+    single = readings.where(hit).groupBy(key, "ts_utc", "sensor", number.alias("_seq")).agg(F.max("value").alias("value"), F.min("ts").alias("ts"))
+    cells = []
+    for sensor, c in zip(SENSORS, SENSOR_COLS):
+        own = F.when(F.col("sensor") == sensor, F.col("_seq"))
+        cells += [F.max_by("value", own).alias(c), *([F.max(own).alias(f"{c}_seq")] if order is not None else [])]
+    return single.groupBy(key, "ts_utc").agg(F.min("ts").alias("ts"), *cells)
 
 
 def drop_empty(wide):

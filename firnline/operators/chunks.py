@@ -44,10 +44,12 @@ def _plan(rows, keys, before, after, chunk_rows):
     return days.select(*keys, "_day", "_home", F.array_distinct(F.concat(*found)).alias("_chunks"))
 
 
-def with_halo(df, apply, *, keys=("station_id",), ts="ts", before=0, after=0, chunk_rows=CHUNK_ROWS):
+def with_halo(df, apply, *, keys=("station_id",), ts="ts", order=None, before=0, after=0, chunk_rows=CHUNK_ROWS):
     """Run ``apply(df, window)`` as if ``window`` were the whole series of each key.
 
-    ``apply`` must look at most ``before`` rows back and ``after`` rows forward.
+    ``apply`` must look at most ``before`` rows back and ``after`` rows forward. Rows follow each other by ``ts``, or by
+    ``order`` if that is another column that never falls from one day of ``ts`` to the next: a local time has
+    an hour twice in autumn, and only the instant tells its readings apart.
     One shuffle of the data on (keys, chunk); the copies are a few days per chunk. The
     plan of chunks is settled first, in a job over keys and times only, so that joining
     it needs no shuffle of the data as long as that table fits a broadcast.
@@ -59,5 +61,5 @@ def with_halo(df, apply, *, keys=("station_id",), ts="ts", before=0, after=0, ch
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in [*keys, "_day"]])
     both = rows.join(plan, same).select(*rows.columns, "_home", F.explode("_chunks").alias("_chunk"))
     both = both.withColumn("_own", F.col("_chunk") == F.col("_home")).drop("_home")
-    window = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    window = Window.partitionBy(*keys, "_chunk").orderBy(order or ts)
     return apply(both, window).where("_own").drop("_own", "_chunk", "_day")

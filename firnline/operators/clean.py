@@ -16,6 +16,11 @@ TEMPERATURE_REACH = 2
 CONDUCTIVITY_REACH = 2
 
 
+def instant(df, ts="ts"):
+    """The column that orders a series."""
+    return "ts_utc" if "ts_utc" in df.columns else ts
+
+
 def null_where(df, column, condition):
     return df.withColumn(column, F.when(condition, F.lit(None)).otherwise(F.col(column)))
 
@@ -77,8 +82,11 @@ def clean_raw(df, window, ts="ts"):
 
 
 def clean_series(df, chunk_rows=CHUNK_ROWS):
-    """clean_raw over any number of stations and any length of series, one data shuffle."""
-    return with_halo(df, clean_raw, before=SNOW_REACH, chunk_rows=chunk_rows)
+    """clean_raw over any number of stations and any length of series, one data shuffle.
+
+    Readings follow each other by UTC time where the frame has it; months are those of the local time.
+    """
+    return with_halo(df, clean_raw, order=instant(df), before=SNOW_REACH, chunk_rows=chunk_rows)
 
 
 def clean_conductivity(df, window):

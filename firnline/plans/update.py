@@ -1,151 +1,316 @@
-"""Ingest readings, keep the raw table current and rebuild the processed tables."""
+"""Ingest readings, keep the raw table current and rebuild the processed tables.
 
+A delivery touches days; the reach of the cleaning steps and of the moving average, periods that have closed since and
+rows that came into a station's span widen them. Only the periods these days lie in are computed
+anew, from the partitions of their days and a few rows before, and put in the place of the stored ones. What to
+read follows from the counts of rows per station and day that lie beside the raw table.
+"""
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.periods import period
+from ..functions.periods import month_end, period, week_end
 from ..operators.align import pivot_delivery
 from ..operators.chunks import CHUNK_ROWS, with_halo
-from ..operators.clean import SNOW_REACH, clean_series, clean_snow
-from ..operators.latest import latest_rows, station_summary
+from ..operators.clean import SNOW_REACH, clean_series, clean_snow, instant
+from ..operators.latest import station_summary
 from ..operators.merge import overlay
 from ..operators.moving import TRAILING_ROWS, trailing_mean
 from ..operators.resample import resample_rules
 from ..operators.sizes import settled
-from ..schema import PERIOD_RULES, PORTAL_START, SENSOR_COLS
+from ..schema import PERIOD_RULES, PORTAL_START, SENSOR_COLS, rule_name
 from ..sources.historic import historic_wide
 from ..sources.manifest import file_changes, list_files, station_files
 from ..sources.portal import parse_portal, portal_records, rejected, with_station_id
 from ..sources.store import (
     PROCESSED,
     add_facts,
+    anchor,
+    days_of,
+    facts_of,
     known_stations,
     merge_raw,
-    placed,
+    read_raw,
     read_table,
+    remove_raw,
+    replace_periods,
     station_facts,
     write_processed,
 )
 from ..sources.tables import stations
 
 PORTAL_FIRST_YEAR = int(PORTAL_START[:4])
+STEP_SECONDS = 300
+MOVING_REACH = TRAILING_ROWS - 1 + SNOW_REACH
+
+
+def _on_grid(step_seconds=STEP_SECONDS):
+    return F.timestamp_diff("SECOND", F.col("origin"), F.col("ts_utc")) % step_seconds == 0
+
+
+def _inside(raw, stations, step_seconds=STEP_SECONDS):
+    """Rows on the time grid and inside the span of their station's anchor sensor."""
+    inside = F.col("grid_from").isNull() | F.col("ts_utc").between(F.col("grid_from"), F.col("grid_to"))
+    known = stations.select("station_id", "grid_from", "grid_to", "origin")
+    return raw.join(known, "station_id").where(inside & _on_grid(step_seconds)).drop("grid_from", "grid_to", "origin")
 
 
 def processed_rows(raw, rules=PERIOD_RULES, chunk_rows=CHUNK_ROWS, stations=None):
     """Cleaned complete periods of all rules from raw wide rows.
 
     ``stations`` (see store.known_stations) says what holds for the whole table: which stations measure
-    precipitation, and the span of their anchor sensor, which rows have to lie in. Without it
-    the rows at hand decide.
+    precipitation, and the grid and span of their anchor sensor, which rows have to lie in. Without it
+    the rows at hand decide. Readings follow each other by UTC time, periods are those of the local time.
     """
     if stations is None:
         stations = station_summary(raw)
     else:
-        inside = F.col("grid_from").isNull() | F.col("ts_utc").between(F.col("grid_from"), F.col("grid_to"))
-        raw = raw.join(stations.select("station_id", "grid_from", "grid_to"), "station_id").where(inside).drop("grid_from", "grid_to", "ts_utc")
+        raw = _inside(raw, stations)
         stations = stations.select("station_id", "latest_ts", "has_n")
     return resample_rules(clean_series(raw, chunk_rows), stations, rules)
 
 
-def rows_since(raw, since, reach=SNOW_REACH):
-    """Raw rows needed to rebuild all periods of each station from a year on; ``since`` has (station_id, from_year).
+def _rows_of(raw):
+    return raw.withColumn("station_id", F.col("station_id").cast("int")).select("station_id", "ts_utc", "ts", *SENSOR_COLS, "year", "month")
+
+
+def update_processed(spark, raw_path, processed_path, from_year=None):
+    """Rebuild the processed table, or from ``from_year`` on.
 
-    Starts six days early for the week that reaches into the year, and adds the few
-    rows before that which the cleaning steps look back on. Other stations are not read.
+    Stored partitions of years after the portal's first one that turn out to have no rows any more go.
     """
-    raw = raw.join(since, "station_id")
-    start = F.date_sub(F.make_date("from_year", F.lit(1), F.lit(1)), 6).cast("timestamp_ntz")
-    recent = raw.where((F.col("year") >= F.col("from_year") - 1) & (F.col("ts") >= start))
-    before = latest_rows(raw.where((F.col("year") < F.col("from_year")) & (F.col("ts") < start)), ["ts"], reach)
-    return recent.unionByName(before.drop("rank")).drop("from_year")
+    raw = _rows_of(read_raw(spark, raw_path))
+    known = settled(known_stations(spark, raw_path, raw), "stations")
+    if from_year is None:
+        write_processed(processed_rows(raw.drop("year", "month"), stations=known), processed_path, PORTAL_FIRST_YEAR + 1)
+        return
+    # the week that reaches into the year, and the days before that with the rows that cleaning looks back on
+    first = F.lit(f"{from_year}-01-01").cast("date")
+    days = _with_halo_days(days_of(spark, raw_path).withColumn("needed", F.col("day") >= F.date_sub(first, 6)), SNOW_REACH)
+    rows = processed_rows(_of_days(raw, settled(days.where("read"), "days")).drop("year", "month", "needed"), stations=known)
+    write_processed(rows.where(F.year("period") >= from_year), processed_path, from_year)
 
 
-def _years_back(spark, raw, from_year):
-    stations = raw.select("station_id").distinct()
-    return stations.withColumn("from_year", F.lit(from_year))
+def update_moving(spark, raw_path, processed_path):
+    """Write the moving average of the snow height as the rule movavg; its periods are the instants, in UTC."""
+    rows = moving_average(_rows_of(read_raw(spark, raw_path)))
+    write_processed(_as_rule(rows), processed_path, PORTAL_FIRST_YEAR + 1)
 
 
-def update_processed(spark, raw_path, processed_path, from_year=None, since=None):
-    """Rebuild the processed table, or from ``from_year`` on, or as ``since`` (station_id, from_year) says."""
-    raw = read_table(spark, raw_path)
-    raw = placed(raw.withColumn("station_id", F.col("station_id").cast("int")))
-    known = settled(known_stations(spark, raw_path, raw), "stations")
-    if since is None and from_year is not None:
-        since = _years_back(spark, raw, from_year)
-    if since is None:
-        rows = processed_rows(raw.drop("year", "month"), stations=known)
-    else:
-        since = settled(since, "since")
-        rows = processed_rows(rows_since(raw, since).drop("year", "month"), stations=known)
-        rows = rows.join(since, "station_id").where(F.year("period") >= F.col("from_year")).drop("from_year")
-    write_processed(rows, processed_path)
-
-
-def update_moving(spark, raw_path, processed_path, since=None):
-    """Write the moving average of the snow height as the rule movavg, rebuilt as in update_processed."""
-    raw = placed(read_table(spark, raw_path).withColumn("station_id", F.col("station_id").cast("int")))
-    if since is not None:
-        since = settled(since, "since")
-        raw = rows_since(raw, since, TRAILING_ROWS - 1 + SNOW_REACH)
-    rows = moving_average(raw).withColumnRenamed("ts", "period").withColumn("rule", F.lit("movavg"))
-    if since is not None:
-        rows = rows.join(since, "station_id").where(F.year("period") >= F.col("from_year"))
-    write_processed(rows.select("*", *[F.lit(None).cast("double").alias(c) for c in SENSOR_COLS if c != "hs"]), processed_path)
-
-
-def ingest(spark, readings, raw_path, order="ts_utc", newest=False, step_seconds=300):
-    """Overlay new readings on the raw table without loss; returns what was not taken, per station and reason.
-
-    Rows are keyed by UTC time. Readings off the station's time grid are not taken, the grid being that of
-    the first anchor reading known from any delivery, or of its first reading while there is none.
-    Span limits are applied when periods are formed, so a reading outside today's span is not lost.
-    Of copies the first by ``order`` wins, or the newest; stored values give way to new ones.
+def _as_rule(moving):
+    rest = [F.lit(None).cast("double").alias(c) for c in SENSOR_COLS if c != "hs"]
+    return moving.select("station_id", F.lit("movavg").alias("rule"), F.col("ts").alias("period"), "hs", *rest).select(PROCESSED)
+
+
+# --- taking readings in ------------------------------------------------------------------------------
+
+def _changed_grids(before, after, step_seconds):
+    moved = F.timestamp_diff("SECOND", F.col("_origin"), F.col("origin")) % step_seconds != 0
+    old = before.select("station_id", F.col("origin").alias("_origin"))
+    return after.join(old, "station_id").where(moved).select("station_id", "origin")
+
+
+def _regrid(spark, changed, path, step_seconds):
+    """Rows of stations whose grid has moved change places between the table and the rows kept aside."""
+    aside = f"{path}-off"
+    out = settled(read_raw(spark, path).join(changed, "station_id").where(~_on_grid(step_seconds)).drop("origin"), "out")
+    off = read_raw(spark, aside)
+    back = None if off is None else settled(off.join(changed, "station_id").where(_on_grid(step_seconds)).drop("origin"), "back")
+    for rows, here, there in ((back, aside, path), (out, path, aside)):
+        if rows is not None and not rows.isEmpty():
+            merge_raw(spark, rows.drop("year", "month"), there)
+            remove_raw(spark, rows.select("station_id", "year", "month", "ts_utc"), here)
+
+
+def ingest(spark, readings, raw_path, order=None, newest=False, step_seconds=STEP_SECONDS):
+    """Merge new readings into the raw table without loss; returns what is off the grid, per station and reason.
+
+    Rows are keyed by UTC time. Of copies of a reading the lowest by ``order`` wins, or the highest (``newest``), whichever
+    delivery they come with, so the table is the same for any batches in any order; without ``order`` later
+    deliveries win. Readings off the station's time grid, which is that of the first anchor reading known from any delivery,
+    or of its first reading while there is none, are kept aside, and come back when the grid turns out to be
+    another. Span limits are applied when periods are formed, so a reading outside today's span is not lost.
     """
     if "ts_utc" not in readings.columns:
         readings = readings.withColumn("ts_utc", F.col("ts"))
-    facts = settled(station_facts(readings), "facts")
-    add_facts(facts, raw_path)  # first: if the merge is lost, facts of readings that come again do no harm
-    origin = settled(known_stations(spark, raw_path).select("station_id", "origin"), "origin")
-    wide = pivot_delivery(readings, order, newest).join(origin, "station_id")
-    on_grid = F.timestamp_diff("SECOND", F.col("origin"), F.col("ts_utc")) % step_seconds == 0
-    merge_raw(spark, wide.where(on_grid).drop("origin"), raw_path)
-    return wide.where(~on_grid).groupBy("station_id").agg(F.count("*").alias("records")).withColumn("reason", F.lit("off grid"))
+    before = known_stations(spark, raw_path)
+    before = None if before is None else settled(before, "before")
+    add_facts(settled(station_facts(readings), "facts"), raw_path)  # first: if the merge is lost, facts of readings that come again do no harm
+    known = settled(known_stations(spark, raw_path), "origin")
+    wide = pivot_delivery(readings, order, newest).join(known.select("station_id", "origin"), "station_id")
+    off = wide.where(~_on_grid(step_seconds)).drop("origin")
+    left_out = settled(off.groupBy("station_id").agg(F.count("*").alias("records")).withColumn("reason", F.lit("off grid")), "off")
+    merge_raw(spark, wide.where(_on_grid(step_seconds)).drop("origin"), raw_path)
+    if not left_out.isEmpty():
+        merge_raw(spark, off, f"{raw_path}-off")
+    if before is not None:
+        changed = settled(_changed_grids(before, known, step_seconds), "changed")
+        if not changed.isEmpty():
+            _regrid(spark, changed, raw_path, step_seconds)
+    return left_out
 
 
-FILES_PER_BATCH = 10_000
+# --- what a change touches ---------------------------------------------------------------------------
+
+def _with_halo_days(days, reach):
+    """``days`` (station_id, day, n, needed) with ``read``: needed, or among the days with the ``reach`` rows before a needed one."""
+    line = Window.partitionBy("station_id").orderBy("day")
+    upto = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    days = days.withColumn("_upto", upto)
+    following = F.min(F.when(F.col("needed"), F.col("_upto") - F.col("n"))).over(line.rowsBetween(1, Window.unboundedFollowing))
+    return days.withColumn("read", F.col("needed") | F.coalesce(following - F.col("_upto") < reach, F.lit(False))).drop("_upto")
+
+
+def _of_days(raw, days):
+    """Raw rows of the given days (settled); partitions without one are not read."""
+    keyed = days.select("station_id", F.year("day").alias("year"), F.month("day").alias("month"), F.col("day").alias("_day"), "needed")
+    return raw.withColumn("_day", F.to_date("ts")).join(keyed, ["station_id", "year", "month", "_day"]).drop("_day")
+
 
+def _hits(days, touched, before, known):
+    """``days`` of the touched stations with ``hit``: days whose rows, or their part in periods, may have changed.
+
+    Those of the change itself; all days of a station that is new, has another grid or turns out to measure
+    precipitation; days between the old and the new ends of its span; and the days of the last reading before and
+    now, whose periods may have become complete.
+    """
+    own = touched.select("station_id").distinct()
+    now = known.join(own, "station_id").select("station_id", *[F.col(c).alias(f"_{c}") for c in ("grid_from", "grid_to", "origin", "latest_ts", "has_n")])
+    both = now.join(before, "station_id", "left")
+    between = lambda a, b: F.when(~a.eqNullSafe(b), F.struct(F.to_date(F.least(a, b)).alias("lo"), F.to_date(F.greatest(a, b)).alias("hi")))
+    both = both.select(
+        "station_id",
+        (F.col("latest_ts").isNull() | (F.col("has_n") != F.col("_has_n")) | (F.col("grid_from").isNull() != F.col("_grid_from").isNull())
+         | (F.timestamp_diff("SECOND", F.col("origin"), F.col("_origin")) % STEP_SECONDS != 0)).alias("all"),
+        between(F.col("grid_from"), F.col("_grid_from")).alias("start"), between(F.col("grid_to"), F.col("_grid_to")).alias("end"),
+        F.array_compact(F.array(F.to_date("latest_ts"), F.to_date("_latest_ts"))).alias("last"))
+    zero, yes = F.lit(0).cast("long").alias("n"), F.lit(True).alias("hit")
+    marks = touched.select("station_id", "day", zero, yes).unionByName(both.select("station_id", F.explode("last").alias("day"), zero, yes))
+    days = days.join(own, "station_id").withColumn("hit", F.lit(False)).unionByName(marks)
+    days = days.groupBy("station_id", "day").agg(F.sum("n").alias("n"), F.max("hit").alias("hit")).join(both, "station_id")
+    # spans are in UTC, a local day can begin up to a day off
+    near = lambda r: F.coalesce(F.col("day").between(F.date_sub(F.col(r)["lo"], 1), F.date_add(F.col(r)["hi"], 1)), F.lit(False))
+    return days.withColumn("hit", F.col("hit") | F.coalesce("all", F.lit(True)) | near("start") | near("end")).select("station_id", "day", "n", "hit")
+
+
+def _reached(days, reach, name):
+    """``name``: days with a row that looks back on a row of a hit day, itself included, at most ``reach`` rows back."""
+    line = Window.partitionBy("station_id").orderBy("day")
+    upto = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    days = days.withColumn("_upto", upto)
+    last = F.max(F.when(F.col("hit"), F.col("_upto"))).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    return days.withColumn(name, F.col("hit") | F.coalesce(F.col("_upto") - F.col("n") - last < reach, F.lit(False))).drop("_upto")
+
+
+def change_set(days, touched, before, known):
+    """Per station and day: is it ``changed`` (periods), ``moving`` (moving average), and what has to be read for either.
+
+    ``read_periods`` has all days of the touched weeks and months with the rows before that cleaning looks back on;
+    ``needed`` are those without these rows, ``read_moving`` and ``moving`` the same for the moving average.
+    """
+    days = _reached(_reached(_hits(days, touched, before, known), SNOW_REACH, "changed"), MOVING_REACH, "moving")
+    in_touched = lambda label: F.max("changed").over(Window.partitionBy("station_id", label("day")))
+    days = days.withColumn("needed", in_touched(week_end) | in_touched(month_end))
+    days = _with_halo_days(days, SNOW_REACH).withColumnRenamed("read", "read_periods").withColumnRenamed("needed", "_needed")
+    days = _with_halo_days(days.withColumn("needed", F.col("moving")), MOVING_REACH).withColumnRenamed("read", "read_moving").drop("needed")
+    return days.withColumnRenamed("_needed", "needed")
 
-def _from_years(known, facts):
-    """First year to rebuild of each delivered station.
 
-    That of the first new reading, or where the last complete periods ended before, or all if
-    the station turns out to measure precipitation after all.
+def rebuild(spark, raw_path, processed_path, touched, before, gone=None, rules=PERIOD_RULES):
+    """Bring the processed table up to date after a change of the raw one.
+
+    ``touched`` (station_id, day) are the local days with changed rows, ``before`` (settled) the known stations before the change,
+    ``gone`` (station_id, ts_utc) the rows that were taken out.
     """
-    new = facts.select("station_id", F.year("any_from").alias("first"), F.col("has_n").alias("rains"))
-    if known is None:
-        return new.select("station_id", F.col("first").alias("from_year"))
-    old = known.select("station_id", F.least(F.year("latest_ts"), F.year("grid_to")).alias("ended"), F.col("has_n").alias("rained"), F.year("origin").alias("start"))
-    both = new.join(old, "station_id", "left")
-    turned = F.col("rains") & ~F.col("rained")
-    return both.select("station_id", F.when(turned, F.least("first", "start", F.lit(PORTAL_FIRST_YEAR))).otherwise(F.least("first", "ended")).alias("from_year"))
+    known = settled(known_stations(spark, raw_path), "stations")
+    if before is None:
+        before = known.limit(0)
+    plan = settled(change_set(days_of(spark, raw_path), touched, before, known), "plan")
+    raw = _rows_of(read_raw(spark, raw_path))
+    changed = plan.where("changed")
+    labels = F.explode(F.array(*[F.struct(F.lit(rule_name(r)).alias("rule"), _anchor_of(r).alias("anchor")) for r in rules]))
+    scope = changed.select("station_id", labels.alias("_s")).select("station_id", "_s.*").distinct()
+    # periods: all rows of the touched weeks and months, cleaned with the few rows before them
+    rows = _inside(_of_days(raw, plan.where("read_periods")).drop("year", "month"), known)
+    cleaned = clean_series(rows).where("needed")
+    periods = resample_rules(cleaned, known.select("station_id", "latest_ts", "has_n"), rules).withColumn("anchor", anchor())
+    periods = periods.join(scope, ["station_id", "rule", "anchor"], "left_semi").select(PROCESSED)
+    moving = _of_days(raw, plan.where("read_moving").withColumn("needed", F.col("moving"))).drop("year", "month")
+    moving = _as_rule(moving_average(moving))
+    fresh = settled(periods.unionByName(moving), "fresh")
+    scope = scope.unionByName(fresh.where("rule = 'movavg'").select("station_id", "rule", F.col("period").alias("anchor")))
+    if gone is not None:
+        scope = scope.unionByName(gone.select("station_id", F.lit("movavg").alias("rule"), F.col("ts_utc").alias("anchor")))
+    replace_periods(spark, fresh, settled(scope.distinct(), "scope"), processed_path)
+
+
+def _anchor_of(rule):
+    """The anchor (see store.anchor) of the periods of a rule that a day lies in."""
+    day = {"weekly": week_end("day"), "monthly": month_end("day")}.get(rule_name(rule), F.col("day"))
+    return day.cast("timestamp_ntz")
+
+
+FILES_PER_BATCH = 10_000
 
 
 def ingest_and_rebuild(spark, readings, raw_path, processed_path, order="load_seq", newest=True):
-    """Take in a delivery and rebuild the periods of its stations; returns what was not taken."""
+    """Take in a delivery and rebuild the periods it touches; returns what is off the grid."""
     if "ts_utc" not in readings.columns:
         readings = readings.withColumn("ts_utc", F.col("ts"))
-    since = settled(_from_years(known_stations(spark, raw_path), station_facts(readings)), "since")
+    before = known_stations(spark, raw_path)
+    before = None if before is None else settled(before, "before")
+    touched = settled(readings.select("station_id", F.to_date("ts").alias("day")).distinct(), "days")
     left_out = ingest(spark, readings, raw_path, order, newest)
-    update_processed(spark, raw_path, processed_path, since=since)
-    update_moving(spark, raw_path, processed_path, since)
+    rebuild(spark, raw_path, processed_path, touched, before)
     return left_out
 
 
+def delete_span(spark, raw_path, station_id, first, last, processed_path=None):
+    """Take one station's rows of a closed range of local times out of the raw table, and out of the periods they were part of.
+
+    Partitions left empty are removed; what the station is known to measure is found anew from the rows that stay. Readings
+    that are delivered again afterwards come back.
+    """
+    first, last = (F.lit(t).cast("timestamp_ntz") if isinstance(t, str) else t for t in (first, last))
+    taken = []
+    for path in (raw_path, f"{raw_path}-off"):
+        raw = read_raw(spark, path)
+        if raw is None:
+            continue
+        within = (F.col("station_id") == station_id) & F.col("year").between(F.year(first), F.year(last)) & F.col("ts").between(first, last)
+        gone = settled(raw.where(within).select("station_id", "year", "month", "ts_utc", "ts"), "gone")
+        if not gone.isEmpty():
+            taken.append((path, gone))
+    if not taken:
+        return 0
+    before = settled(known_stations(spark, raw_path, read_raw(spark, raw_path)), "before")
+    for path, gone in taken:
+        remove_raw(spark, gone, path)
+    left = _facts_after(spark, raw_path, station_id)
+    add_facts(left, raw_path, renew=True)
+    gone = reduce(DataFrame.unionByName, [g for _, g in taken])
+    if processed_path is not None:
+        touched = gone.select(F.col("station_id").cast("int").alias("station_id"), F.to_date("ts").alias("day")).distinct()
+        rebuild(spark, raw_path, processed_path, touched, before, gone.select(F.col("station_id").cast("int").alias("station_id"), "ts_utc"))
+    return gone.count()
+
+
+def _facts_after(spark, raw_path, station_id):
+    """Facts of a station from its rows, on the grid or aside; without rows it knows nothing but its number."""
+    tables = [t for t in (read_raw(spark, raw_path), read_raw(spark, f"{raw_path}-off")) if t is not None]
+    rows = reduce(DataFrame.unionByName, tables).where(F.col("station_id") == station_id)
+    none = spark.createDataFrame([(station_id,)], "station_id int")
+    found = facts_of(rows.withColumn("station_id", F.col("station_id").cast("int")))
+    return none.join(found, "station_id", "left").withColumn("has_n", F.coalesce("has_n", F.lit(False)))
+
+
 def update_all(spark, json_path, raw_path, processed_path, manifest_path, files_per_batch=FILES_PER_BATCH):
-    """Take in the files not seen before, oldest paths first, and rebuild what they touch; returns their number.
+    """Take in the files not seen before and rebuild what they touch; returns their number.
 
-    A batch has a bounded number of files, which is all the driver ever holds. Only delivered stations are
-    rebuilt, each from its own first touched year. Records that were not taken are counted
-    in a table beside the raw one.
+    A batch has a bounded number of files, which is all the driver ever holds; in which order batches come does not
+    matter. Records that were not taken are counted in a table beside the raw one.
     """
     listing = station_files(list_files(spark, json_path))
     names, taken = stations(spark), 0
@@ -168,12 +333,21 @@ def update_all(spark, json_path, raw_path, processed_path, manifest_path, files_
 
 
 def moving_average(raw, chunk_rows=CHUNK_ROWS):
-    """Trailing mean of the cleaned snow height: cleaning and mean in one pass over the chunks."""
+    """Trailing mean of the cleaned snow height: cleaning and mean in one pass over the chunks.
+
+    Rows follow each other by UTC time where they have it, and ``ts`` of the result is that instant. Rows that are
+    there for their neighbours only, with ``needed`` false, are left out.
+    """
+    order = instant(raw)
+
     def run(rows, window):
         return trailing_mean(clean_snow(rows, window), "hs", window, "hs_mean")
 
-    out = with_halo(raw.select("station_id", "ts", "hs", "lt"), run, before=TRAILING_ROWS - 1 + SNOW_REACH, chunk_rows=chunk_rows)
-    return out.select("station_id", "ts", F.col("hs_mean").alias("hs"))
+    columns = [*dict.fromkeys(["station_id", order, "ts", "hs", "lt"]), *[c for c in ("needed",) if c in raw.columns]]
+    out = with_halo(raw.select(columns), run, order=order, before=MOVING_REACH, chunk_rows=chunk_rows)
+    if "needed" in raw.columns:
+        out = out.where("needed")
+    return out.select("station_id", F.col(order).alias("ts"), F.col("hs_mean").alias("hs"))
 
 
 def history_rows(parsed):

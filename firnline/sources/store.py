@@ -1,24 +1,32 @@
 """Parquet tables of raw and processed rows, rewritten per (station, year, month) or (rule, station, year).
 
-A raw row is keyed by station and UTC time; partitions follow its local time. A write replaces whole
-partitions, so a repeated run gives the same table. A merge first writes the new content of the touched
-partitions to a side folder and notes that in a log; only then are they moved over. When
-driver or executors are lost in between, the next merge finds the note and finishes the move.
-
-Beside the raw table lies one row per station and delivery on what the station measures, so an update
-knows that of the whole table without reading it.
+A raw row is keyed by station and UTC time; partitions follow its local time. Each of its cells carries the
+sequence number of the delivery it came with, and of two values of a cell the one with the higher number
+stays, of equal numbers the higher value. That choice is associative and commutative, so the
+table does not depend on how deliveries are cut into batches or in which order those are merged.
+
+A change writes the new content of the touched partitions to a side folder, and beside it which of them are empty
+now, and marks that; only then are they moved over and the empty ones removed. When driver or executors are
+lost in between, the next change finds the mark and finishes the move. Rows are sorted by
+time within files, so a scan of a few days reads few row groups.
+
+Beside the raw table lie the number of rows per station and day, from which a rebuild knows what to
+read, and one row per station and delivery on what the station measures. Neither needs a scan of the table.
 """
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..operators.merge import overlay
 from ..operators.sizes import settled
 from ..schema import SENSOR_COLS
 
 PROCESSED = ["station_id", "rule", "period", *SENSOR_COLS]
 RAW_PARTS = ["station_id", "year", "month"]
-RAW = ["station_id", "ts_utc", "ts", *SENSOR_COLS]
+RULE_PARTS = ["rule", "station_id", "year"]
+SEQ_COLS = [f"{c}_seq" for c in SENSOR_COLS]
+RAW = ["station_id", "ts_utc", "ts", *SENSOR_COLS, *SEQ_COLS]
+ORDER = {"raw": "ts_utc", "processed": "period"}
+NO_SEQ = -(1 << 63)
 
 
 def read_table(spark, path):
@@ -31,23 +39,43 @@ def read_table(spark, path):
         raise
 
 
-def _partitioned_write(df, path, mode, columns):
+def read_raw(spark, path):
+    """The raw table with all its columns; sequence numbers that older files lack are null."""
+    table = read_table(spark, path)
+    if table is None:
+        return None
+    schema = table.schema
+    for c in SEQ_COLS:
+        if c not in schema.names:
+            schema = schema.add(c, "long")
+    return placed(spark.read.schema(schema).parquet(path))
+
+
+def _partitioned_write(df, path, mode, columns, order):
     # rebalance groups rows by partition but lets AQE split a partition that is too large for one task
     (
-        df.hint("rebalance", *columns).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns).parquet(path)
+        df.hint("rebalance", *columns).sortWithinPartitions(*columns, order).write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
     )
 
 
-def placed(wide):
-    """Raw rows with their partition; rows that know no UTC time are keyed by the local one, sensors they lack are null."""
+def placed(wide, seq=None):
+    """Raw rows with their partition; rows that know no UTC time are keyed by the local one.
+
+    Sensors they lack are null, and values without a sequence number get ``seq``.
+    """
     rows = wide if "ts_utc" in wide.columns else wide.withColumn("ts_utc", F.col("ts"))
     rows = rows.withColumns({c: F.lit(None).cast("double") for c in SENSOR_COLS if c not in rows.columns})
+    rows = rows.withColumns({f"{c}_seq": F.when(F.col(c).isNotNull(), F.lit(seq).cast("long")) for c in SENSOR_COLS if f"{c}_seq" not in rows.columns})
     return rows.select(*RAW, F.year("ts").alias("year"), F.month("ts").alias("month"))
 
 
 def write_raw(wide, path, mode="append"):
-    _partitioned_write(placed(wide), path, mode, RAW_PARTS)
+    """Append rows as they are, or replace the partitions they fall into."""
+    rows = placed(wide)
+    _partitioned_write(rows, path, mode, RAW_PARTS, ORDER["raw"])
+    spark = wide.sparkSession
+    _count_days(touched(rows, placed(spark.read.schema(rows.schema).parquet(path)), RAW_PARTS), path)
 
 
 def touched(df, stored, columns):
@@ -59,43 +87,129 @@ def touched(df, stored, columns):
     return stored.join(settled(df.select(*columns).distinct(), "touched"), list(columns), "left_semi")
 
 
-def _move(spark, path, schema):
-    # the schema is given: an overlay may be empty, and then there is no file to read it from
-    _partitioned_write(spark.read.schema(schema).parquet(f"{path}-side"), path, "overwrite", RAW_PARTS)
-
-
-def _note(spark, path, step, state):
-    spark.sql(f"SELECT {step}L AS step, '{state}' AS state").write.mode("append").parquet(f"{path}-log")
-
-
-def finish_merge(spark, path):
-    """Finish a move that was noted but not ended; returns the number of the last merge."""
-    log = read_table(spark, f"{path}-log")
-    if log is None:
-        return 0
-    last = log.groupBy().pivot("state", ["ready", "done"]).agg(F.max("step")).first()
-    if last["ready"] is not None and last["ready"] != last["done"]:
-        _move(spark, path, placed(read_table(spark, path)).schema)
-        _note(spark, path, last["ready"], "done")
-    return last["ready"] or 0
+def overlay_newest(old, new, keys):
+    """Rows of both; of two values of a cell that with the higher sequence number stays, of equal numbers the higher value."""
+    renamed = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in ("ts", *SENSOR_COLS, *SEQ_COLS)])
+    both = old.join(renamed, list(keys), "full_outer")
+    cells = []
+    for c in SENSOR_COLS:
+        mine, theirs = F.coalesce(f"{c}_seq", F.lit(NO_SEQ)), F.coalesce(f"_new_{c}_seq", F.lit(NO_SEQ))
+        later = F.col(f"_new_{c}").isNotNull() & (F.col(c).isNull() | (theirs > mine) | ((theirs == mine) & (F.col(f"_new_{c}") > F.col(c))))
+        cells += [F.when(later, F.col(f"_new_{x}")).otherwise(F.col(x)).alias(x) for x in (c, f"{c}_seq")]
+    return both.select(*keys, F.least("ts", "_new_ts").alias("ts"), *cells)
+
+
+# --- marks and moves ---------------------------------------------------------------------------------
+
+def _folder(spark, path):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _mark(spark, path, step, state):
+    """Leave an empty file named after the step and its state; a finished step takes the place of all before it."""
+    fs, at = _folder(spark, f"{path}-log/{step:012d}.{state}")
+    fs.create(at, True).close()
+    if state == "done":
+        for f in fs.listStatus(at.getParent()):
+            if f.getPath().getName() != at.getName():
+                fs.delete(f.getPath(), False)
+
+
+def _last_mark(spark, path):
+    """Number and state of the last change."""
+    fs, at = _folder(spark, f"{path}-log")
+    if not fs.exists(at):
+        return 0, "done"
+    names = sorted(f.getPath().getName() for f in fs.listStatus(at))
+    done = [n for n in names if n.endswith(".done")]
+    step, state = (names or ["0.done"])[-1].split(".")
+    return int(step), "done" if f"{step}.done" in done else state
+
+
+def _count_days(rows, path):
+    """Rows per station and local day in the partitions of ``rows``, beside the table."""
+    days = rows.groupBy(*RAW_PARTS, F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    days.repartition(*RAW_PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RAW_PARTS).parquet(f"{path}-days")
+
+
+def days_of(spark, path):
+    """(station_id, day, n): rows of the raw table per station and local day."""
+    days = read_table(spark, f"{path}-days")
+    if days is None:
+        _count_days(read_raw(spark, path), path)
+        days = read_table(spark, f"{path}-days")
+    return days.select(F.col("station_id").cast("int").alias("station_id"), "day", "n")
+
+
+def _move(spark, path, schema, parts, kind):
+    # the schema is given: a change may leave nothing, and then there is no file to read it from
+    rows = spark.read.schema(schema).parquet(f"{path}-side")
+    _partitioned_write(rows, path, "overwrite", parts, ORDER[kind])
+    if kind == "raw":
+        _count_days(rows, path)
+    for row in spark.read.parquet(f"{path}-emptied").toLocalIterator():  # partitions, of a deletion mostly
+        name = "/".join(f"{c}={row[c]}" for c in parts)
+        for table in (path, f"{path}-days"):
+            fs, at = _folder(spark, f"{table}/{name}")
+            fs.delete(at, True)
+
+
+def finish_merge(spark, path, kind="raw"):
+    """Finish a move that was marked but not ended; returns the number of the last change."""
+    step, state = _last_mark(spark, path)
+    if state == "ready":
+        parts = RAW_PARTS if kind == "raw" else RULE_PARTS
+        stored = read_raw(spark, path) if kind == "raw" else read_table(spark, path)
+        _move(spark, path, stored.schema, parts, kind)
+        _mark(spark, path, step, "done")
+    return step
+
+
+def _replace(spark, path, content, parts, step, kind):
+    """Make ``content`` the content of the partitions ``parts`` (settled), without a moment in which rows are lost."""
+    columns = RAW_PARTS if kind == "raw" else RULE_PARTS
+    # the side folder holds this change only
+    content.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*columns).parquet(f"{path}-side")
+    filled = spark.read.schema(content.schema).parquet(f"{path}-side").select(*columns).distinct()
+    parts.join(filled, columns, "left_anti").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}-emptied")
+    _mark(spark, path, step, "ready")
+    _move(spark, path, content.schema, columns, kind)
+    _mark(spark, path, step, "done")
 
 
 def merge_raw(spark, wide, path):
-    """Overlay new wide rows on the stored ones and rewrite the touched partitions; new values win."""
+    """Merge wide rows into the stored ones cell by cell and rewrite the touched partitions.
+
+    Values without sequence numbers count as later than all merged before without them.
+    """
     step = finish_merge(spark, path) + 1
-    new, stored = placed(wide), read_table(spark, path)
+    new, stored = placed(wide, step), read_raw(spark, path)
     if stored is None:
-        write_raw(wide, path, "overwrite")
+        write_raw(placed(wide, 0), path, "overwrite")
         return
-    stored = placed(stored.withColumn("station_id", F.col("station_id").cast(new.schema["station_id"].dataType)))
-    merged = overlay(touched(new, stored, RAW_PARTS), new, [*RAW_PARTS, "ts_utc"], ["ts", *SENSOR_COLS])
-    # the side folder holds this merge only
-    merged.hint("rebalance", *RAW_PARTS).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*RAW_PARTS).parquet(f"{path}-side")
-    _note(spark, path, step, "ready")
-    _move(spark, path, merged.schema)
-    _note(spark, path, step, "done")
+    stored = stored.withColumn("station_id", F.col("station_id").cast(new.schema["station_id"].dataType))
+    parts = settled(new.select(*RAW_PARTS).distinct(), "touched")
+    merged = overlay_newest(stored.join(parts, RAW_PARTS, "left_semi"), new, [*RAW_PARTS, "ts_utc"])
+    _replace(spark, path, merged.select(*RAW, "year", "month"), parts, step, "raw")
 
 
+def remove_raw(spark, gone, path):
+    """Take the rows with the keys ``gone`` (station_id, ts_utc, year, month) out of the table; partitions left empty go."""
+    step = finish_merge(spark, path) + 1
+    parts = settled(gone.select(*RAW_PARTS).distinct(), "touched")
+    rest = read_raw(spark, path).join(parts, RAW_PARTS, "left_semi").join(gone.select(*RAW_PARTS, "ts_utc"), [*RAW_PARTS, "ts_utc"], "left_anti")
+    _replace(spark, path, rest.select(*RAW, "year", "month"), parts, step, "raw")
+
+
+def delete_range(wide, station_id, first, last, ts="ts"):
+    """Rows outside one station's closed time range. To take rows out of the table see plans.update.delete_span."""
+    inside = (F.col("station_id") == station_id) & F.col(ts).between(first, last)
+    return wide.where(~inside)
+
+
+# --- what stations measure ---------------------------------------------------------------------------
+
 ANCHORS = ("lt", "sd")
 
 
@@ -120,16 +234,35 @@ def facts_of(raw):
     return raw.groupBy("station_id").agg(*_facts(spans), (F.count("n") > 0).alias("has_n"))
 
 
-def add_facts(facts, path):
+def _notes(spark, path):
+    """Facts of all deliveries; after a deletion those of the station before it no longer count."""
+    notes = read_table(spark, f"{path}-stations")
+    if notes is None:
+        return None
+    if "epoch" not in notes.columns:
+        notes = notes.withColumn("epoch", F.lit(0))
+    last = notes.groupBy("station_id").agg(F.max("epoch").alias("_last"))
+    return notes.join(last, "station_id").where(F.col("epoch") == F.col("_last")).drop("_last")
+
+
+def add_facts(facts, path, renew=False):
+    """Note facts of a delivery, or with ``renew`` facts that hold instead of all noted before."""
+    spark = facts.sparkSession
+    notes = _notes(spark, path)
+    if notes is None:
+        facts = facts.withColumn("epoch", F.lit(int(renew)))
+    else:
+        epochs = settled(notes.select("station_id", "epoch").distinct(), "epochs")
+        facts = facts.join(epochs, "station_id", "left").withColumn("epoch", F.coalesce("epoch", F.lit(0)) + int(renew))
     facts.write.mode("append").parquet(f"{path}-stations")
 
 
 def known_stations(spark, path, raw=None):
-    """Per station grid_from and grid_to (span of its first anchor sensor), latest_ts and has_n, over all deliveries.
+    """Per station grid_from and grid_to (span of its first anchor sensor), origin, latest_ts and has_n, over all deliveries.
 
     A table without notes is read instead.
     """
-    notes = read_table(spark, f"{path}-stations")
+    notes = _notes(spark, path)
     if notes is None:
         if raw is None:
             return None
@@ -144,13 +277,48 @@ def known_stations(spark, path, raw=None):
         F.coalesce(*[F.col(f"{a}_last") for a in (*ANCHORS, "any")]).alias("latest_ts"), "has_n")
 
 
-def delete_range(wide, station_id, first, last, ts="ts"):
-    """Rows outside one station's closed time range; written back by merge or overwrite."""
-    inside = (F.col("station_id") == station_id) & F.col(ts).between(first, last)
-    return wide.where(~inside)
+# --- processed rows ----------------------------------------------------------------------------------
+
+def placed_periods(processed):
+    return processed.select(*PROCESSED, F.year("period").alias("year"))
+
+
+def write_processed(processed, path, from_year=None):
+    """Replace the (rule, station_id, year) partitions the rows fall into.
+
+    With ``from_year`` the rows are all there are of their rules from that year on, and partitions without rows go.
+    """
+    spark, rows = processed.sparkSession, placed_periods(processed)
+    step, stored = finish_merge(spark, path, "processed") + 1, read_table(spark, path)
+    if stored is None:
+        _partitioned_write(rows, path, "overwrite", RULE_PARTS, ORDER["processed"])
+        return
+    parts = rows.limit(0).select(*RULE_PARTS)
+    if from_year is not None:
+        rules = [r["rule"] for r in rows.select("rule").distinct().collect()]
+        parts = stored.where(F.col("rule").isin(rules) & (F.col("year") >= from_year)).select(*RULE_PARTS).distinct()
+    _replace(spark, path, rows, settled(parts, "touched"), step, "processed")
+
+
+def replace_periods(spark, fresh, scope, path):
+    """Put ``fresh`` rows (settled) in the place of all stored ones with the keys ``scope`` (station_id, rule, anchor).
+
+    The anchor of an hour or a day is its day, that of other rules the period itself, so a key may stand for rows
+    that no longer exist.
+    """
+    step, stored = finish_merge(spark, path, "processed") + 1, read_table(spark, path)
+    rows = placed_periods(fresh)
+    if stored is None:
+        _partitioned_write(rows, path, "overwrite", RULE_PARTS, ORDER["processed"])
+        return
+    parts = scope.select("rule", "station_id", F.year("anchor").alias("year")).unionByName(rows.select(*RULE_PARTS)).distinct()
+    parts = settled(parts, "touched")
+    old = stored.withColumn("station_id", F.col("station_id").cast("int")).join(parts, RULE_PARTS, "left_semi").withColumn("anchor", anchor())
+    old = old.join(scope, ["station_id", "rule", "anchor"], "left_anti")
+    _replace(spark, path, old.select(rows.columns).unionByName(rows), parts, step, "processed")
 
 
-def write_processed(processed, path):
-    """Replace the (rule, station_id, year) partitions the rows fall into."""
-    rows = processed.select(*PROCESSED).withColumn("year", F.year("period"))
-    _partitioned_write(rows, path, "overwrite", ["rule", "station_id", "year"])
+def anchor():
+    """What a period is touched by: the day of an hour or a day, the period itself of other rules."""
+    day = F.to_date("period").cast("timestamp_ntz")
+    return F.when(F.col("rule").isin("hourly", "daily"), day).otherwise(F.col("period"))
