@@ -113,12 +113,16 @@ def _runs(uid, first, last):
     return uid[new], first[new], last[np.append(new[1:], len(uid)) - 1] if len(uid) else last
 
 
-CANDIDATE = "anchor long, whole long, uid long, lo long, hi long"
+CANDIDATE = "key long, whole long, uid long, place long, later boolean"
 
 
 def _candidates(batches):
-    """Stretches of the texts of a task: of equal ones the first, and as rows without anchor the runs of the later ones."""
-    names = ["anchor", "whole", "uid", "lo", "hi"]
+    """Stretches of the texts of a task: of equal ones the first, and the runs of the later ones as rows of their own.
+
+    A stretch has its anchor as key and as place its first start and its length, 64 times the one plus the other; a run of
+    later copies has its text as key, its first start as place and its last as ``whole``.
+    """
+    names = ["key", "whole", "uid", "place", "later"]
     for batch in batches:
         step = max(1, len(batch) * BATCH // max(1, batch.column("text").nbytes))
         for start in range(0, len(batch), step):
@@ -128,10 +132,10 @@ def _candidates(batches):
             order = np.lexsort((first, uid, whole, anchor))
             uid, first, last, anchor, whole = (v[order] for v in (uid, first, last, anchor, whole))
             new = np.append(True, (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1]))[: len(uid)]
-            yield pa.RecordBatch.from_arrays([pa.array(v[new]) for v in (anchor, whole, uid, first, last)], names=names)
-            run = _runs(uid[~new], first[~new], last[~new])
-            none = pa.nulls(len(run[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, *map(pa.array, run)], names=names)
+            place = first * 64 + last - first
+            yield pa.RecordBatch.from_arrays([*(pa.array(v[new]) for v in (anchor, whole, uid, place)), pa.array(np.zeros(new.sum(), bool))], names=names)
+            own, lo, hi = _runs(uid[~new], first[~new], last[~new])
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(hi), pa.array(own), pa.array(lo), pa.array(np.ones(len(own), bool))], names=names)
 
 
 def longest_previous(windows, place):
@@ -187,8 +191,8 @@ def _cut_out(batches):
         for i in range(len(batch)):
             data, some = texts[i].as_py().encode("utf-8"), wanted[i].as_py()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w["anchor"] for w in some]), pa.array([uid[i].as_py()] * len(some)), pa.array([w["lo"] for w in some]),
-                 pa.array([data[w["lo"] : w["hi"] + LENGTH] for w in some], pa.binary())], names=["anchor", "uid", "lo", "text"])
+                [pa.array([w["anchor"] for w in some]), pa.array([w["hot"] for w in some]), pa.array([uid[i].as_py()] * len(some)), pa.array([w["lo"] for w in some]),
+                 pa.array([data[w["lo"] : w["hi"] + LENGTH] for w in some], pa.binary())], names=["anchor", "hot", "uid", "lo", "text"])
 
 
 def _digests(batches):
@@ -210,32 +214,31 @@ def _by_digest(pieces):
 
 
 def _compared(texts, hot):
-    """Runs of later copies and stretches to search; of the latter the first of equal ones, and their text."""
+    """Runs of later copies, and stretches to search: the first of equal ones where an anchor has several, and their text."""
     found = texts.mapInArrow(_candidates, CANDIDATE)
-    # the later copies met in a task are not to be compared again and go by text
-    key = F.coalesce("anchor", F.xxhash64("uid"))
-    by_anchor = Window.partitionBy("key").orderBy("whole", "uid", "lo")
+    # the copies met in a task are settled; they come along under the number of their text, apart from all anchors
+    by_anchor = Window.partitionBy("key", "copies").orderBy("whole", "uid", "place")
     every = by_anchor.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = found.withColumn("key", key).select(
-        "anchor", "uid", "lo", "hi", (F.col("anchor").isNull() | F.coalesce(F.lag("whole").over(by_anchor) == F.col("whole"), F.lit(False))).alias("later"),
-        (F.first("whole").over(every) != F.last("whole").over(every)).alias("differ"))
-    ranked = settled(ranked.where("later OR differ"), "stretches")
-    first = ranked.where("NOT later")
-    wide = first.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor", F.lit(True).alias("hot"))
-    first = settled(first.join(wide, "anchor", "left").select("anchor", "uid", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot")), "firsts")
-    wanted = settled(first.groupBy("uid").agg(F.collect_list(F.struct("anchor", "lo", "hi")).alias("wanted")), "wanted")
-    pieces = texts.join(wanted, "uid").mapInArrow(_cut_out, "anchor long, uid long, lo long, text binary")
-    return ranked, first, pieces
-
-
-def _searched(ranked, first, pieces, unit_rows):
+    again = ~F.col("copies") & F.coalesce(F.lag("whole").over(by_anchor) == F.col("whole"), F.lit(False))
+    found = found.withColumnRenamed("later", "copies").repartition("key").withColumn("later", F.col("copies") | again)
+    found = found.withColumn("kinds", F.when(~F.col("copies"), F.sum((~F.col("later")).cast("int")).over(every)))
+    first = F.when(F.col("copies"), F.col("place")).otherwise(F.shiftright("place", 6))
+    last = F.when(F.col("copies"), F.col("whole")).otherwise(F.shiftright("place", 6) + F.col("place").bitwiseAND(F.lit(63)))
+    found = found.where("later OR kinds > 1").select(F.when(~F.col("later"), F.col("key")).alias("anchor"), "uid", first.alias("lo"), last.alias("hi"), (F.col("kinds") > hot).alias("hot"))
+    found = settled(found, "stretches")
+    wanted = found.where("anchor IS NOT NULL").groupBy("uid").agg(F.collect_list(F.struct("anchor", "lo", "hi", "hot")).alias("wanted"))
+    pieces = texts.join(settled(wanted, "wanted"), "uid").mapInArrow(_cut_out, "anchor long, hot boolean, uid long, lo long, text binary")
+    return found, pieces
+
+
+def _searched(found, pieces, unit_rows):
     """uid, lo, hi: runs of starts whose strings also start earlier."""
-    units = max(1, -(-first.count() // unit_rows))
-    very = first.where("hot").select("anchor").distinct()
-    usual = pieces.join(very, "anchor", "left_anti").withColumn("unit", F.pmod(F.xxhash64("anchor"), F.lit(units)))
-    runs = ranked.where("later").select("uid", "lo", "hi").unionByName(usual.groupBy("unit").applyInArrow(_repeated, "uid long, lo long, hi long"))
-    if not very.isEmpty():
-        runs = runs.unionByName(_by_digest(pieces.join(very, "anchor", "left_semi")))
+    size = {r["hot"]: r["count"] for r in found.where("anchor IS NOT NULL").groupBy("hot").count().collect()}
+    units = max(1, -(-size.get(False, 0) // unit_rows))
+    usual = pieces.where("NOT hot").withColumn("unit", F.pmod(F.xxhash64("anchor"), F.lit(units)))
+    runs = found.where("anchor IS NULL").select("uid", "lo", "hi").unionByName(usual.groupBy("unit").applyInArrow(_repeated, "uid long, lo long, hi long"))
+    if size.get(True):
+        runs = runs.unionByName(_by_digest(pieces.where("hot")))
     return runs
 
 
