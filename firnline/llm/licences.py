@@ -3,7 +3,7 @@
 A text is cut into sentences, each is brought to a plain form (lower case, single spaces, no marks),
 and plain sentences are mapped to the identifiers of licence sentences that they contain. Clauses of a
 sentence count singly, and two neighbours together for what neither has alone. The sequence
-of identifiers of a text is then matched against ordered rules: longer, more telling
+of identifiers of a text is then matched against ordered rules, other identifiers in between allowed: longer, more telling
 sequences first, and what a rule has used is not open to the rules after it.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # A word of every sentence pattern, so a text or sentence without any has no identifier;
 # where sentences end (line ends are \n by then) and clauses end (a semicolon, the point in "v. 2.0");
 # sentence identifiers with a pattern of the plain form; licences with their identifiers in order. SPDX identifiers are read with their marks instead.
-WORDS = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|public|spdx|cc|version|rights|free|commons|endorse|software"
+WORDS = r"(?i)licen[cs]|copyright|redistribut|permission|warrant|public|spdx|cc|version|rights|free|commons|endorse|software|gnu"
 SENTENCE_ENDS = r"(?!(?<=[^A-Za-z0-9][Vv])\.[ \x09-\x0D]+[0-9])[.!?;]*[.!?][.!?;]*[ \x09-\x0D]+|\x0A[ \x09]*\x0A+"
 CLAUSE_ENDS = r";+[ \x09-\x0D]+|(?<=[^A-Za-z0-9][Vv])\.[ \x09-\x0D]+(?=[0-9])"
 SENTENCES = (
@@ -28,6 +28,7 @@ SENTENCES = (
     ("apache-2-as-is", r"distributed under the license is distributed on an as is basis"),
     ("apache-2-limits", r"see the license for the specific language governing permissions"),
     ("mit-named", r"(released|licensed|distributed|available) under (the terms of )?the mit licen[cs]e"),
+    ("mit-title", r"the mit licen[cs]e mit( |$)"),
     ("mit-grant", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit-notice", r"the above copyright notice and this permission notice shall be included in all copies"),
     ("mit-as-is", r"the software is provided as is without warranty of any kind express or implied"),
@@ -35,6 +36,8 @@ SENTENCES = (
     ("gpl-free", r"this program is free software"),
     ("gpl-2-grant", r"gnu general public license( as published by the free software foundation( either)?)? (version 2|v2)( |$)"),
     ("gpl-3-grant", r"gnu general public license( as published by the free software foundation( either)?)? (version 3|v3)( |$)"),
+    ("gpl-2-named", r"gnu gpl (version 2|v2)( |$)"),
+    ("gpl-3-named", r"gnu gpl (version 3|v3)( |$)"),
     ("lgpl-21-grant", r"gnu (lesser|library) general public license( as published by the free software foundation( either)?)? version 2 1"),
     ("lgpl-3-grant", r"gnu lesser general public license( as published by the free software foundation( either)?)? version 3"),
     ("agpl-3-grant", r"gnu affero general public license( as published by the free software foundation( either)?)? version 3"),
@@ -51,6 +54,8 @@ SENTENCES = (
     ("isc-grant", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("unlicense-grant", r"this is free and unencumbered software released into the public domain"),
     ("cc0-grant", r"(cc0|dedicated (this work )?to the public domain)"),
+    ("cc-by-sa-3", r"(cc by sa|creative commons attribution sharealike) 3 0"),
+    ("cc-by-3", r"(cc by|creative commons attribution) 3 0"),
     ("cc-by-nc-4", r"(cc by nc|creative commons attribution noncommercial) 4 0"),
     ("cc-by-sa-4", r"(cc by sa|creative commons attribution sharealike) 4 0"),
     ("cc-by-4", r"(cc by|creative commons attribution) 4 0"),
@@ -75,7 +80,10 @@ RULES = (
     ("Apache-2.0", ("apache-2-grant",)),
     ("MIT", ("mit-named",)),
     ("MIT", ("mit-grant",)),
+    ("MIT", ("mit-title",)),
     ("GPL-3.0-only", ("gpl-3-grant",)),
+    ("GPL-3.0-only", ("gpl-3-named",)),
+    ("GPL-2.0-only", ("gpl-2-named",)),
     ("GPL-2.0-only", ("gpl-2-grant",)),
     ("LGPL-3.0-only", ("lgpl-3-grant",)),
     ("LGPL-2.1-only", ("lgpl-21-grant",)),
@@ -87,6 +95,8 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("CC-BY-4.0", ("cc-by-4",)),
+    ("CC-BY-SA-3.0", ("cc-by-sa-3",)),
+    ("CC-BY-3.0", ("cc-by-3",)),
     ("CC0-1.0", ("cc0-grant",)),
     ("MIT", ("spdx-mit",)),
     ("Apache-2.0", ("spdx-apache-2",)),
@@ -98,8 +108,18 @@ RULES = (
 SPDX = {
     "spdx-mit": "mit", "spdx-apache-2": "apache 2 0", "spdx-gpl-2": "gpl 2 0( only)?", "spdx-gpl-3": "gpl 3 0( only)?", "spdx-bsd-3": "bsd 3 clause", "spdx-mpl-2": "mpl 2 0",
     "spdx-gpl-2-later": r"gpl 2 0( or later|\+)", "spdx-gpl-3-later": r"gpl 3 0( or later|\+)",
+    "spdx-bsd-2": "bsd 2 clause", "spdx-epl-2": "epl 2 0", "spdx-isc": "isc", "spdx-lgpl-21": "lgpl 2 1( only)?", "spdx-lgpl-21-later": r"lgpl 2 1( or later|\+)",
+    "spdx-lgpl-3": "lgpl 3 0( only)?", "spdx-lgpl-3-later": r"lgpl 3 0( or later|\+)", "spdx-agpl-3": "agpl 3 0( only)?", "spdx-agpl-3-later": r"agpl 3 0( or later|\+)",
+    "spdx-unlicense": "unlicense", "spdx-cc0": "cc0 1 0", "spdx-cc-by-4": "cc by 4 0", "spdx-cc-by-sa-4": "cc by sa 4 0",
 }
-SPDX_RULES = (("GPL-2.0-or-later", ("spdx-gpl-2-later",)), ("GPL-3.0-or-later", ("spdx-gpl-3-later",)))
+SPDX_RULES = (
+    ("GPL-2.0-or-later", ("spdx-gpl-2-later",)), ("GPL-3.0-or-later", ("spdx-gpl-3-later",)), ("BSD-2-Clause", ("spdx-bsd-2",)), ("EPL-2.0", ("spdx-epl-2",)),
+    ("ISC", ("spdx-isc",)), ("LGPL-2.1-only", ("spdx-lgpl-21",)), ("LGPL-2.1-or-later", ("spdx-lgpl-21-later",)), ("LGPL-3.0-only", ("spdx-lgpl-3",)),
+    ("LGPL-3.0-or-later", ("spdx-lgpl-3-later",)), ("AGPL-3.0-only", ("spdx-agpl-3",)), ("AGPL-3.0-or-later", ("spdx-agpl-3-later",)),
+    ("Unlicense", ("spdx-unlicense",)), ("CC0-1.0", ("spdx-cc0",)), ("CC-BY-4.0", ("spdx-cc-by-4",)), ("CC-BY-SA-4.0", ("spdx-cc-by-sa-4",)),
+)
+# Fixed value: what may stand between the words of an SPDX tag and one of its identifiers, the others of the expression
+SPDX_OTHERS = r"(?:[a-z0-9.+-]+[ )]+(?:or|and|with)[ (]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -107,9 +127,19 @@ def _sequence(ids):
     return "".join(f"<{i}>" for i in ids)
 
 
+def _spdx_start(name):
+    return "spdx license identifier ".replace(" ", "[^a-z0-9]+") + SPDX_OTHERS + name.replace(" ", "[^a-z0-9]+")
+
+
 def _spdx(name):
-    """Pattern of an SPDX tag with this identifier and no longer one: MIT is not in MIT-0, nor GPL-2.0 in GPL-2.0+."""
-    return f"spdx license identifier {name}".replace(" ", "[^a-z0-9]+") + r"(?![a-z0-9+]|[-.][a-z0-9])"
+    """Pattern of an SPDX expression with this identifier and no longer one: MIT is not in MIT-0, nor GPL-2.0 in GPL-2.0+."""
+    return _spdx_start(name) + r"(?![a-z0-9+]|[-.][a-z0-9])"
+
+
+def _rule(ids):
+    """Pattern of a rule: its identifiers in order, others in between allowed but not what a rule before has used; and what stays of it."""
+    gap = "((?:<[^>]*>)*?)"
+    return gap.join(f"<{i}>" for i in ids), range(1, len(ids))
 
 
 def identifiers(text):
@@ -136,6 +166,7 @@ def identifiers(text):
 def scan(docs):
     """doc_id, sentence_ids, licences (comma-joined, in the order of the rules), n_licences and unmatched per row of ``docs``.
 
+    The identifiers of a rule have to come in its order; others may stand between them and stay open to the rules after it.
     A rule that matches several times is counted each time in n_licences and named once per rule; unmatched
     has the identifiers that no rule used. Null and empty texts have none of all that. Every row
     stands for itself, repeated ones alike and null doc_id as any; an empty table gives no rows; other
@@ -147,7 +178,8 @@ def scan(docs):
     for k, (licence, ids) in enumerate(RULES + SPDX_RULES):
         # one column per rule, so that no expression is repeated in the next
         steps[k] = (licence, len(_sequence(ids)) - 1)
-        out = out.withColumn(f"r{k}", F.replace(left, F.lit(_sequence(ids)), F.lit("|")))
+        pattern, gaps = _rule(ids)
+        out = out.withColumn(f"r{k}", F.regexp_replace(left, F.lit(pattern), F.lit("|" + "".join(f"${g}" for g in gaps))))
         times = (F.length(left) - F.length(f"r{k}")) / (len(_sequence(ids)) - 1)
         found.append(F.when(times > 0, licence))
         count = count + times.cast("long")
@@ -164,7 +196,7 @@ def oracle(table="documents"):
     hits = []
     for i, p in (*SENTENCES, *((i, None) for i in SPDX if i not in dict(SENTENCES))):
         if i in SPDX:
-            tag = f"spdx license identifier {SPDX[i]}".replace(" ", "[^a-z0-9]+") + tag_end
+            tag = _spdx_start(SPDX[i]) + tag_end
             hit = f"regexp_matches(c.marked, {quoted(tag)})"
         else:
             hit = f"regexp_matches(c.plain, {quoted(p)}) OR coalesce(regexp_matches(c.plain || ' ' || c.next, {quoted(p)}) AND NOT regexp_matches(c.next, {quoted(p)}), false)"
@@ -181,7 +213,8 @@ def oracle(table="documents"):
     ]
     rules = RULES + SPDX_RULES
     for k, (licence, seq) in enumerate(rules):
-        part = _sequence(seq)
-        times = f"(length(rest) - length(replace(rest, '{part}', '|'))) // {len(part) - 1}"
-        steps.append(f"s{k + 1} AS (SELECT doc_id, sentence_ids, replace(rest, '{part}', '|') AS rest, CASE WHEN {times} > 0 AND NOT list_contains(names, '{licence}') THEN list_append(names, '{licence}') ELSE names END AS names, n + {times} AS n FROM s{k})")
+        pattern, gaps = _rule(seq)
+        used = f"regexp_replace(rest, '{pattern}', '|{''.join(f'{chr(92)}{g}' for g in gaps)}', 'g')"
+        times = f"(length(rest) - length({used})) // {len(_sequence(seq)) - 1}"
+        steps.append(f"s{k + 1} AS (SELECT doc_id, sentence_ids, {used} AS rest, CASE WHEN {times} > 0 AND NOT list_contains(names, '{licence}') THEN list_append(names, '{licence}') ELSE names END AS names, n + {times} AS n FROM s{k})")
     return "WITH " + ",\n".join(steps) + f"\nSELECT doc_id, sentence_ids, array_to_string(names, ',') AS licences, n AS n_licences, replace(rest, '|', '') AS unmatched FROM s{len(rules)}"

@@ -52,6 +52,7 @@ def test_against_sql(docs):
 def test_notices_against_sql(spark):
     texts = [t for text, _ in OFFICIAL for t in (text, text.replace("\n", "\r\n"), text.upper())]
     tags = ["MIT", "MIT-0", "mit */", "GPL-2.0+", "GPL-2.0-or-later", "GPL-3.0-only WITH x", "MPL-2.0-no", "Apache 2.0", "BSD-3-Clause.", "MIT-", "MIT-->"]
+    texts += [t for t, _ in MORE]
     texts += [f"// SPDX-License-Identifier: {t}\nint x;" for t in tags] + ["MPL, v. 2.0. Mozilla Public License, v.  2.0; v. x", "gnu general public license v.2 v. 2"]
     _same_as_sql(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
@@ -150,3 +151,22 @@ def test_spdx_identifiers_end(spark):
             "GPL-3.0": "GPL-3.0-only", "GPL-3.0-only": "GPL-3.0-only", "GPL-3.0-or-later": "GPL-3.0-or-later", "GPL-3.0+": "GPL-3.0-or-later", "GPL-2.0-only WITH x": "GPL-2.0-only"}
     out = licences.scan(spark.createDataFrame([(k, f"// SPDX-License-Identifier: {s}\nint x;") for k, s in enumerate(want)], "doc_id long, text string")).collect()
     assert [r.licences for r in sorted(out)] == list(want.values())
+
+
+MORE = [
+    ("The MIT License (MIT)\n\nCopyright (c) 2020 N. N.", "MIT"),
+    ("This file is under the GNU GPL v3.", "GPL-3.0-only"),
+    ("Text available under CC BY-SA 3.0.", "CC-BY-SA-3.0"),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0", "MIT,Apache-2.0"),
+    ("// SPDX-License-Identifier: (EPL-2.0 OR GPL-2.0-or-later WITH Classpath-exception-2.0)", "GPL-2.0-or-later,EPL-2.0"),
+    ("# SPDX-License-Identifier: LGPL-2.1+ AND BSD-2-Clause", "BSD-2-Clause,LGPL-2.1-or-later"),
+    # another sentence between those of a rule
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of it. All rights reserved. The above copyright notice and this permission notice shall be included in all copies.", "MIT"),
+]
+
+
+def test_more_notices(spark):
+    out = licences.scan(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(MORE)], "doc_id long, text string")).collect()
+    assert [r.licences for r in sorted(out)] == [licence for _, licence in MORE]
+    last = max(out, key=lambda r: r.doc_id)
+    assert last.unmatched == "<all-rights>" and last.n_licences == 1
