@@ -9,6 +9,7 @@ other, so this is one pass without shuffle.
 
 import html as entities
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -82,9 +83,15 @@ def _walk(page, wrappers):
     Those in ``wrappers`` do not count as forms. In content, only an article or main makes a form a wrapper.
     """
     out, buffer = [], []  # buffer: (text, is link)
-    stack = [("", (0, 0), None, (0, 0), None)]  # tag, place, label, place below the innermost form if that were none, forms that could be wrappers
+    # tag, place, label of it or of what it is in, place below the innermost form if that were none, forms that could be wrappers
+    stack = [("", (0, 0), None, (0, 0), None)]
+    opened = Counter()  # how many of each tag are open, so that no tag is looked for in vain, however deep the page
     forms, found, articles, content = 0, set(), 0, False
 
+    def close(i):
+        opened.subtract(s[0] for s in stack[i:])
+        del stack[i:]
+
     def flush():
         if not buffer:
             return
@@ -92,18 +99,16 @@ def _walk(page, wrappers):
         if text:
             words = len(text.split())
             linked = sum(len(entities.unescape(t).split()) for t, link in buffer if link)
-            tags = [s[0] for s in stack]
             inside, outside = stack[-1][1]
             nonlocal content
             content = content or bool(inside and not outside)
-            heading = any(t in ("h1", "h2", "h3", "h4", "h5", "h6") for t in tags[-4:])
-            label = next((s[2] for s in reversed(stack) if s[2] is not None), None)
-            out.append((text, (words, min(1.0, linked / words), inside, outside, heading, "li" in tags, text[-1] in ".!?…。:;\"”"), label))
+            heading = any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack[-4:])
+            out.append((text, (words, min(1.0, linked / words), inside, outside, heading, opened["li"] > 0, text[-1] in ".!?…。:;\"”"), stack[-1][2]))
         buffer.clear()
 
     def text(piece):
         if piece:
-            buffer.append((piece, any(s[0] == "a" for s in stack)))
+            buffer.append((piece, opened["a"] > 0))
 
     at, unclosed = 0, set()
     page = page or ""
@@ -124,9 +129,9 @@ def _walk(page, wrappers):
                 continue
             flush()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 if tag in INLINE and stack[i][0] not in INLINE:
                     break
@@ -141,14 +146,14 @@ def _walk(page, wrappers):
         if tag in VOID:
             continue
         ends = {"p"} if tag in CLOSES_P else SAME.get(tag, ())
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, 0, -1) if any(opened[t] for t in ends) else ():
             if stack[i][0] in ends:
-                del stack[i:]
+                close(i)
                 break
             if stack[i][0] in HOLDERS:
                 break
         label = re.search(r'data-y="([01])"', attributes)
-        _, place, _, free, inner = stack[-1]
+        _, place, above, free, inner = stack[-1]
         talk = TALK_WORDS
         if tag in ("html", "body", "main"):
             talk = frozenset()
@@ -174,7 +179,8 @@ def _walk(page, wrappers):
                     around = around[2]
             else:
                 free = place
-        stack.append((tag, place, int(label[1]) if label else None, free, inner))
+        stack.append((tag, place, int(label[1]) if label else above, free, inner))
+        opened[tag] += 1
     flush()
     return out, frozenset(found)
 
@@ -215,6 +221,12 @@ LABELLED_PAGES = (
     f'<div class="story" data-y="1"><p><a href="/m">The map of the valley</a></p><p>Seen from above</p></div>',
     f'{_NAV}<div data-y="1"><h2>The bridge</h2><p>{_MORE} {_LONG}</p><p>{_SHORT} {_LONG}</p></div><div><p><a href="/a">Archive</a> <a href="/b">Letters</a></p></div>',
     f'<article data-y="1"><ul><li><a href="/1">Level of the river</a></li><li>Level of the lake</li></ul></article><div><a href="/up">Back to the top</a></div>',
+    # no name tells here, and the same short blocks are text between long ones and are not between links
+    f'<div><div><a href="/">Home</a></div><div>It snowed.</div><div><a href="/n">News of the day</a></div><div>Why not</div><div><a href="/l">Letters</a></div></div>'
+    f'<div data-y="1"><div>{_LONG}</div><div>It snowed.</div><div>{_MORE}</div><div>Why not</div><div>{_LONG}</div></div>'
+    f'<div><a href="/1">Snow on the pass closes the road again</a></div><div>Read by many.</div><div><a href="/2">The new school opens its doors</a></div>',
+    f'<div><a href="/">Home</a></div><div><a href="/n">News</a></div><div>All the news of the valley.</div><div data-y="1"><div>Rain in the hills</div><div>{_LONG}</div><div>{_MORE} {_LONG}</div></div><div>© 2020 the valley paper · All rights reserved</div>',
+    f'<div><a href="/">Home</a></div><div>News since 1890, every day.</div><div data-y="1"><div>Water in the meadows</div><div>{_LONG} {_MORE}</div><div>No.</div><div>{_MORE}</div></div><div>© The paper, printed in the valley since 1890.</div>',
 )
 
 

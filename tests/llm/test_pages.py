@@ -1,3 +1,6 @@
+import re
+import time
+
 import numpy as np
 import pytest
 
@@ -64,3 +67,43 @@ WHOLE = {
 @pytest.mark.parametrize("page", WHOLE)
 def test_containers_of_the_whole_page(page):
     assert pages.main_text(page, TREE) == WHOLE[page]
+
+
+def _neutral(page):
+    """The page without class, id and role, every sectioning element a div."""
+    page = re.sub(r"\s(class|id|role)\s*=\s*('[^']*'|\"[^\"]*\"|[^\s>]+)", "", page)
+    return re.sub(r"<(/?)(article|main|nav|aside|header|footer|section)\b", r"<\1div", page)
+
+
+LINKS = "".join(f"<li><a href='/{w}'>{w} of the day</a></li>" for w in ("News", "Sport", "Weather", "Letters"))
+OTHER = "Nobody had thought of the bridge until then, but now it was all that people spoke about in the town and beyond it."
+PLAIN = [
+    f"<body><nav class='x'><ul>{LINKS}</ul></nav><article><p>{P} {OTHER}</p><p>{OTHER}</p><p>Why not.</p><p>{P}</p></article><footer><a href='/i'>Imprint</a> <a href='/c'>Contact</a></footer></body>",
+    f"<body><div class='menu'><a href='/'>Home</a> <a href='/n'>News</a></div><main><p>{OTHER} {P}</p><p>It rained.</p><p>{P}</p></main><aside><ul>{LINKS}</ul></aside></body>",
+]
+
+
+def test_pages_without_telling_names():
+    """Where no name tells what an element is, words and links of a block and its neighbours do."""
+    for page in PLAIN:
+        assert pages.main_text(_neutral(page), TREE) == pages.main_text(page, TREE) != ""
+
+
+def test_neighbours_decide():
+    """A short block between long ones is text, the same block between links is not."""
+    text = [p for page in PLAIN for p in [_neutral(page)]]
+    changed = 0
+    for page in text:
+        found = pages.blocks(page)
+        rows = pages.features(found)
+        turned = rows.copy()
+        turned[:, 2:6] = np.roll(rows[:, 2:6], len(rows) // 2, axis=0)
+        changed += sum(pages.decide(TREE, a) != pages.decide(TREE, b) for a, b in zip(rows.tolist(), turned.tolist(), strict=True))
+    assert changed > 0
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 60_000, "<span>" * 60_000 + "</p>" * 60_000 + "<p>x" * 2_000, "<p>a</b>" * 60_000, "<a href=x>y" * 30_000])
+def test_deep_pages_take_time_in_proportion(page):
+    start = time.process_time()
+    pages.main_text(page, TREE)
+    assert time.process_time() - start < 20
