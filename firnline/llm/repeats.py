@@ -18,6 +18,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -184,12 +185,23 @@ def _repeated(t):
     return pa.table({"uid": run[0], "lo": run[1], "hi": run[2]})
 
 
+def _packed(batches):
+    """Texts as compressed bytes, as they go through shuffles whole."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for start in range(0, len(batch), 256):
+            part = batch.slice(start, 256)
+            packed = [pack.compress((t.as_py() or "").encode("utf-8")) for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("uid"), pa.array(packed, pa.binary())], names=["doc_id", "uid", "packed"])
+
+
 def _cut_out(batches):
     """The text of each wanted stretch."""
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        uid, texts, wanted = batch.column("uid"), batch.column("text"), batch.column("wanted")
+        uid, packed, wanted = batch.column("uid"), batch.column("packed"), batch.column("wanted")
         for i in range(len(batch)):
-            data, some = texts[i].as_py().encode("utf-8"), wanted[i].as_py()
+            data, some = unpack.decompress(packed[i].as_py()), wanted[i].as_py()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w["anchor"] for w in some]), pa.array([w["hot"] for w in some]), pa.array([uid[i].as_py()] * len(some)), pa.array([w["lo"] for w in some]),
                  pa.array([data[w["lo"] : w["hi"] + LENGTH] for w in some], pa.binary())], names=["anchor", "hot", "uid", "lo", "text"])
@@ -213,7 +225,7 @@ def _by_digest(pieces):
     return later.select("uid", F.col("at").alias("lo"), F.col("at").alias("hi"))
 
 
-def _compared(texts, hot):
+def _compared(texts, packed, hot):
     """Runs of later copies, and stretches to search: the first of equal ones where an anchor has several, and their text."""
     found = texts.mapInArrow(_candidates, CANDIDATE)
     # the copies met in a task are settled; they come along under the number of their text, apart from all anchors
@@ -227,8 +239,8 @@ def _compared(texts, hot):
     found = found.where("later OR kinds > 1").select(F.when(~F.col("later"), F.col("key")).alias("anchor"), "uid", first.alias("lo"), last.alias("hi"), (F.col("kinds") > hot).alias("hot"))
     found = settled(found, "stretches")
     wanted = found.where("anchor IS NOT NULL").groupBy("uid").agg(F.collect_list(F.struct("anchor", "lo", "hi", "hot")).alias("wanted"))
-    pieces = texts.join(settled(wanted, "wanted"), "uid").mapInArrow(_cut_out, "anchor long, hot boolean, uid long, lo long, text binary")
-    return found, pieces
+    pieces = packed.join(settled(wanted, "wanted"), "uid").mapInArrow(_cut_out, "anchor long, hot boolean, uid long, lo long, text binary")
+    return found, settled(pieces, "pieces")
 
 
 def _searched(found, pieces, unit_rows):
@@ -244,11 +256,12 @@ def _searched(found, pieces, unit_rows):
 
 def _kept(batches):
     """Bytes, removed bytes and spans, and the digest of what stays of each text."""
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         out = []
         runs = batch.column("runs")
-        for i, text in enumerate(batch.column("text")):
-            data = (text.as_py() or "").encode("utf-8")
+        for i, packed in enumerate(batch.column("packed")):
+            data = unpack.decompress(packed.as_py())
             spans, kept, digest, at = 0, 0, hashlib.sha256(), 0
             for lo, hi in sorted((r["lo"], r["hi"]) for r in runs[i].as_py() or ()):
                 if lo > at or not spans:
@@ -283,7 +296,8 @@ def remove_repeats(docs, hot=HOT, unit_rows=UNIT_ROWS):
     """
     rows = _identified(docs)
     texts = rows.select("uid", F.coalesce("text", F.lit("")).alias("text"))
-    runs = _searched(*_compared(texts, hot), unit_rows)
+    packed = rows.select("doc_id", "uid", "text").mapInArrow(_packed, "doc_id long, uid long, packed binary")
+    runs = _searched(*_compared(texts, packed, hot), unit_rows)
     runs = settled(runs.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")), "runs")
-    joined = rows.join(runs, "uid", "left").select("doc_id", "text", "runs")
+    joined = packed.join(runs, "uid", "left").select("doc_id", "packed", "runs")
     return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
