@@ -664,6 +664,15 @@ def poly_fit_quadratic(spark, sf):
     )
 
 
+@query("poly_fit_residuals", duck([], """SELECT l_returnflag, n AS pairs, round(1e9 * sum(pow(l_extendedprice - (c2 * l_quantity * l_quantity + c1 * l_quantity + c0), 2)) / n, 3) AS mean_square
+FROM lineitem JOIN q USING (l_returnflag) GROUP BY 1, 2""", """lineitem AS (SELECT l_returnflag, l_quantity, 2 * l_quantity * l_quantity - 3 * l_quantity + 1 + l_tax / 100 AS l_extendedprice FROM main.lineitem)""", QUADRATIC))
+def poly_fit_residuals(spark, sf):
+    """Residuals of a very good fit, a millionth of the spread of the values."""
+    x = F.col("l_quantity")
+    rows = views.load(spark, sf, "lineitem").select("l_returnflag", "l_quantity", (2 * x * x - 3 * x + 1 + F.col("l_tax") / 100).alias("y"))
+    return fit.poly_fit(rows, "l_returnflag", "l_quantity", "y", 2).select("l_returnflag", "pairs", F.round(F.col("rss") / F.col("pairs") * 1e9, 3).alias("mean_square"))
+
+
 @query("poly_curve", duck([], """SELECT l_returnflag, point, round(lo + point * ((hi - lo) / 49), 9) AS x,
   round((c2 * (lo + point * ((hi - lo) / 49)) + c1) * (lo + point * ((hi - lo) / 49)) + c0, 3) AS y
 FROM q, (SELECT CAST(unnest(generate_series(0, 49)) AS INTEGER) AS point) g""", QUADRATIC))
@@ -701,6 +710,20 @@ def kde(spark, sf):
     return rounded(rounded(density.kernel_density(views.load(spark, sf, "conductivity"), "slt"), 7, "x"), 9, "density")
 
 
+_WIDE = "CAST(ceil(30 / ((hi - 100) / 9999)) AS INTEGER)"
+
+
+@query("kde_binned", duck(["conductivity"], f"""SELECT point, round(100 + point * ((hi - 100) / 9999), 7) AS x, round(sum(w * exp(-0.5 * pow(k * ((hi - 100) / 9999) / 5, 2))) / (any_value(total) * 5 * sqrt(2 * pi())), 9) AS density
+FROM (SELECT CAST(bin + k AS INTEGER) AS point, w, k, hi, total FROM bins, gmax, (SELECT count(*) AS total FROM conductivity) t, (SELECT unnest(generate_series(-{_WIDE}, {_WIDE})) AS k FROM gmax) r) s
+WHERE point BETWEEN 0 AND 9999 GROUP BY point, hi""", GRID_END,
+    "placed AS (SELECT (slt - 100) / ((hi - 100) / 9999) AS spot FROM conductivity, gmax)",
+    "bins AS (SELECT bin, sum(w) AS w FROM (SELECT floor(spot) AS bin, 1 - (spot - floor(spot)) AS w FROM placed UNION ALL SELECT floor(spot) + 1, spot - floor(spot) FROM placed) b GROUP BY 1)"))
+def kde_binned(spark, sf):
+    """The density from linear bins, in DataFrame functions; every point of the grid is within the kernel's reach of a value or 0."""
+    out = density.binned_density(views.load(spark, sf, "conductivity"), "slt").where("density > 0")
+    return rounded(rounded(out, 7, "x"), 9, "density")
+
+
 def _components(spark, sf):
     rows = views.load(spark, sf, "conductivity").withColumn("part", F.when(F.col("slt") < 250, 1).otherwise(2))
     parts = rows.groupBy("part").agg(F.avg("slt").alias("mean"), F.stddev_pop("slt").alias("std"), F.count("*").alias("_n"))
@@ -963,6 +986,20 @@ def file_diff(spark, sf):
     return manifest.file_changes(_listing(spark, sf, "F", "O"), _listing(spark, sf, "O", "P"))
 
 
+@query("file_unseen", duck(["files"], """SELECT path FROM listing WHERE path NOT IN (SELECT path FROM seen)
+UNION ALL SELECT regexp_replace(path, '[.]json$', '_again.json') FROM listing WHERE path LIKE '%Wolkenstein_LT%'""", FILES_SQL))
+def file_unseen(spark, sf):
+    """A second look at folders with a stored manifest: what is new in those that have changed."""
+    path = scratch_dir(spark, "manifest")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    seen, now = _listing(spark, sf, "O", "P").withColumn("modified", at), _listing(spark, sf, "F", "O").withColumn("modified", at)
+    again = now.where(F.col("path").contains("Wolkenstein_LT")).select(F.regexp_replace("path", "[.]json$", "_again.json").alias("path"), (F.col("modified") + F.expr("INTERVAL 1 DAY")).alias("modified"))
+    first, folders = manifest.unseen_files(spark, seen, path)
+    manifest.note_files(first, path)
+    manifest.note_folders(folders, path)
+    return manifest.unseen_files(spark, now.unionByName(again), path)[0]
+
+
 @query("file_manifest", duck(["files"], "SELECT path FROM listing UNION SELECT path FROM seen", FILES_SQL))
 def file_manifest(spark, sf):
     return manifest.next_manifest(_listing(spark, sf, "F", "O"), _listing(spark, sf, "O", "P"))
@@ -1152,6 +1189,62 @@ def overlay_newest(spark, sf):
     return store.read_table(spark, raw).select("station_id", "ts", *SENSOR_COLS)
 
 
+@query("ingest_any_order", duck(["readings"], f"SELECT station_id, ts, {WINNER} FROM readings GROUP BY 1, 2"))
+def ingest_any_order(spark, sf):
+    """Three deliveries that share their times, merged out of order: the highest sequence number wins in every cell."""
+    raw = scratch_dir(spark, "raw")
+    for rest in (1, 2, 0):
+        rows = views.load(spark, sf, "readings").where(F.col("event_id") % 3 == rest)
+        update.ingest(spark, rows, raw, "event_id", newest=True)
+    return store.read_table(spark, raw).select("station_id", "ts", *SENSOR_COLS)
+
+
+_KEPT = """kept AS (SELECT * FROM readings WHERE station_id <> 5
+  AND NOT (station_id = 3 AND ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-09 12:00:00'))"""
+_body, _ctes = _processed_sql("aligned")
+
+
+@query("delete_store", duck(["readings"], _body, _KEPT, _pivot("kept"), ALIGNED.replace("FROM readings", "FROM kept"), *_ctes))
+def delete_store(spark, sf):
+    """Days of one station and all of another taken out of the raw table and of the periods; as if they had never come."""
+    raw, done = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    update.ingest_and_rebuild(spark, views.load(spark, sf, "readings"), raw, done, "event_id", newest=False)
+    update.delete_span(spark, raw, 3, "2024-01-05 00:00:00", "2024-01-09 12:00:00", done)
+    update.delete_span(spark, raw, 5, "2000-01-01 00:00:00", "2100-01-01 00:00:00", done)
+    out = store.read_table(spark, done).where("rule != 'movavg'").drop("year")
+    return rounded(out, 9, "n", "sd", "gs")
+
+
+@query("update_one_day", _PROCESSED_RAW)
+def update_one_day(spark, sf):
+    """A day that comes after all others: the periods it touches are computed anew, and all are those of a full rebuild."""
+    raw, done = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    rows = views.load(spark, sf, "readings")
+    late = F.to_date("ts") == F.lit("2024-01-10").cast("date")
+    for part in (rows.where(~late), rows.where(late)):
+        update.ingest_and_rebuild(spark, part, raw, done, "event_id", newest=False)
+    return rounded(store.read_table(spark, done).where("rule != 'movavg'").drop("year"), 9, "n", "sd", "gs")
+
+
+_AUTUMN = """autumn AS (SELECT station_id, sensor, value, event_id, ts_utc, ts_utc + CASE WHEN ts_utc < TIMESTAMP '2020-10-25 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS ts
+  FROM (SELECT *, TIMESTAMP '2020-10-24 22:00:00' + to_minutes(CAST(event_id % 48 * 10 AS INTEGER)) AS ts_utc FROM (SELECT station_id, sensor, value, event_id FROM readings) q) r)"""
+_in_utc = lambda sql: sql.replace("ORDER BY ts)", "ORDER BY ts_utc)").replace("SELECT station_id, ts, lt AS lt0", "SELECT station_id, ts_utc, ts, lt AS lt0")
+
+
+@query("processed_autumn_day", duck(["readings"], _body, _AUTUMN,
+    _pivot("autumn").replace("station_id, ts,", "station_id, ts_utc, any_value(ts) AS ts,", 1),
+    ALIGNED.replace("FROM readings", "FROM autumn").replace("(ts)", "(ts_utc)").replace("ts BETWEEN", "ts_utc BETWEEN").replace("lo, ts)", "lo, ts_utc)"),
+    *map(_in_utc, _ctes)))
+def processed_autumn_day(spark, sf):
+    """The day with the hour that comes twice: readings follow each other by instant, periods are local."""
+    raw, done = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    instant = F.lit("2020-10-24 22:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("event_id") % 48 * 10).cast("int"))
+    hours = F.when(F.col("ts_utc") < F.lit("2020-10-25 01:00:00").cast("timestamp_ntz"), 2).otherwise(1)
+    rows = views.load(spark, sf, "readings").withColumn("ts_utc", instant).withColumn("ts", F.col("ts_utc") + F.make_dt_interval(hours=hours))
+    update.ingest_and_rebuild(spark, rows, raw, done, "event_id", newest=False)
+    return rounded(store.read_table(spark, done).where("rule != 'movavg'").drop("year"), 9, "n", "sd", "gs")
+
+
 @query("ingest_single_sensor", duck(["readings"], f"SELECT station_id, ts, {WINNER} FROM readings GROUP BY 1, 2"))
 def ingest_single_sensor(spark, sf):
     """One sensor per delivery, the anchor sensor last but one: nothing is lost."""
@@ -1226,6 +1319,18 @@ def stream_monthly(spark, sf):
     return ingest.closed_months(spark.read.parquet(f"{path}/out"))
 
 
+_CLOSED_MONTH = "CAST(last_day(CAST(ts AS DATE)) AS TIMESTAMP)"
+
+
+@query("stream_months_closed", duck(["season_readings"], f"""SELECT station_id, sensor, {_CLOSED_MONTH} AS period, count(value) AS readings, sum(value) AS total, avg(value) AS mean
+FROM season_readings GROUP BY 1, 2, 3 HAVING {_CLOSED_MONTH} + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND <= (SELECT max(ts) - INTERVAL 1 HOUR FROM season_readings)"""))
+def stream_months_closed(spark, sf):
+    """Months of the season stream, closed by the stream itself."""
+    path = scratch_dir(spark, "stream")
+    ingest.run_to_table(ingest.closed_periods(views.load_stream(spark, sf, "season_readings"), "monthly"), f"{path}/out", f"{path}/state")
+    return spark.read.parquet(f"{path}/out")
+
+
 @query("stream_portal_files", duck(["portal"], f"""SELECT s.station_id, p.ts, {", ".join(f"max(value) FILTER (WHERE sensor = '{c.upper()}') AS {c}" for c in SENSOR_COLS)}
 FROM ({PORTAL_SQL}) p JOIN stations s ON s.station_name = p.station GROUP BY 1, 2""", STATIONS_SQL))
 def stream_portal_files(spark, sf):

@@ -47,7 +47,12 @@ def pivot_delivery(readings, order=None, newest=True, key="station_id"):
     ``order`` the cells have no numbers.
     """
     hit = F.col("sensor").isin(*SENSORS) & F.col("value").isNotNull()
-    number = F.lit(0).cast("long") if order is None else F.col(order).cast("long") * (1 if newest else -1)
+    if order is None:
+        number = F.lit(0).cast("long")
+    else:
+        in_time = dict(readings.dtypes)[order].startswith("timestamp")
+        number = F.unix_micros(F.col(order).cast("timestamp")) if in_time else F.col(order).cast("long")
+        number = number * (1 if newest else -1)
     # copies under one number are settled first, so that the choice below has no ties
     single = readings.where(hit).groupBy(key, "ts_utc", "sensor", number.alias("_seq")).agg(F.max("value").alias("value"), F.min("ts").alias("ts"))
     cells = []

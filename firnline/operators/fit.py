@@ -48,8 +48,9 @@ def _solved(sums, degree):
 def poly_fit(df, key, x, y, degree, order=None):
     """Polynomial of degree 1 to 3 per group: coefs (highest power first), rss, pairs, first_x, last_x.
 
-    Two passes over the data, each one aggregation: means and spread, then power sums of
-    the centred and scaled x, from which coefficients and residual sum follow as columns.
+    Three passes over the data, each one aggregation: means and spread, power sums of the centred and scaled x, from
+    which the coefficients follow as columns, and the residuals themselves. A difference of sums would have
+    lost the digits of a good fit; the sum of squared residuals has them, and an error of the coefficients enters it by its square only.
     The per-group rows are settled between the passes, so that joining them does not shuffle
     the data by group. Groups with too few different x get null coefficients. ``order`` says which
     x is first and last (default: x).
@@ -71,14 +72,19 @@ def poly_fit(df, key, x, y, degree, order=None):
             out = out * F.col("t")
         return out
 
+    centred = ((F.col("x") - F.col("mx")) / F.col("sx")).alias("t"), (F.col("y") - F.col("my")).alias("u")
     sums = (
-        rows.join(stats, "key")
-        .select("key", "mx", "my", "sx", "first_x", "last_x", ((F.col("x") - F.col("mx")) / F.col("sx")).alias("t"), (F.col("y") - F.col("my")).alias("u"))
-        .groupBy("key", "mx", "my", "sx", "first_x", "last_x")
+        rows.join(stats, "key").select("key", *centred).groupBy("key")
         .agg(*[F.sum(power(k)).alias(f"x{k}") for k in range(2 * degree + 1)],
              *[F.sum(power(k) * F.col("u")).alias(f"y{k}") for k in range(degree + 1)], F.sum(F.col("u") * F.col("u")).alias("uu"))
     )
-    fits = _solved(sums, degree)
+    solved = _solved(sums, degree).select("key", "x0", "uu", *[f"c{k}" for k in range(degree + 1)])
+    solved = settled(solved.join(stats, "key"), "fits")
+    value = F.lit(0.0)
+    for k in reversed(range(degree + 1)):
+        value = value * F.col("t") + F.col(f"c{k}")
+    left = rows.join(solved, "key").select("key", *[f"c{k}" for k in range(degree + 1)], *centred).select("key", (F.col("u") - value).alias("r"))
+    fits = solved.join(settled(left.groupBy("key").agg(F.sum(F.col("r") * F.col("r")).alias("left")), "residuals"), "key")
     # c in powers of (x - mx) / sx to powers of x
     scaled = [F.col(f"c{k}") / F.pow("sx", F.lit(k)) for k in range(degree + 1)]
     plain = []
@@ -86,11 +92,10 @@ def poly_fit(df, key, x, y, degree, order=None):
         terms = [scaled[k] * comb(k, power_of) * F.pow(-F.col("mx"), F.lit(k - power_of)) for k in range(power_of, degree + 1)]
         plain.append(sum(terms[1:], terms[0]))
     plain[0] = plain[0] + F.col("my")
-    explained = sum((F.col(f"c{k}") * F.col(f"y{k}") for k in range(1, degree + 1)), F.col("c0") * F.col("y0"))
     coefs = F.when(F.col(f"c{degree}").isNotNull(), F.array(*reversed(plain)))
-    left = F.col("uu") - explained  # below the rounding of the sums it is 0
+    left = F.col("left")  # below the rounding of the residuals it is 0
     return fits.select(
-        F.col("key").alias(key), coefs.alias("coefs"), F.when(left <= F.col("uu") * 1e-14, 0.0).otherwise(left).alias("rss"),
+        F.col("key").alias(key), coefs.alias("coefs"), F.when(left <= F.col("uu") * 1e-28, 0.0).otherwise(left).alias("rss"),
         F.col("x0").cast("long").alias("pairs"), "first_x", "last_x")
 
 

@@ -1,8 +1,10 @@
 """One-dimensional Gaussian mixture by expectation maximisation on aggregates.
 
-The values are compressed to (value, count) once. Every iteration is one aggregation
-over that frame which serves all restarts together; the driver holds nothing but the
-k weights, means and deviations of each restart.
+The values are put into a fixed number of bins once, each with the count, mean and squared deviations of its values.
+Every iteration is one aggregation over those rows, however many values there are, which serves all restarts
+together; the driver holds nothing but the k weights, means and deviations of each restart. Responsibilities are
+those of the bin means, moments those of the values, so what is lost is of the order of (bin width / deviation)^2, and nothing
+where a bin has one distinct value.
 """
 
 import math
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from ..schema import values_table
 
 VARIANCE_FLOOR = 1e-6
+BINS = 1 << 16
 
 
 def rank_components(components):
@@ -32,6 +35,25 @@ def histogram(df, column):
     )
 
 
+def binned(df, column, bins=BINS):
+    """At most ``bins`` rows (value, cnt, within) of even width: mean, count and squared deviations of the values of a bin.
+
+    NaN and null do not take part.
+    """
+    v = F.col(column).cast("double")
+    values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    if low is None:
+        raise ValueError(f"no values in {column}")
+    width = (high - low) / bins or 1.0
+    bin_ = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+    off = F.col("v") - (F.lit(low) + F.col("bin") * F.lit(width))  # small, so that squares keep their digits
+    sums = values.withColumn("bin", bin_).groupBy("bin").agg(F.count("*").alias("cnt"), F.sum(off).alias("s"), F.sum(off * off).alias("q"))
+    mean = F.col("s") / F.col("cnt")
+    return sums.select(
+        (F.lit(low) + F.col("bin") * F.lit(width) + mean).alias("value"), "cnt", F.greatest(F.col("q") - F.col("s") * mean, F.lit(0.0)).alias("within"))
+
+
 def start_quantiles(k, n_init, seed):
     """Where the restarts put their means: evenly spaced quantiles first, then random quantiles."""
     rng = np.random.default_rng(seed)
@@ -66,11 +88,11 @@ def _params_sql(states):
 
 
 def _expectation(hist, states, k):
-    """One pass over the histogram: per restart the responsibilities' sums and the log-likelihood."""
+    """One pass over the bins: per restart the responsibilities' sums and the log-likelihood."""
     comps = range(k)
     half_log_2pi = 0.5 * math.log(2 * math.pi)
     rows = (
-        hist.selectExpr("value", "cnt", f"inline({_params_sql(states)})")
+        hist.selectExpr("value", "cnt", "within", f"inline({_params_sql(states)})")
         .selectExpr("*", *[
             f"w{j} - ln(s{j}) - {half_log_2pi!r}D - 0.5D * ((value - m{j}) / s{j}) * ((value - m{j}) / s{j}) AS l{j}" for j in comps
         ])
@@ -81,7 +103,7 @@ def _expectation(hist, states, k):
     sums = ["sum(cnt) AS total", "sum(cnt * (top + ln(tot))) AS ll"]
     for j in comps:
         resp = f"cnt * e{j} / tot"
-        sums += [f"sum({resp}) AS n{j}", f"sum({resp} * (value - m{j})) AS d{j}", f"sum({resp} * (value - m{j}) * (value - m{j})) AS q{j}"]
+        sums += [f"sum({resp}) AS n{j}", f"sum({resp} * (value - m{j})) AS d{j}", f"sum({resp} * (value - m{j}) * (value - m{j}) + e{j} / tot * within) AS q{j}"]
     return {row["r"]: row for row in rows.groupBy("r").agg(*map(F.expr, sums)).collect()}
 
 
@@ -95,12 +117,12 @@ def _maximise(row, comps):
     return out
 
 
-def gaussian_mixture(df, column, k, max_iter=1000, tol=1e-3, n_init=10, seed=0):
+def gaussian_mixture(df, column, k, max_iter=1000, tol=1e-3, n_init=10, seed=0, bins=BINS):
     """Components of the best restart: component (heaviest first), mean, weight, std.
 
     Runs jobs when called, like any model fit.
     """
-    hist = histogram(df, column).persist(StorageLevel.MEMORY_AND_DISK)
+    hist = binned(df, column, bins).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         states = dict(enumerate(_starts(df, column, k, n_init, seed)))
         lower = dict.fromkeys(states, -math.inf)

@@ -22,7 +22,7 @@ from ..operators.resample import resample_rules
 from ..operators.sizes import settled
 from ..schema import PERIOD_RULES, PORTAL_START, SENSOR_COLS, rule_name
 from ..sources.historic import historic_wide
-from ..sources.manifest import file_changes, list_files, station_files
+from ..sources.manifest import list_files, note_files, note_folders, station_files, unseen_files
 from ..sources.portal import parse_portal, portal_records, rejected, with_station_id
 from ..sources.store import (
     PROCESSED,
@@ -30,13 +30,17 @@ from ..sources.store import (
     anchor,
     days_of,
     facts_of,
+    known_from,
     known_stations,
     merge_raw,
+    merged_facts,
+    noted_facts,
     read_raw,
     read_table,
     remove_raw,
     replace_periods,
     station_facts,
+    with_epoch,
     write_processed,
 )
 from ..sources.tables import stations
@@ -133,23 +137,32 @@ def ingest(spark, readings, raw_path, order=None, newest=False, step_seconds=STE
     or of its first reading while there is none, are kept aside, and come back when the grid turns out to be
     another. Span limits are applied when periods are formed, so a reading outside today's span is not lost.
     """
-    if "ts_utc" not in readings.columns:
-        readings = readings.withColumn("ts_utc", F.col("ts"))
-    before = known_stations(spark, raw_path)
+    return _ingest(spark, _with_instant(readings), raw_path, order, newest, step_seconds)[0]
+
+
+def _with_instant(readings):
+    return readings if "ts_utc" in readings.columns else readings.withColumn("ts_utc", F.col("ts"))
+
+
+def _ingest(spark, readings, raw_path, order, newest, step_seconds=STEP_SECONDS, facts=None):
+    """ingest, and what was known of the stations before (or None) and is known now."""
+    before = noted_facts(spark, raw_path)
     before = None if before is None else settled(before, "before")
-    add_facts(settled(station_facts(readings), "facts"), raw_path)  # first: if the merge is lost, facts of readings that come again do no harm
-    known = settled(known_stations(spark, raw_path), "origin")
-    wide = pivot_delivery(readings, order, newest).join(known.select("station_id", "origin"), "station_id")
+    facts = settled(with_epoch(station_facts(readings) if facts is None else facts, before), "facts")
+    add_facts(facts, raw_path)  # first: if the merge is lost, facts of readings that come again do no harm
+    now = known_from(facts if before is None else settled(merged_facts(before.unionByName(facts)), "now"))
+    wide = pivot_delivery(readings, order, newest).join(now.select("station_id", "origin"), "station_id")
     off = wide.where(~_on_grid(step_seconds)).drop("origin")
     left_out = settled(off.groupBy("station_id").agg(F.count("*").alias("records")).withColumn("reason", F.lit("off grid")), "off")
     merge_raw(spark, wide.where(_on_grid(step_seconds)).drop("origin"), raw_path)
     if not left_out.isEmpty():
         merge_raw(spark, off, f"{raw_path}-off")
-    if before is not None:
-        changed = settled(_changed_grids(before, known, step_seconds), "changed")
-        if not changed.isEmpty():
-            _regrid(spark, changed, raw_path, step_seconds)
-    return left_out
+    if before is None:
+        return left_out, None, now
+    changed = _changed_grids(known_from(before), now, step_seconds)
+    if not changed.isEmpty():
+        _regrid(spark, settled(changed, "changed"), raw_path, step_seconds)
+    return left_out, known_from(before), now
 
 
 # --- what a change touches ---------------------------------------------------------------------------
@@ -218,13 +231,12 @@ def change_set(days, touched, before, known):
     return days.withColumnRenamed("_needed", "needed")
 
 
-def rebuild(spark, raw_path, processed_path, touched, before, gone=None, rules=PERIOD_RULES):
+def rebuild(spark, raw_path, processed_path, touched, before, known, gone=None, rules=PERIOD_RULES):
     """Bring the processed table up to date after a change of the raw one.
 
-    ``touched`` (station_id, day) are the local days with changed rows, ``before`` (settled) the known stations before the change,
-    ``gone`` (station_id, ts_utc) the rows that were taken out.
+    ``touched`` (station_id, day) are the local days with changed rows, ``before`` and ``known`` the known stations before the change
+    (None if there was nothing) and now, ``gone`` (station_id, ts_utc) the rows that were taken out.
     """
-    known = settled(known_stations(spark, raw_path), "stations")
     if before is None:
         before = known.limit(0)
     plan = settled(change_set(days_of(spark, raw_path), touched, before, known), "plan")
@@ -257,13 +269,11 @@ FILES_PER_BATCH = 10_000
 
 def ingest_and_rebuild(spark, readings, raw_path, processed_path, order="load_seq", newest=True):
     """Take in a delivery and rebuild the periods it touches; returns what is off the grid."""
-    if "ts_utc" not in readings.columns:
-        readings = readings.withColumn("ts_utc", F.col("ts"))
-    before = known_stations(spark, raw_path)
-    before = None if before is None else settled(before, "before")
-    touched = settled(readings.select("station_id", F.to_date("ts").alias("day")).distinct(), "days")
-    left_out = ingest(spark, readings, raw_path, order, newest)
-    rebuild(spark, raw_path, processed_path, touched, before)
+    readings = _with_instant(readings)
+    # one pass for the days that are touched and for what the stations measure
+    days = settled(station_facts(readings.withColumn("day", F.to_date("ts")), "day").withColumn("epoch", F.lit(0)), "days")
+    left_out, before, now = _ingest(spark, readings, raw_path, order, newest, facts=merged_facts(days).drop("epoch"))
+    rebuild(spark, raw_path, processed_path, days.select(F.col("station_id").cast("int").alias("station_id"), "day"), before, now)
     return left_out
 
 
@@ -285,15 +295,17 @@ def delete_span(spark, raw_path, station_id, first, last, processed_path=None):
             taken.append((path, gone))
     if not taken:
         return 0
-    before = settled(known_stations(spark, raw_path, read_raw(spark, raw_path)), "before")
+    noted = noted_facts(spark, raw_path)
+    noted = settled(with_epoch(facts_of(read_raw(spark, raw_path)), None) if noted is None else noted, "before")
     for path, gone in taken:
         remove_raw(spark, gone, path)
-    left = _facts_after(spark, raw_path, station_id)
-    add_facts(left, raw_path, renew=True)
+    left = settled(with_epoch(_facts_after(spark, raw_path, station_id), noted, 1), "left")
+    add_facts(left, raw_path)
     gone = reduce(DataFrame.unionByName, [g for _, g in taken])
     if processed_path is not None:
         touched = gone.select(F.col("station_id").cast("int").alias("station_id"), F.to_date("ts").alias("day")).distinct()
-        rebuild(spark, raw_path, processed_path, touched, before, gone.select(F.col("station_id").cast("int").alias("station_id"), "ts_utc"))
+        now = settled(noted.where(F.col("station_id") != station_id).unionByName(left.select(noted.columns)), "now")
+        rebuild(spark, raw_path, processed_path, touched, known_from(noted), known_from(now), gone.select(F.col("station_id").cast("int").alias("station_id"), "ts_utc"))
     return gone.count()
 
 
@@ -309,27 +321,28 @@ def _facts_after(spark, raw_path, station_id):
 def update_all(spark, json_path, raw_path, processed_path, manifest_path, files_per_batch=FILES_PER_BATCH):
     """Take in the files not seen before and rebuild what they touch; returns their number.
 
-    A batch has a bounded number of files, which is all the driver ever holds; in which order batches come does not
-    matter. Records that were not taken are counted in a table beside the raw one.
+    Folders in which nothing has changed are not compared. A batch has a bounded number of files, which is all the driver
+    ever holds; in which order batches come does not matter. Records that were not taken are counted in a table
+    beside the raw one.
     """
-    listing = station_files(list_files(spark, json_path))
+    files = station_files(list_files(spark, json_path, times=True))
+    unseen, folders = unseen_files(spark, files, manifest_path)
     names, taken = stations(spark), 0
-    while True:
-        manifest = read_table(spark, manifest_path)
-        if manifest is None:
-            manifest = listing.limit(0)
-        added = file_changes(listing, manifest).where("state = 'added'")
-        batch = added.select("path").orderBy("path").limit(files_per_batch)
-        paths = [r["path"] for r in batch.collect()]
-        if not paths:
-            return taken
-        records = portal_records(spark, paths)
-        readings = with_station_id(parse_portal(records), names)
-        off_grid = ingest_and_rebuild(spark, readings, raw_path, processed_path)
-        left_out = rejected(records, names).unionByName(off_grid, allowMissingColumns=True)
-        left_out.write.mode("append").parquet(f"{raw_path}-rejects")
-        spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(manifest_path)
-        taken += len(paths)
+    parts = -(-unseen.count() // files_per_batch)
+    for part in range(parts):
+        share = unseen.where(F.pmod(F.xxhash64("path"), F.lit(parts)) == part) if parts > 1 else unseen
+        paths = sorted(r["path"] for r in share.collect())  # about files_per_batch
+        for start in range(0, len(paths), files_per_batch):
+            batch = paths[start : start + files_per_batch]
+            records = portal_records(spark, batch)
+            readings = with_station_id(parse_portal(records), names)
+            off_grid = ingest_and_rebuild(spark, readings, raw_path, processed_path)
+            left_out = rejected(records, names).unionByName(off_grid, allowMissingColumns=True)
+            left_out.write.mode("append").parquet(f"{raw_path}-rejects")
+            note_files(spark.createDataFrame([(p,) for p in batch], "path string"), manifest_path)
+            taken += len(batch)
+    note_folders(folders, manifest_path)
+    return taken
 
 
 def moving_average(raw, chunk_rows=CHUNK_ROWS):

@@ -51,10 +51,10 @@ def read_raw(spark, path):
     return placed(spark.read.schema(schema).parquet(path))
 
 
-def _partitioned_write(df, path, mode, columns, order):
+def _partitioned_write(df, path, mode, columns, order, grouped=False):
     # rebalance groups rows by partition but lets AQE split a partition that is too large for one task
     (
-        df.hint("rebalance", *columns).sortWithinPartitions(*columns, order).write.mode(mode)
+        (df if grouped else df.hint("rebalance", *columns)).sortWithinPartitions(*columns, order).write.mode(mode)
         .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
     )
 
@@ -106,6 +106,11 @@ def _folder(spark, path):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def _exists(spark, path):
+    fs, at = _folder(spark, path)
+    return fs.exists(at)
+
+
 def _mark(spark, path, step, state):
     """Leave an empty file named after the step and its state; a finished step takes the place of all before it."""
     fs, at = _folder(spark, f"{path}-log/{step:012d}.{state}")
@@ -135,19 +140,19 @@ def _count_days(rows, path):
 
 def days_of(spark, path):
     """(station_id, day, n): rows of the raw table per station and local day."""
-    days = read_table(spark, f"{path}-days")
-    if days is None:
+    if not _exists(spark, f"{path}-days"):
         _count_days(read_raw(spark, path), path)
-        days = read_table(spark, f"{path}-days")
-    return days.select(F.col("station_id").cast("int").alias("station_id"), "day", "n")
+    return spark.read.schema("day date, n long, station_id int, year int, month int").parquet(f"{path}-days").select("station_id", "day", "n")
 
 
 def _move(spark, path, schema, parts, kind):
     # the schema is given: a change may leave nothing, and then there is no file to read it from
     rows = spark.read.schema(schema).parquet(f"{path}-side")
-    _partitioned_write(rows, path, "overwrite", parts, ORDER[kind])
+    _partitioned_write(rows, path, "overwrite", parts, ORDER[kind], grouped=True)  # the files of the side folder are one partition each
     if kind == "raw":
         _count_days(rows, path)
+    if not _exists(spark, f"{path}-emptied"):
+        return
     for row in spark.read.parquet(f"{path}-emptied").toLocalIterator():  # partitions, of a deletion mostly
         name = "/".join(f"{c}={row[c]}" for c in parts)
         for table in (path, f"{path}-days"):
@@ -167,12 +172,18 @@ def finish_merge(spark, path, kind="raw"):
 
 
 def _replace(spark, path, content, parts, step, kind):
-    """Make ``content`` the content of the partitions ``parts`` (settled), without a moment in which rows are lost."""
+    """Make ``content`` the content of the partitions ``parts`` (settled), without a moment in which rows are lost.
+
+    Without ``parts`` the change leaves no partition empty.
+    """
     columns = RAW_PARTS if kind == "raw" else RULE_PARTS
     # the side folder holds this change only
     content.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*columns).parquet(f"{path}-side")
-    filled = spark.read.schema(content.schema).parquet(f"{path}-side").select(*columns).distinct()
-    parts.join(filled, columns, "left_anti").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}-emptied")
+    fs, emptied = _folder(spark, f"{path}-emptied")
+    fs.delete(emptied, True)
+    if parts is not None:
+        filled = spark.read.schema(content.schema).parquet(f"{path}-side").select(*columns).distinct()
+        parts.join(filled, columns, "left_anti").write.parquet(f"{path}-emptied")
     _mark(spark, path, step, "ready")
     _move(spark, path, content.schema, columns, kind)
     _mark(spark, path, step, "done")
@@ -191,7 +202,7 @@ def merge_raw(spark, wide, path):
     stored = stored.withColumn("station_id", F.col("station_id").cast(new.schema["station_id"].dataType))
     parts = settled(new.select(*RAW_PARTS).distinct(), "touched")
     merged = overlay_newest(stored.join(parts, RAW_PARTS, "left_semi"), new, [*RAW_PARTS, "ts_utc"])
-    _replace(spark, path, merged.select(*RAW, "year", "month"), parts, step, "raw")
+    _replace(spark, path, merged.select(*RAW, "year", "month"), None, step, "raw")
 
 
 def remove_raw(spark, gone, path):
@@ -221,11 +232,11 @@ def _facts(spans):
     return out
 
 
-def station_facts(readings):
+def station_facts(readings, *more):
     """What each station of a delivery measures: spans of the anchor sensors and of all, precipitation or not."""
     spans = {a: F.col("sensor") == a.upper() for a in ANCHORS} | {"any": F.lit(True)}
     rained = F.count(F.when(F.col("sensor") == "N", F.col("value"))) > 0
-    return readings.groupBy("station_id").agg(*_facts(spans), rained.alias("has_n"))
+    return readings.groupBy("station_id", *more).agg(*_facts(spans), rained.alias("has_n"))
 
 
 def facts_of(raw):
@@ -234,47 +245,56 @@ def facts_of(raw):
     return raw.groupBy("station_id").agg(*_facts(spans), (F.count("n") > 0).alias("has_n"))
 
 
-def _notes(spark, path):
-    """Facts of all deliveries; after a deletion those of the station before it no longer count."""
-    notes = read_table(spark, f"{path}-stations")
-    if notes is None:
+_ENDS = [f"{a}_{end}" for a in (*ANCHORS, "any") for end in ("from", "to", "last")]
+NOTES = ", ".join(["station_id int", *[f"{c} timestamp_ntz" for c in _ENDS], "has_n boolean", "epoch int"])
+
+
+def merged_facts(facts):
+    """Facts of several deliveries as one row per station."""
+    ends = [(F.min if c.endswith("_from") else F.max)(c).alias(c) for c in _ENDS]
+    return facts.groupBy("station_id").agg(*ends, F.max("has_n").alias("has_n"), F.max("epoch").alias("epoch"))
+
+
+def noted_facts(spark, path):
+    """Facts of all deliveries, one row per station, or None; after a deletion those of the station before it no longer count."""
+    folder = f"{path}-stations"
+    if not _exists(spark, folder):
         return None
-    if "epoch" not in notes.columns:
-        notes = notes.withColumn("epoch", F.lit(0))
+    notes = spark.read.schema(NOTES).parquet(folder).fillna(0, ["epoch"])
     last = notes.groupBy("station_id").agg(F.max("epoch").alias("_last"))
-    return notes.join(last, "station_id").where(F.col("epoch") == F.col("_last")).drop("_last")
+    return merged_facts(notes.join(last, "station_id").where(F.col("epoch") == F.col("_last")))
 
 
-def add_facts(facts, path, renew=False):
-    """Note facts of a delivery, or with ``renew`` facts that hold instead of all noted before."""
-    spark = facts.sparkSession
-    notes = _notes(spark, path)
-    if notes is None:
-        facts = facts.withColumn("epoch", F.lit(int(renew)))
-    else:
-        epochs = settled(notes.select("station_id", "epoch").distinct(), "epochs")
-        facts = facts.join(epochs, "station_id", "left").withColumn("epoch", F.coalesce("epoch", F.lit(0)) + int(renew))
-    facts.write.mode("append").parquet(f"{path}-stations")
+def with_epoch(facts, noted, renew=0):
+    """Facts under the epoch of what is noted of their station, or a later one that replaces it."""
+    facts = facts.withColumn("station_id", F.col("station_id").cast("int"))
+    if noted is None:
+        return facts.withColumn("epoch", F.lit(renew))
+    old = noted.select("station_id", F.col("epoch").alias("_epoch"))
+    return facts.join(old, "station_id", "left").withColumn("epoch", F.coalesce("_epoch", F.lit(0)) + renew).drop("_epoch")
 
 
-def known_stations(spark, path, raw=None):
-    """Per station grid_from and grid_to (span of its first anchor sensor), origin, latest_ts and has_n, over all deliveries.
+def add_facts(facts, path):
+    """Note facts that have their epoch."""
+    facts.select("station_id", *_ENDS, "has_n", "epoch").write.mode("append").parquet(f"{path}-stations")
 
-    A table without notes is read instead.
-    """
-    notes = _notes(spark, path)
-    if notes is None:
+
+def known_from(facts):
+    """Per station grid_from and grid_to (span of its first anchor sensor), origin, latest_ts and has_n."""
+    first = lambda end, of=ANCHORS: F.coalesce(*[F.col(f"{a}_{end}") for a in of])
+    return facts.select(
+        "station_id", first("from").alias("grid_from"), first("to").alias("grid_to"),
+        first("from", (*ANCHORS, "any")).alias("origin"), first("last", (*ANCHORS, "any")).alias("latest_ts"), "has_n")
+
+
+def known_stations(spark, path, raw=None):
+    """What is known of the stations (see known_from) over all deliveries; a table without notes is read instead."""
+    noted = noted_facts(spark, path)
+    if noted is None:
         if raw is None:
             return None
-        notes = facts_of(raw)
-    spans = [f"{a}_{end}" for a in (*ANCHORS, "any") for end in ("from", "to", "last")]
-    every = notes.groupBy("station_id").agg(
-        *[(F.min if c.endswith("_from") else F.max)(c).alias(c) for c in spans], F.max("has_n").alias("has_n"))
-    first = lambda end: F.coalesce(*[F.col(f"{a}_{end}") for a in ANCHORS])
-    return every.select(
-        "station_id", first("from").alias("grid_from"), first("to").alias("grid_to"),
-        F.coalesce(*[F.col(f"{a}_from") for a in (*ANCHORS, "any")]).alias("origin"),
-        F.coalesce(*[F.col(f"{a}_last") for a in (*ANCHORS, "any")]).alias("latest_ts"), "has_n")
+        noted = facts_of(raw)
+    return known_from(noted)
 
 
 # --- processed rows ----------------------------------------------------------------------------------
@@ -293,11 +313,12 @@ def write_processed(processed, path, from_year=None):
     if stored is None:
         _partitioned_write(rows, path, "overwrite", RULE_PARTS, ORDER["processed"])
         return
-    parts = rows.limit(0).select(*RULE_PARTS)
+    parts = None
     if from_year is not None:
-        rules = [r["rule"] for r in rows.select("rule").distinct().collect()]
-        parts = stored.where(F.col("rule").isin(rules) & (F.col("year") >= from_year)).select(*RULE_PARTS).distinct()
-    _replace(spark, path, rows, settled(parts, "touched"), step, "processed")
+        rows = settled(rows, "processed")
+        own = stored.join(rows.select("rule").distinct(), "rule", "left_semi")
+        parts = settled(own.where(F.col("year") >= from_year).select(*RULE_PARTS).distinct(), "touched")
+    _replace(spark, path, rows, parts, step, "processed")
 
 
 def replace_periods(spark, fresh, scope, path):

@@ -33,21 +33,31 @@ def deduplicated(readings, delay=DELAY, keys=("station_id", "sensor")):
     return with_event_time(readings, delay).dropDuplicatesWithinWatermark([*keys, "event_time"])
 
 
+def _until_next_month(event_time):
+    """How long from a time to the last instant of its month, as the gap of a session; sessions that touch are one."""
+    month = F.add_months(F.trunc(event_time, "MM"), 1).cast("timestamp")
+    return F.concat((F.unix_micros(month) - F.unix_micros(event_time) - 1).cast("string"), F.lit(" microseconds"))
+
+
 def closed_periods(readings, rule, delay=DELAY, keys=("station_id", "sensor"), timed=False):
-    """Count, sum and mean of every hour, day or week, emitted once it is over.
+    """Count, sum and mean of every hour, day, week or month, emitted once it is over.
 
-    Months have no fixed length: derive them from the stored daily rows (closed_months).
+    Months have no fixed length. They are sessions whose gap lasts until the end of the month: all sessions of a
+    month end at the same instant, so they overlap and are one, and those of two months never meet. What is kept of an open
+    month is one row per series.
     """
     rule = rule_name(rule)
     windows = {
         "hourly": lambda: F.window("event_time", "1 hour"),
         "daily": lambda: F.window("event_time", "1 day"),
         "weekly": lambda: F.window("event_time", "7 days", startTime=WEEK_OFFSET),
+        "monthly": lambda: F.session_window("event_time", _until_next_month("event_time")).alias("window"),
     }
     if rule not in windows:
         raise ValueError(f"no streaming window for rule {rule!r}")
     rows = readings if timed else with_event_time(readings, delay)
-    label = F.col("window.start") if rule != "weekly" else F.col("window.end") - F.expr("INTERVAL 1 DAY")
+    end = F.to_date(F.col("window.end") - F.expr("INTERVAL 1 MICROSECOND")) if rule == "weekly" else F.to_date("window.end")
+    label = F.col("window.start") if rule in ("hourly", "daily") else end
     return (
         rows.groupBy(*keys, windows[rule]())
         .agg(F.count("value").alias("readings"), F.sum("value").alias("total"), F.avg("value").alias("mean"))

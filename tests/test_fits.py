@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from firnline.operators import density, fit, mixture
 from firnline.plans.conductivity import conductivity_mixture
@@ -103,3 +104,37 @@ def test_conductivity_mixture(spark):
     comps, kde, curves = conductivity_mixture(df.union(late), 2, "2019-04-14", "2020-01-20", points=50, n_init=2)
     assert [round(r["mean"]) for r in comps.orderBy("component").collect()] == [181, 121]
     assert kde.count() == 50 and curves.count() == 100
+
+
+def test_residuals_of_a_very_good_fit(spark):
+    """Noise of a millionth of the spread: nine digits of the residual sum are right."""
+    rng = np.random.default_rng(1)
+    x = rng.uniform(-3, 7, 3000)
+    for degree in (1, 2, 3):
+        y = np.polyval(rng.normal(size=degree + 1), x) + 1e-6 * rng.normal(size=len(x))
+        frame = spark.createDataFrame([("a", *p) for p in zip(x.tolist(), y.tolist())], "k string, x double, y double")
+        want = np.polyfit(x - x.mean(), y, degree, full=True)[1][0]
+        assert fit.poly_fit(frame, "k", "x", "y", degree).first()["rss"] == pytest.approx(want, rel=1e-9)
+
+
+def test_binned_density_within_its_bound(spark):
+    data = np.random.default_rng(2).gamma(3, 60, 3000) + 80
+    frame = values(spark, [*data.tolist(), float("nan"), -5000.0])
+    direct = density.kernel_density(frame, "slt", end=400.0, points=500, bandwidth=9.0).orderBy("point").toPandas()
+    binned = density.binned_density(frame, "slt", end=400.0, points=500, bandwidth=9.0).orderBy("point").toPandas()
+    bound = density.binned_error(300 / 499, 9.0)
+    assert list(binned["point"]) == list(range(500)) and np.abs(direct["density"] - binned["density"]).max() < bound < 1e-3
+
+
+def test_mixture_of_bins(spark):
+    """However many values, the rows are few; the components move by less than the square of bin width over deviation."""
+    rng = np.random.default_rng(3)
+    frame = values(spark, np.concatenate([rng.normal(100, 7, 4000), rng.normal(150, 11, 6000)]).tolist()).cache()
+    exact = mixture.gaussian_mixture(frame, "slt", 2, n_init=1, tol=1e-7).collect()
+    few = mixture.gaussian_mixture(frame, "slt", 2, n_init=1, tol=1e-7, bins=256).collect()
+    assert mixture.binned(frame, "slt", 256).count() <= 256
+    for a, b in zip(exact, few, strict=True):
+        assert b["mean"] == pytest.approx(a["mean"], abs=0.02) and b["std"] == pytest.approx(a["std"], abs=0.02) and b["weight"] == pytest.approx(a["weight"], abs=1e-3)
+    sums = mixture.binned(frame, "slt", 64).agg(F.sum("cnt"), F.sum(F.col("cnt") * F.col("value")), F.sum(F.col("within") + F.col("cnt") * F.col("value") * F.col("value"))).first()
+    raw = frame.agg(F.count("slt"), F.sum("slt"), F.sum(F.col("slt") * F.col("slt"))).first()
+    assert list(sums) == pytest.approx(list(raw), rel=1e-12)

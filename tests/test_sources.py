@@ -238,3 +238,37 @@ def test_rain_that_stops_still_sums(spark, rows, listed):
     update.update_processed(spark, raw, part, 2020)
     day = "rule = 'daily' AND period = timestamp_ntz'2020-05-01 00:00:00'"
     assert [(r["n"], r["lt"]) for r in store.read_table(spark, part).where(day).collect()] == [(0.0, 4.0)] == [(r["n"], r["lt"]) for r in store.read_table(spark, full).where(day).collect()]
+
+
+def test_unchanged_folders_are_not_compared(spark, tmp_path):
+    """A look after one more file reads the manifest of its folder only: that of the others may even be unreadable."""
+    files, seen = tmp_path / "in", str(tmp_path / "seen")
+    for k in range(3):
+        for sensor in ("LT", "HS"):
+            (files / f"f {k}").mkdir(parents=True, exist_ok=True)
+            (files / f"f {k}" / f"Rossalm_{sensor}_from_1_to_{k}.json").write_text("[]")
+
+    def look(take=True):
+        found, folders = manifest.unseen_files(spark, manifest.list_files(spark, str(files), times=True), seen)
+        names = sorted(r["path"].split("/")[-1] for r in found.collect())
+        if take:
+            manifest.note_files(found, seen)
+            manifest.note_folders(folders, seen)
+        return names
+
+    assert len(look()) == 6 and look() == []
+    (files / "f 1" / "Rossalm_SD_from_1_to_9.json").write_text("[]")
+    broken = [p for p in (tmp_path / "seen").rglob("*.parquet") if "f%201" not in str(p.parent) and "f 1" not in str(p.parent)]
+    kept = [(p, p.read_bytes()) for p in broken]
+    for p, _ in kept:
+        p.write_bytes(b"not parquet")
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    assert len(kept) == 2 and look() == ["Rossalm_SD_from_1_to_9.json"]
+    for p, data in kept:
+        p.write_bytes(data)
+    assert look() == []
+    manifest.forget_stored(spark, seen, "HS_from_1_to_0")
+    assert look(False) == ["Rossalm_HS_from_1_to_0.json"]
+    manifest.forget_stored(spark, seen, "Rossalm_LT_from_1_to_2")
+    manifest.forget_stored(spark, seen, "Rossalm_HS_from_1_to_2")
+    assert look() == ["Rossalm_HS_from_1_to_0.json", "Rossalm_HS_from_1_to_2.json", "Rossalm_LT_from_1_to_2.json"] and look() == []

@@ -84,3 +84,22 @@ def test_batch_alignment_of_stream_files(spark, tmp_path):
     r = portal.with_station_id(portal.read_portal_json(spark, str(tmp_path)), tables.stations(spark))
     day = resample.resample(align.align(r, "ts_utc"), "daily").collect()
     assert len(day) == 1 and day[0]["lt"] == 1.0
+
+
+def test_months_close_in_the_stream(spark, tmp_path, listed):
+    """Over a year end, with a late reading: each month comes once, after its last day is over."""
+    path, schema = scratch_dir(spark, "s"), "station_id int, sensor string, ts string, value double"
+
+    def run(*data):
+        rows = spark.createDataFrame([(1, "N", t, v) for t, v in data], schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        rows.coalesce(1).write.mode("append").parquet(path + "/in")
+        readings = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path + "/in")
+        ingest.run_to_table(ingest.closed_periods(readings, "monthly"), path + "/out", path + "/state")
+        return [(r[0].month, r[1], r[2]) for r in listed(spark.read.parquet(path + "/out").select("period", "readings", "total"), "period")]
+
+    assert run(("2019-12-01 00:00:00", 1.0), ("2019-12-31 23:50:00", 2.0)) == []
+    # the new month has begun, the old one waits for what is late
+    assert run(("2020-01-01 00:00:00", 4.0), ("2020-01-01 00:30:00", 8.0)) == []
+    assert run(("2019-12-31 23:55:00", 16.0), ("2020-01-01 02:00:00", 32.0)) == [(12, 3, 19.0)]
+    # too late for December
+    assert run(("2019-12-31 10:00:00", 64.0), ("2020-03-01 05:00:00", 1.0)) == [(12, 3, 19.0), (1, 3, 44.0)]
