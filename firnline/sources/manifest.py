@@ -23,7 +23,7 @@ def list_files(spark, path, glob="*.json", times=False):
 
 def folder_of(path="path"):
     """The folder a path lies in."""
-    return F.substring_index(path, "/", F.size(F.split(path, "/")) - 1)
+    return F.regexp_replace(path, "/[^/]*$", "")
 
 
 def folder_state(files):
@@ -43,7 +43,8 @@ def changed_folders(state, stored):
 def new_files(files, manifest, changed):
     """Paths in changed folders (settled) that the manifest (path, folder) does not have; of other folders nothing is read."""
     own = files.withColumn("folder", folder_of()).join(changed, "folder", "left_semi")
-    seen = manifest.join(changed, "folder", "left_semi").select("folder", "path")
+    # the comparison is true of all; Spark skips partitions at run time only where the other side is filtered
+    seen = manifest.join(changed.where("folder > ''"), "folder", "left_semi").select("folder", "path")
     return own.join(seen, ["folder", "path"], "left_anti").select("path")
 
 

@@ -48,7 +48,8 @@ def read_raw(spark, path):
     for c in SEQ_COLS:
         if c not in schema.names:
             schema = schema.add(c, "long")
-    return placed(spark.read.schema(schema).parquet(path))
+    # year and month as stored, not from the time, else no partition could be skipped
+    return _complete(spark.read.schema(schema).parquet(path), None).select(*RAW, "year", "month")
 
 
 def _partitioned_write(df, path, mode, columns, order, grouped=False):
@@ -64,10 +65,13 @@ def placed(wide, seq=None):
 
     Sensors they lack are null, and values without a sequence number get ``seq``.
     """
+    return _complete(wide, seq).select(*RAW, F.year("ts").alias("year"), F.month("ts").alias("month"))
+
+
+def _complete(wide, seq):
     rows = wide if "ts_utc" in wide.columns else wide.withColumn("ts_utc", F.col("ts"))
     rows = rows.withColumns({c: F.lit(None).cast("double") for c in SENSOR_COLS if c not in rows.columns})
-    rows = rows.withColumns({f"{c}_seq": F.when(F.col(c).isNotNull(), F.lit(seq).cast("long")) for c in SENSOR_COLS if f"{c}_seq" not in rows.columns})
-    return rows.select(*RAW, F.year("ts").alias("year"), F.month("ts").alias("month"))
+    return rows.withColumns({f"{c}_seq": F.when(F.col(c).isNotNull(), F.lit(seq).cast("long")) for c in SENSOR_COLS if f"{c}_seq" not in rows.columns})
 
 
 def write_raw(wide, path, mode="append"):
@@ -75,7 +79,7 @@ def write_raw(wide, path, mode="append"):
     rows = placed(wide)
     _partitioned_write(rows, path, mode, RAW_PARTS, ORDER["raw"])
     spark = wide.sparkSession
-    _count_days(touched(rows, placed(spark.read.schema(rows.schema).parquet(path)), RAW_PARTS), path)
+    _count_days(touched(rows, spark.read.schema(rows.schema).parquet(path), RAW_PARTS), path)
 
 
 def touched(df, stored, columns):
@@ -84,7 +88,12 @@ def touched(df, stored, columns):
     The list of partitions is settled, so the scan of the others is skipped at run time
     and its size is known to the join.
     """
-    return stored.join(settled(df.select(*columns).distinct(), "touched"), list(columns), "left_semi")
+    return _in(stored, settled(df.select(*columns).distinct(), "touched"), list(columns))
+
+
+def _in(stored, parts, columns):
+    # the comparison is true of all; Spark skips partitions at run time only where the other side is filtered
+    return stored.join(parts.where("year > 0"), columns, "left_semi")
 
 
 def overlay_newest(old, new, keys):
@@ -201,7 +210,7 @@ def merge_raw(spark, wide, path):
         return
     stored = stored.withColumn("station_id", F.col("station_id").cast(new.schema["station_id"].dataType))
     parts = settled(new.select(*RAW_PARTS).distinct(), "touched")
-    merged = overlay_newest(stored.join(parts, RAW_PARTS, "left_semi"), new, [*RAW_PARTS, "ts_utc"])
+    merged = overlay_newest(_in(stored, parts, RAW_PARTS), new, [*RAW_PARTS, "ts_utc"])
     _replace(spark, path, merged.select(*RAW, "year", "month"), None, step, "raw")
 
 
@@ -209,7 +218,7 @@ def remove_raw(spark, gone, path):
     """Take the rows with the keys ``gone`` (station_id, ts_utc, year, month) out of the table; partitions left empty go."""
     step = finish_merge(spark, path) + 1
     parts = settled(gone.select(*RAW_PARTS).distinct(), "touched")
-    rest = read_raw(spark, path).join(parts, RAW_PARTS, "left_semi").join(gone.select(*RAW_PARTS, "ts_utc"), [*RAW_PARTS, "ts_utc"], "left_anti")
+    rest = _in(read_raw(spark, path), parts, RAW_PARTS).join(gone.select(*RAW_PARTS, "ts_utc"), [*RAW_PARTS, "ts_utc"], "left_anti")
     _replace(spark, path, rest.select(*RAW, "year", "month"), parts, step, "raw")
 
 
@@ -334,7 +343,7 @@ def replace_periods(spark, fresh, scope, path):
         return
     parts = scope.select("rule", "station_id", F.year("anchor").alias("year")).unionByName(rows.select(*RULE_PARTS)).distinct()
     parts = settled(parts, "touched")
-    old = stored.withColumn("station_id", F.col("station_id").cast("int")).join(parts, RULE_PARTS, "left_semi").withColumn("anchor", anchor())
+    old = _in(stored.withColumn("station_id", F.col("station_id").cast("int")), parts, RULE_PARTS).withColumn("anchor", anchor())
     old = old.join(scope, ["station_id", "rule", "anchor"], "left_anti")
     _replace(spark, path, old.select(rows.columns).unionByName(rows), parts, step, "processed")
 

@@ -195,3 +195,24 @@ def test_scan_of_a_day_reads_few_row_groups(spark, rows, tmp_path):
         groups += [(meta.row_group(g).column(at).statistics.min, meta.row_group(g).column(at).statistics.max) for g in range(meta.num_row_groups)]
     groups.sort()
     assert len(groups) > 5 and all(a[1] < b[0] for a, b in zip(groups, groups[1:]))
+
+
+def test_a_merge_reads_its_partitions_only(spark, rows, tmp_path):
+    """The partitions a delivery does not fall into may even be unreadable."""
+    path = str(tmp_path / "raw")
+    update.ingest(spark, daily_rows(rows, (0, 40, 80)), path, "load_seq", newest=True)
+    spoiled = [p for p in (tmp_path / "raw").rglob("*.parquet") if "month=6" not in str(p)]
+    kept = [(p, p.read_bytes()) for p in spoiled]
+    for p, data in kept:
+        footer = 8 + int.from_bytes(data[-8:-4], "little")  # it stays, as Spark looks at one for the schema
+        p.write_bytes(data[:4] + b"\xff" * (len(data) - 4 - footer) + data[-footer:])
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    store.merge_raw(spark, rows("station_id int,ts timestamp_ntz,lt double", [(1, "2020-06-20 00:00:00", 9.0)]), path)
+    for p, data in kept:
+        p.write_bytes(data)
+    assert len(kept) == 2 and len(table(spark, path)) == 13
+    p, data = kept[0]
+    p.write_bytes(data[:4] + b"\xff" * (len(data) - 4 - footer) + data[-footer:])
+    spark.catalog.refreshByPath(path)
+    with pytest.raises(Exception):  # noqa: B017
+        table(spark, path)  # such a file cannot be read
